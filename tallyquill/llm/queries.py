@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyquill.llm.bpe_chunks import code_documents
 from tallyquill.llm.common import read
 from tallyquill.llm.exact_dedup import exact_dedup
+from tallyquill.llm.ngram_join import near_duplicates
 from tallyquill.llm.packing import pack_documents
 from tallyquill.llm.secret_scan import joined, scan_secrets
 
@@ -19,6 +20,11 @@ BYTE_BPE = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
 WORD_BPE = os.path.join(TOKENIZERS, "word_bpe_49k.json")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles reach Jaccard 0.85."""
+    return near_duplicates(read(spark, sf_dir, "documents"), 4, 85)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and entropy findings of every document, as places."""
     found = scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -59,6 +65,7 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op7_secret_scan": op7_secret_scan,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_exact_dedup": op9_exact_dedup,
