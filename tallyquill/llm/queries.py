@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyquill.llm.ann_graph import nearest
 from tallyquill.llm.bpe_chunks import code_documents
 from tallyquill.llm.common import read
 from tallyquill.llm.exact_dedup import exact_dedup
@@ -25,6 +26,12 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), 4, 85)
 
 
+def op3_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every row whose vec_id is divisible by 50, among all rows."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and entropy findings of every document, as places."""
     found = scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -66,6 +73,7 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
+    "op3_ann_graph": op3_ann_graph,
     "op7_secret_scan": op7_secret_scan,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_exact_dedup": op9_exact_dedup,
