@@ -13,7 +13,9 @@ from tallyquill.llm.common import read
 from tallyquill.llm.exact_dedup import exact_dedup
 from tallyquill.llm.ngram_join import near_duplicates
 from tallyquill.llm.packing import pack_documents
+from tallyquill.llm.quality_cnn import quality_rows
 from tallyquill.llm.secret_scan import joined, scan_secrets
+from tallyquill.llm.toxicity import toxic_rows
 
 #: Folder of the public tokenizers' files; a parameter of the operators that read them.
 TOKENIZERS = "/opt/tokenizers"
@@ -32,6 +34,16 @@ def op3_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a model of the labels that are not held out."""
+    return toxic_rows(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, by a network fitted on the labels that are not held out."""
+    return quality_rows(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and entropy findings of every document, as places."""
     found = scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -74,6 +86,8 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_ann_graph": op3_ann_graph,
+    "op4_toxicity": op4_toxicity,
+    "op6_quality_cnn": op6_quality_cnn,
     "op7_secret_scan": op7_secret_scan,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_exact_dedup": op9_exact_dedup,
