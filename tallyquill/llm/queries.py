@@ -11,6 +11,8 @@ from tallyquill.llm.ann_graph import nearest
 from tallyquill.llm.bpe_chunks import code_documents
 from tallyquill.llm.common import read
 from tallyquill.llm.exact_dedup import exact_dedup
+from tallyquill.llm.html_blocks import extract_main_text
+from tallyquill.llm.langid import identify_languages
 from tallyquill.llm.ngram_join import near_duplicates
 from tallyquill.llm.packing import pack_documents
 from tallyquill.llm.quality_cnn import quality_rows
@@ -23,6 +25,11 @@ BYTE_BPE = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
 WORD_BPE = os.path.join(TOKENIZERS, "word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, from its text, its markup, its address and its host."""
+    return identify_languages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles reach Jaccard 0.85."""
     return near_duplicates(read(spark, sf_dir, "documents"), 4, 85)
@@ -39,6 +46,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_rows(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_main_text(read(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, by a network fitted on the labels that are not held out."""
     return quality_rows(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -84,9 +96,11 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
     "op3_ann_graph": op3_ann_graph,
     "op4_toxicity": op4_toxicity,
+    "op5_html_blocks": op5_html_blocks,
     "op6_quality_cnn": op6_quality_cnn,
     "op7_secret_scan": op7_secret_scan,
     "op8_bpe_chunks": op8_bpe_chunks,
