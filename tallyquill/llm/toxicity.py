@@ -250,6 +250,25 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     return out.select("doc_id", "score", F.round(F.expm1("passages")).cast("long").alias("passages"), "best")
 
 
+def with_scores(docs: DataFrame, model: Model, score_col: str, text_col: str = "text") -> DataFrame:
+    """docs with every row's score in a new column; the rows themselves pass through the scan."""
+    schema = docs.withColumn(score_col, F.lit(0.0)).schema
+    schema[score_col].nullable = True
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() or "" for t in batch.column(place)]
+            for lo, hi in slices([len(t) for t in texts]):
+                starts, nodes = token_nodes(texts[lo:hi])
+                scores = model.token_scores(nodes)
+                f = np.array([model.features(scores[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]).reshape(-1, 3)
+                p = model.curve(f) if model.curve else np.zeros(len(f))
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(p)], names=[*batch.schema.names, score_col])
+
+    return docs.mapInArrow(run, schema)
+
+
 def toxic_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, passages of every document under a model fitted on labels."""
     out = score_toxicity(docs, fit(docs, labels))
