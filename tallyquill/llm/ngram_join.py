@@ -2,14 +2,17 @@
 
 1. Sets: one pass gives each document's set size and 128-bit digest; documents with equal sets form a
    class, stood for by its smallest id, whatever its size.
-2. Signatures: a second pass gives (document, signature) rows; within a task copies of one set are given
+2. Common shingles: those of many distinct sets in a bounded sample. They are left out of the signatures,
+   which changes what is compared and never what is found.
+3. Signatures: a second pass gives (document, signature) rows; within a task copies of one set are given
    once. Rows with the same signature form a group; groups of the same members are kept once.
-3. Checks: in each group the member that shares most signatures is compared, text with text, with all
-   others, which links most of a group; links make components. Only members of a group in different
-   components remain; further centres are taken while many pairs remain, then all pairs that remain are
-   compared. A pair within one component needs no check, since components are what is asked for, so
+4. Checks: in each group the member that shares most signatures is compared with all others, which
+   links most of a group; links make components. Only members of a group in different components
+   remain; all pairs of these are compared, block with block, so that no row is made for a pair.
+   A comparison is first of bucket counts, which bound the intersection from above, and only where
+   these allow a link of text with text. A pair within one component needs no check, since components are what is asked for, so
    no link is lost and large groups of near copies cost a few times their size.
-4. Components of the links; every document takes its class's component.
+5. Components of the links; every document takes its class's component.
 
 Texts of documents in some group are fetched once and written to the shared folder for the checks.
 """
@@ -28,7 +31,10 @@ from tallyquill.llm.components import components, few
 from tallyquill.llm.partenum import signatures
 from tallyquill.llm.shingles import set_digests, shingle_sets, slices
 
-STAR_ROUNDS = 4
+STAR_ROUNDS = 1
+BLOCK = 256  # members of a group compared with as many others at a time
+SAMPLE, LEAST_COMMON, MOST_COMMON = 8_000, 8, 200_000  # documents looked at for common shingles, sets that make one common, shingles kept
+BUCKETS = 256
 
 
 def _parts(batches: Iterator[pa.RecordBatch]):
@@ -50,7 +56,30 @@ def _classes(width: int):
     return run
 
 
-def _signed(width: int, percent: int):
+def _shingles(width: int):
+    """The shingles of each distinct set, distinct sets within a task once."""
+
+    def run(batches):
+        seen = set()
+        for _, texts in _parts(batches):
+            starts, h = shingle_sets(texts, width)
+            for i, k in enumerate(zip(*(x.tolist() for x in set_digests(starts, h)), strict=True)):
+                if k not in seen:
+                    seen.add(k)
+                    yield pa.RecordBatch.from_arrays([pa.array(h[starts[i] : starts[i + 1]].view(np.int64))], names=["h"])
+
+    return run
+
+
+def common_shingles(rows: DataFrame, width: int, sample: int = SAMPLE, least: int = LEAST_COMMON, most: int = MOST_COMMON) -> np.ndarray:
+    """Hashes of the shingles held by at least ``least`` sets of about ``sample`` documents, ascending."""
+    share = min(1.0, sample / max(1, rows.count()))
+    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1_000_000)) < share * 1_000_000)
+    found = some.mapInArrow(_shingles(width), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= least)
+    return np.sort(np.array([r.h for r in found.orderBy(F.desc("k"), "h").limit(most).collect()], np.int64).view(np.uint64))
+
+
+def _signed(width: int, percent: int, common: np.ndarray):
     def run(batches):
         seen = set()
         for ids, texts in _parts(batches):
@@ -61,7 +90,7 @@ def _signed(width: int, percent: int):
                 if k not in seen:
                     seen.add(k)
                     fresh[i] = True
-            owner, sig = signatures(starts, h, percent)
+            owner, sig = signatures(starts, h, percent, common)
             mine = fresh[owner]
             owner, sig = owner[mine], sig[mine]
             order = np.argsort(owner, kind="stable")
@@ -71,6 +100,67 @@ def _signed(width: int, percent: int):
     return run
 
 
+def _histograms(width: int):
+    """How many elements of a set fall into each of BUCKETS buckets; empty where a count exceeds a byte."""
+
+    def run(batches):
+        for ids, texts in _parts(batches):
+            starts, h = shingle_sets(texts, width)
+            owner = np.repeat(np.arange(len(texts)), np.diff(starts))
+            counts = np.bincount(owner * BUCKETS + (h >> np.uint64(56)).astype(np.int64), minlength=len(texts) * BUCKETS).reshape(-1, BUCKETS)
+            packed = [c.astype(np.uint8).tobytes() if c.max() < 256 else b"" for c in counts]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], names=["id", "hist"])
+
+    return run
+
+
+def _possible(percent: int):
+    """Of (a, b, na, nb, ha, hb) rows, the (a, b) that may link: the intersection holds in each bucket
+    no more elements than either set does."""
+
+    def run(batches):
+        for batch in batches:
+            n = np.asarray(batch.column(2)) + np.asarray(batch.column(3))
+            most = [int(np.minimum(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).sum(dtype=np.int64)) if x and y else 1 << 60 for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            most = np.minimum(np.array(most, np.int64), n // 2)
+            kept = batch.filter(pa.array(100 * most >= percent * (n - most)))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+    return run
+
+
+def _compared(percent: int):
+    """Of rows with two blocks of members, each member (id, n, label, hist): the pairs (a, b), one of each
+    block, of different labels whose sizes and bucket counts allow a link. Pairs are compared where they
+    stand, none but these leave the task."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                (ia, na, la, ha), (ib, nb, lb, hb) = _block(x.as_py()), _block(y.as_py())
+                for i in range(len(ia)):
+                    fit = (lb != la[i]) & (100 * np.minimum(nb, na[i]) >= percent * np.maximum(nb, na[i]))
+                    at = np.flatnonzero(fit)
+                    if not len(at):
+                        continue
+                    most = np.minimum(np.minimum(ha[i], hb[at]).sum(1, dtype=np.int64), (na[i] + nb[at]) // 2)
+                    at = at[100 * most >= percent * (na[i] + nb[at] - most)]
+                    out += [(min(ia[i], b), max(ia[i], b)) for b in ib[at].tolist()]
+            out = sorted(set(out))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def _block(members: list[dict]):
+    ids, n, label = (np.array([m[k] for m in members], np.int64) for k in ("rep", "n", "label"))
+    hist = np.full((len(members), BUCKETS), 255, np.int64)
+    for i, m in enumerate(members):
+        hist[i] = np.frombuffer(m["hist"], np.uint8) if m["hist"] else n[i]  # without counts no bound
+    return ids, n, label, hist
+
+
 def _linked(width: int, percent: int):
     """Of (a, b, ta, tb) rows, the (a, b) whose sets reach the threshold."""
 
@@ -107,7 +197,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     reps = some.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     class_of = written(few(some.join(reps, ["n", "s1", "s2"]).select("doc_id", "rep", "n").distinct()), "classes")
 
-    signed = rows.where("doc_id is not null").mapInArrow(_signed(width, percent), "doc_id long, sigs array<long>")
+    signed = rows.where("doc_id is not null").mapInArrow(_signed(width, percent, common_shingles(rows, width)), "doc_id long, sigs array<long>")
     signed = signed.select("doc_id", F.explode("sigs").alias("sig"))
     group = Window.partitionBy("sig")
     shared = signed.select("doc_id", F.count(F.lit(1)).over(group).alias("k"), *(F.bit_xor(F.xxhash64("doc_id", F.lit(s))).over(group).alias(f"g{s}") for s in (1, 2))).where("k > 1")
@@ -119,20 +209,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     members = members.join(sizes, "g")
     central = members.groupBy("rep").agg(F.sum(F.least(F.col("weight"), F.lit(1 << 20)) * F.col("k").cast("double")).alias("central"))
     members = written(few(members.select("g", "rep", "n").join(central, "rep")), "groups")
-    texts = written(rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
+    # the joins of texts and counts are sort-merge joins at every size: what they move grows with the input
+    texts = written(rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi"), "texts")
+
+    hists = written(few(texts.mapInArrow(_histograms(width), "id long, hist binary")), "histograms")
 
     def linked(pairs: DataFrame) -> DataFrame:
+        for x in "ab":
+            pairs = pairs.join(hists.select(F.col("id").alias(x), F.col("hist").alias(f"h{x}")).hint("merge"), x)
+        near = written(few(pairs.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_possible(percent), "a long, b long").distinct()), "near")
+        return checked(near)
+
+    def checked(near: DataFrame) -> DataFrame:
         a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
         b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        return written(few(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(_linked(width, percent), "a long, b long")), "found")
+        return written(few(near.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "ta", "tb").mapInArrow(_linked(width, percent), "a long, b long")), "found")
 
     def apart(pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes allow a link, smaller id first, each once."""
         fit = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        return fit.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        swap = F.col("a") > F.col("b")
+        ends = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"))]
+        return fit.select(*ends).distinct()
 
     links = found = None
-    done = rows.sparkSession.createDataFrame([], "a long, b long")
+    done = rows.sparkSession.createDataFrame([], "a long, b long, na long, nb long")
     centres = rows.sparkSession.createDataFrame([], "g long, a long")
     n_members = members.count()
     labelled = members.withColumn("label", F.col("rep"))
@@ -149,20 +250,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         b = labelled.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
         last = left <= 2 * n_members or step == STAR_ROUNDS
         if last:
-            pairs = kinds.select("g", F.col("label").alias("la")).join(kinds.select("g", F.col("label").alias("lb")), "g").where("la < lb")
-            pairs = pairs.join(a, ["g", "la"]).join(b, ["g", "lb"])
+            # in blocks: groups of any size are compared without a row for each pair
+            parts = labelled.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+            dealt = labelled.join(parts, "g").join(hists.hint("merge"), F.col("rep") == F.col("id")).withColumn("block", F.pmod(F.xxhash64("rep", "g"), F.col("k")).cast("int"))
+            blocks = dealt.groupBy("g", "block").agg(F.collect_list(F.struct("rep", "n", "label", "hist")).alias("m"))
+            twos = blocks.select("g", F.col("block").alias("i"), F.col("m").alias("x")).join(blocks.select("g", F.col("block").alias("j"), F.col("m").alias("y")), "g").where("i <= j")
+            near = twos.select("x", "y").mapInArrow(_compared(percent), "a long, b long").distinct().join(done, ["a", "b"], "left_anti")
+            found = checked(written(few(near), "near"))
+            links = found if links is None else links.unionByName(found)
+            break
         else:
             fresh = a.join(centres, ["g", "a"], "left_anti")
             top = fresh.groupBy("g").agg(F.max_by(F.struct("a", "na", "la"), F.struct("central", -F.col("a"))).alias("c")).select("g", "c.*")
             top = written(few(top), "centres")
             centres = centres.unionByName(top.select("g", "a"))
             pairs = top.join(b, "g").where("la <> lb")
-        pairs = written(few(apart(pairs).join(done, ["a", "b"], "left_anti")), "pairs")
+        pairs = written(few(apart(pairs)), "pairs")
         done = done.unionByName(pairs)
         found = linked(pairs)
         links = found if links is None else links.unionByName(found)
-        if last:
-            break
         labels = components(links)
         labelled = labelled.drop("label").join(labels, F.col("rep") == F.col("node"), "left").select("g", "rep", "n", "central", F.coalesce("label", "rep").alias("label"))
 

@@ -64,6 +64,14 @@ def test_large_groups_of_near_copies(spark, width, percent):
     assert got(near_duplicates(df, width, percent)) == brute(texts, width, percent)
 
 
+def test_a_common_passage_brings_no_strangers_together(spark):
+    rnd = random.Random(1)
+    passage = " ".join("p%d" % i for i in range(60))
+    texts = {i: passage + " " + " ".join("q%d" % rnd.randrange(10**6) for _ in range(rnd.choice([4, 8, 60]))) for i in range(300)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert got(near_duplicates(df, 4, 85)) == brute(texts, 4, 85)
+
+
 def test_awkward_and_empty(spark, awkward):
     rows = near_duplicates(awkward, 4, 85).collect()
     assert len(rows) == awkward.count()
@@ -93,8 +101,9 @@ def test_linked_sets_share_a_signature(percent):
             if set(y) == set(x):
                 continue  # equal sets meet as a class
             h = np.concatenate([np.sort(x), np.sort(np.array(y, np.uint64))])
-            owner, sig = signatures(np.array([0, len(x), len(h)]), h, percent)
-            assert set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist())
+            for left_out in (None, np.sort(rnd.choice(h, rnd.integers(0, len(h) + 1), replace=False))):
+                owner, sig = signatures(np.array([0, len(x), len(h)]), h, percent, left_out)
+                assert set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist())
 
 
 def test_shingle_sets_agree_with_words():
