@@ -1 +1 @@
-
+"""Relational operators over questions, analyses, runs and vocabularies."""

@@ -1,6 +1,6 @@
 """All registered queries of the engine and the DuckDB SQL each is compared with."""
 
-from __future__ import annotations
+from tallyquill.plans import run_queries, text_queries, vocabulary_queries  # noqa: F401  they register themselves
+from tallyquill.plans.registry import ORACLE, QUERIES
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
