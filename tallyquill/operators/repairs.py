@@ -55,8 +55,8 @@ def _noted(condition: Column, note: Column) -> Column:
 
 def repair_stems(questions: DataFrame) -> DataFrame:
     """The stray question taken out of the stem of every part of a contaminated group."""
-    faults = stem_contamination(questions).select("doc", F.col("parent").alias("p"), "removed", "owner", "stem", "keep")
-    q = questions.join(faults, (questions["doc"] == faults["doc"]) & (N.parent_of(F.col("source_question_id")) == F.col("p")), "left").drop(faults["doc"])
+    faults = stem_contamination(questions).select(F.col("doc").alias("d"), F.col("parent").alias("p"), "removed", "owner", "stem", "keep")
+    q = questions.join(faults, (F.col("doc") == F.col("d")) & (N.parent_of(F.col("source_question_id")) == F.col("p")), "left")
     text = N.stripped(F.concat("keep", F.substring("question_text", F.length("stem") + 1, F.length("question_text"))))
     hit = F.col("removed").isNotNull()
     note = F.format_string("Repaired: removed '%s' from the stem shared by question %s; it is %s's own question.", "removed", "p", "owner")

@@ -26,7 +26,7 @@ def errors_of_skills(skills: DataFrame, errors: DataFrame) -> DataFrame:
     ids = skills.select("skill_id").distinct()
     exact = entries.where("entry <> '*' and not endswith(entry, '.*')").join(ids, F.col("entry") == F.col("skill_id"))
     # every dotted prefix of a skill id, with the dot: what an entry may name before its star
-    prefixes = ids.withColumn("parts", F.split("skill_id", r"\.")).select("skill_id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("parts") - 1, F.lit(1))), lambda n: F.concat(F.array_join(F.slice("parts", F.lit(1), n), "."), F.lit(".")))).alias("prefix"))
+    prefixes = ids.withColumn("parts", F.split("skill_id", r"\.")).where(F.size("parts") > 1).select("skill_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda n: F.concat(F.array_join(F.slice("parts", F.lit(1), n), "."), F.lit(".")))).alias("prefix"))
     dotted = entries.where("endswith(entry, '.*')").withColumn("prefix", F.expr("left(entry, length(entry) - 1)")).join(prefixes, "prefix")
     every = entries.where("entry = '*'").select("error_id", "general", F.lit(1).alias("k")).join(ids.withColumn("k", F.lit(1)), "k")
     out = reduce(DataFrame.unionByName, [df.select("skill_id", "error_id", "general") for df in (exact, dotted, every)])

@@ -16,6 +16,10 @@ from tallyquill.streaming.inbox import ingest, keyed
 
 
 
+#: A total order of an order's lines, whose numbers repeat.
+LINE_SQL = "(l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey)"
+
+
 def newest_first():
     return [F.desc("o_orderdate"), F.desc("o_orderkey")]
 
@@ -110,8 +114,8 @@ def unknown_and_missing_antijoin(spark, sf_dir):
     return solving.check_payload(q, a).groupBy("issue_code", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH s AS (SELECT CAST(o_orderkey AS VARCHAR) AS q, o_orderpriority AS p FROM orders WHERE o_orderkey % 5 <> 0),
-l AS (SELECT CAST(l_orderkey AS VARCHAR) AS q, arg_max(l_returnflag <> 'R', l_linenumber) AS reached, arg_max(CAST(CAST(l_quantity AS INT) AS VARCHAR), l_linenumber) AS answer FROM lineitem GROUP BY l_orderkey),
+@query(f"""WITH s AS (SELECT CAST(o_orderkey AS VARCHAR) AS q, o_orderpriority AS p FROM orders WHERE o_orderkey % 5 <> 0),
+l AS (SELECT CAST(l_orderkey AS VARCHAR) AS q, arg_max(l_returnflag <> 'R', {LINE_SQL}) AS reached, arg_max(CAST(CAST(l_quantity AS INT) AS VARCHAR), {LINE_SQL}) AS answer FROM lineitem GROUP BY l_orderkey),
 j AS (SELECT s.q, l.q IS NULL AS lost, reached, answer, CAST(10 + CAST(s.q AS BIGINT) % 40 AS VARCHAR) AS ref FROM s LEFT JOIN l USING (q))
 SELECT source_question_id, issue_code, severity FROM (SELECT q AS source_question_id, 'SOLUTION_MISSING' AS issue_code, 'medium' AS severity FROM j WHERE lost
 UNION ALL SELECT q, CASE WHEN CAST(q AS BIGINT) % 3 = 0 THEN 'SOLUTION_NEEDS_DIAGRAM' ELSE 'STRATEGY_DOES_NOT_SOLVE' END, CASE WHEN CAST(q AS BIGINT) % 3 = 0 THEN 'medium' ELSE 'high' END FROM j WHERE NOT reached
@@ -124,7 +128,7 @@ def strategy_solution_checks(spark, sf_dir):
     qid, sid = F.col("o_orderkey").cast("string").alias("source_question_id"), F.lit("s").alias("strategy_id")
     strategies = o.where("o_orderkey % 5 <> 0").select(qid, sid, F.col("o_orderpriority").alias("strategy_name"))
     questions = o.select(qid, (10 + F.col("o_orderkey") % 40).cast("string").alias("answer"), (F.col("o_orderkey") % 3 == 0).alias("diagram_required"), F.lit(False).alias("diagram_sent"))
-    solutions = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("source_question_id"), sid, F.col("l_linenumber").alias("ordinal"), (F.col("l_returnflag") != "R").alias("reached_answer"), F.col("l_quantity").cast("int").cast("string").alias("final_answer"), F.lit("").alias("notes"))
+    solutions = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("source_question_id"), sid, F.expr(LINE_SQL).alias("ordinal"), (F.col("l_returnflag") != "R").alias("reached_answer"), F.col("l_quantity").cast("int").cast("string").alias("final_answer"), F.lit("").alias("notes"))
     return solving.check_solutions(strategies, solutions, questions).select("source_question_id", "issue_code", "severity")
 
 
@@ -164,13 +168,13 @@ def paper_files(spark, sf_dir):
     return read(spark, sf_dir, "part").select(F.col("p_brand").alias("folder"), name.alias("name"), F.col("p_partkey").alias("ordinal"))
 
 
-@query("""WITH s AS (SELECT l_orderkey AS k, arg_max(l_returnflag, l_linenumber) FILTER (WHERE l_returnflag <> 'N') AS answer, arg_min(CAST(l_quantity AS DOUBLE), l_linenumber) FILTER (WHERE l_tax > 0.02) AS marks FROM lineitem GROUP BY 1)
+@query(f"""WITH s AS (SELECT l_orderkey AS k, arg_max(l_returnflag, {LINE_SQL}) FILTER (WHERE l_returnflag <> 'N') AS answer, arg_min(CAST(l_quantity AS DOUBLE), {LINE_SQL}) FILTER (WHERE l_tax > 0.02) AS marks FROM lineitem GROUP BY 1)
 SELECT o_orderkey, CASE WHEN s.k IS NOT NULL AND s.answer IS NOT NULL THEN s.answer ELSE o_orderstatus END AS answer, CASE WHEN s.k IS NOT NULL AND o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 THEN s.marks WHEN o_orderkey % 2 = 1 THEN CAST(1 AS DOUBLE) END AS marks,
   CASE WHEN s.answer <> o_orderstatus THEN o_orderstatus END AS conflict, CASE WHEN s.k IS NOT NULL THEN 'marking_scheme' ELSE 'paper' END AS answer_source FROM orders LEFT JOIN s ON k = o_orderkey""")
 def attach_answers_last_wins(spark, sf_dir):
     k = F.col("o_orderkey")
     q = read(spark, sf_dir, "orders").select(F.lit("d").alias("doc"), k, k.alias("position"), F.concat(F.lit("Q "), k).alias("source_question_id"), F.col("o_orderstatus").alias("answer"), F.lit(None).cast("string").alias("worked_solution"), F.when(k % 2 == 1, 1.0).alias("marks"), F.when(k % 3 == 0, 5.0).alias("group_marks"))
-    s = read(spark, sf_dir, "lineitem").select(F.lit("d").alias("doc"), F.col("l_linenumber").alias("ordinal"), F.concat(F.lit("q"), "l_orderkey").alias("source_question_id"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).otherwise("").alias("answer"), F.lit(None).cast("string").alias("worked_solution"), F.when(F.col("l_tax") > 0.02, F.col("l_quantity").cast("double")).alias("marks"))
+    s = read(spark, sf_dir, "lineitem").select(F.lit("d").alias("doc"), F.expr(LINE_SQL).alias("ordinal"), F.concat(F.lit("q"), "l_orderkey").alias("source_question_id"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).otherwise("").alias("answer"), F.lit(None).cast("string").alias("worked_solution"), F.when(F.col("l_tax") > 0.02, F.col("l_quantity").cast("double")).alias("marks"))
     return compare.attach_answers(q, s).select("o_orderkey", "answer", "marks", "conflict", "answer_source")
 
 

@@ -9,9 +9,9 @@ from tallyquill.operators import taxonomy
 from tallyquill.plans.registry import query, read
 
 #: Error patterns of the fixture: id and entries.
-ERRORS = (("err.any.round", ["*"]), ("err.promo.sign", ["promo.*"]), ("err.one.slip", ["small.plated.brass", "promo.burnished.tin"]), ("err.none.at", ["absent.unit.slug", "standard.*"]))
+ERRORS = (("err.any.round", ["*"]), ("err.promo.sign", ["promo.*"]), ("err.one.slip", ["promo.brand-1.s1", "small.brand-2.s0", "economy.brand-3.s2"]), ("err.none.at", ["absent.unit.slug", "standard.*"]))
 ERRORS_SQL = "(VALUES " + ", ".join(f"('{e}', [{', '.join(repr(s) for s in skills)}])" for e, skills in ERRORS) + ") e(error_id, skills)"
-SKILL_SQL = "(SELECT DISTINCT replace(lower(p_type), ' ', '.') AS skill_id FROM part)"
+SKILL_SQL = "(SELECT DISTINCT lower(p_type) || '.' || lower(replace(p_brand, '#', '-')) || '.s' || (p_size % 3) AS skill_id FROM part)"
 
 
 def error_patterns(spark):
@@ -19,7 +19,7 @@ def error_patterns(spark):
 
 
 def skill_ids(spark, sf_dir):
-    return read(spark, sf_dir, "part").select(F.translate(F.lower("p_type"), " ", ".").alias("skill_id")).distinct()
+    return read(spark, sf_dir, "part").select(F.concat_ws(".", F.lower("p_type"), F.lower(F.translate("p_brand", "#", "-")), F.concat(F.lit("s"), F.col("p_size") % 3)).alias("skill_id")).distinct()
 
 
 @query(f"""SELECT DISTINCT s.skill_id, x.error_id, x.general FROM {SKILL_SQL} s, (SELECT error_id, unnest(skills) AS entry, len(list_filter(skills, lambda z: regexp_matches(z, '^(\\*|(na|ms|dh|fl|m1|m2)\\.\\*)$'))) > 0 AS general FROM {ERRORS_SQL}) x

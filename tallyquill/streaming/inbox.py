@@ -23,4 +23,4 @@ def ingest(spark: SparkSession, inbox: str, table: str, checkpoint: str, schema:
 
 def keyed(batch: DataFrame, column: str, key: str) -> DataFrame:
     """batch with the SHA-256 of a column as key."""
-    return batch.withColumn(key, F.sha2(F.col(column).cast("binary"), 256))
+    return batch.withColumn(key, F.sha2(F.col(column).cast("string"), 256))
