@@ -89,7 +89,7 @@ def test_stem_repair_and_dependencies(spark, load):
     got = {r.source_question_id: r for r in repairs.repaired(q).collect()}
     assert got["3(a)"].question_text == "設某公司有若干員工。求該公司員工的平均年齡。" and got["3(b)"].question_text == "設某公司有若干員工。由此求標準差是多少呢。"
     assert got["3(b)"].depends_on == ["3(a)"] and got["6(b)"].depends_on == ["6(a)"] and got["3(a)"].depends_on == []
-    assert got["4"].question_text == "x\\bar" and got["5"].question_text == r"\( \alpha = 1 \)" and len(got["5"].extraction_notes) == 1
+    assert got["4"].question_text == "\\( x\\bar \\)" and got["5"].question_text == r"\( \alpha = 1 \)" and len(got["5"].extraction_notes) == 1
     assert repairs.repaired(repairs.repaired(q)).where("source_question_id = '5'").first().question_text == r"\( \alpha = 1 \)"
 
 
