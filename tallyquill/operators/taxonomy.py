@@ -33,6 +33,14 @@ def errors_of_skills(skills: DataFrame, errors: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df checkpointed to the session's folder; where none is set, as in tests, to a local one."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir("/tmp/checkpoints")
+    return df.checkpoint()
+
+
 def closure(edges: DataFrame, most: int = 64) -> DataFrame:
     """(start, reached, depth) over edges (node, next): everything reachable, at its least depth, a start
     itself only through a cycle. A frontier is joined with the edges until it brings nothing new."""
@@ -40,7 +48,7 @@ def closure(edges: DataFrame, most: int = 64) -> DataFrame:
     found = frontier = edges.select(F.col("node").alias("start"), F.col("next").alias("reached"), F.lit(1).alias("depth"))
     for depth in range(2, most + 1):
         step = frontier.join(edges, F.col("reached") == F.col("node")).select("start", F.col("next").alias("reached")).distinct()
-        frontier = step.join(found, ["start", "reached"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
+        frontier = cut(step.join(found, ["start", "reached"], "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
         found = found.unionByName(frontier)
