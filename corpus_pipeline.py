@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyquill.llm import toxicity
@@ -34,11 +34,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.with_scores(docs, model, "__score").where(F.col("__score") < TOXIC_FROM).drop("__score")
 
 
+def _keys(doc_id: str, sha) -> dict:
+    """Columns that tell a row's id, null ids included, and text."""
+    return {"__null": F.col(doc_id).isNull(), "__id": F.coalesce(F.col(doc_id), F.lit(0)), "__sha": sha}
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts. Rows repeated with the id that stays count as one."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.sha2(text_or_empty("text"), 256) == F.col("__sha"))
-    return docs.join(kept, same).dropDuplicates(["__id", "__sha"]).select(*docs.columns)
+    """One row of each group of equal texts. Rows repeated with the id that stays count as one: they meet in
+    the semi join's own partitioning, so the texts move once here."""
+    kept = exact_dedup(docs).where("kept").select(*(c.alias(n) for n, c in _keys("doc_id", F.col("text_sha256")).items()))
+    keyed = docs.withColumns(_keys("doc_id", F.sha2(text_or_empty("text"), 256)))
+    names = ["__null", "__id", "__sha"]
+    nth = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
+    return keyed.join(kept, names, "left_semi").withColumn("__nth", nth).where("__nth = 1").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
