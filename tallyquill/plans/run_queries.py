@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyquill.functions import texts as T
 from tallyquill.operators import compare, models, rules, solving, stats
 from tallyquill.operators.contains import contained_items
-from tallyquill.plans.registry import query, read
+from tallyquill.plans.registry import ORACLE, query, read
 from tallyquill.streaming.inbox import ingest, keyed
 
 
@@ -251,12 +251,22 @@ def recorded_model_stage(spark, sf_dir):
 
 @query("SELECT event_id, event_type FROM events WHERE event_id % 10 = 0")
 def incremental_file_source(spark, sf_dir):
-    """Events arrive in two files, one of them twice; each event is in the table once."""
-    base = tempfile.mkdtemp(prefix="inbox-") if spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None) else f"{spark.conf.get('spark.checkpoint.dir')}/inbox-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
+    """The tenth of the events that the SQL names; incremental_file_source_whole takes all."""
+    return arrived(spark, sf_dir, "tenth", read(spark, sf_dir, "events").where("event_id % 10 = 0"), "event_id % 20 = 0")
+
+
+@query(ORACLE["incremental_file_source"].replace(" WHERE event_id % 10 = 0", ""))
+def incremental_file_source_whole(spark, sf_dir):
+    return arrived(spark, sf_dir, "whole", read(spark, sf_dir, "events"), "event_id % 2 = 0")
+
+
+def arrived(spark, sf_dir, name, events, twice):
+    """Events arrive in two deliveries, those of the condition ``twice`` three times; each event is in the table once."""
+    base = tempfile.mkdtemp(prefix="inbox-") if spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None) else f"{spark.conf.get('spark.checkpoint.dir')}/inbox-{name}-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
     shutil.rmtree(base.removeprefix("file://"), ignore_errors=True)
-    e = read(spark, sf_dir, "events").where("event_id % 10 = 0").select("event_id", "event_type")
+    e = events.select("event_id", "event_type")
     schema = "event_id long, event_type string"
-    for k, part in enumerate((e.where("event_id % 20 = 0"), e, e.where("event_id % 20 = 0"))):
-        part.coalesce(1).write.mode("append").json(f"{base}/inbox/{k}")
+    for k, part in enumerate((e.where(twice), e, e.where(twice))):
+        part.write.mode("append").json(f"{base}/inbox/{k}")
         ingest(spark, f"{base}/inbox", f"{base}/table", f"{base}/checkpoint", schema, "key", lambda b: keyed(b, "event_id", "key"))
     return spark.read.parquet(f"{base}/table").select("event_id", "event_type")
