@@ -93,8 +93,17 @@ a AS (SELECT doc_id, CAST(n_chars % 4 AS INT) AS r, CAST(n_chars % 3 AS INT) AS
 
 @query(RATED_SQL + ", x AS (SELECT unnest([{'dim': 'R', 'got': r, 'want': w_r}, {'dim': 'D', 'got': d, 'want': w_d}, {'dim': 'E', 'got': e, 'want': w_e}], recursive := true) FROM g JOIN a USING (doc_id)) SELECT dim, count(*) AS n, count(*) FILTER (WHERE got = want) AS exact, count(*) FILTER (WHERE abs(got - want) <= 1) AS within_one, CAST(sum(abs(got - want)) AS BIGINT) AS abs_diff, CAST(sum(got - want) AS BIGINT) AS bias, exact / n AS exact_rate, within_one / n AS within_one_rate, abs_diff / n AS mean_abs, bias / n AS mean_bias FROM x GROUP BY dim")
 def gold_scorecard(spark, sf_dir):
+    return scorecard(spark, sf_dir, read(spark, sf_dir, "documents").where("doc_id % 3 <> 0"))
+
+
+@query(ORACLE["gold_scorecard"].replace(" WHERE doc_id % 3 <> 0", ""))
+def gold_scorecard_whole(spark, sf_dir):
+    return scorecard(spark, sf_dir, read(spark, sf_dir, "documents"))
+
+
+def scorecard(spark, sf_dir, documents):
     g = read(spark, sf_dir, "labels").select("doc_id", (F.col("doc_id") % 4).cast("int").alias("w_r"), (F.col("quality") + 1).alias("w_d"), (F.col("toxic") * 3).alias("w_e"))
-    a = read(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select("doc_id", (F.col("n_chars") % 4).cast("int").alias("r"), (F.col("n_chars") % 3).cast("int").alias("d"), (F.col("doc_id") % 2).cast("int").alias("e"))
+    a = documents.select("doc_id", (F.col("n_chars") % 4).cast("int").alias("r"), (F.col("n_chars") % 3).cast("int").alias("d"), (F.col("doc_id") % 2).cast("int").alias("e"))
     long = g.join(a, "doc_id").select(F.explode(F.array(*(F.struct(F.lit(x.upper()).alias("dim"), F.col(x).cast("long").alias("got"), F.col(f"w_{x}").cast("long").alias("want")) for x in "rde"))).alias("x")).select("x.*")
     return compare.dimension_scores(long)
 
@@ -109,8 +118,17 @@ def gold_left_join_missing(spark, sf_dir):
 SELECT issue_code, severity, count(*) AS n FROM (SELECT 'QUESTION_NOT_ANALYSED' AS issue_code, 'high' AS severity FROM q ANTI JOIN a USING (k) UNION ALL SELECT 'ANALYSIS_FOR_UNKNOWN_QUESTION', 'high' FROM a ANTI JOIN q USING (k)
 UNION ALL SELECT 'DUPLICATE_ANALYSIS', 'medium' FROM a JOIN q USING (k) GROUP BY k HAVING count(*) > 1) GROUP BY issue_code, severity""")
 def unknown_and_missing_antijoin(spark, sf_dir):
+    return payload_counts(spark, sf_dir, read(spark, sf_dir, "lineitem").where("l_orderkey < 2000"))
+
+
+@query(ORACLE["unknown_and_missing_antijoin"].replace(" WHERE l_orderkey < 2000", ""))
+def unknown_and_missing_antijoin_whole(spark, sf_dir):
+    return payload_counts(spark, sf_dir, read(spark, sf_dir, "lineitem"))
+
+
+def payload_counts(spark, sf_dir, lines):
     q = read(spark, sf_dir, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("source_question_id"))
-    a = read(spark, sf_dir, "lineitem").where("l_orderkey < 2000").select(F.col("l_partkey").cast("string").alias("source_question_id"))
+    a = lines.select(F.col("l_partkey").cast("string").alias("source_question_id"))
     return solving.check_payload(q, a).groupBy("issue_code", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
