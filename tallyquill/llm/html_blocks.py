@@ -35,25 +35,23 @@ def _bucket(s: str, n: int) -> int:
     return zlib.crc32(s.encode()) % n
 
 
-@cache
-def _path_places(path: tuple[str, ...]) -> np.ndarray:
-    names = [*path, *(f"{a}>{b}" for a, b in zip(path, path[1:]))]
+def _places(path: tuple[str, ...]) -> np.ndarray:
+    names = dict.fromkeys([*path, *(f"{a}>{b}" for a, b in zip(path, path[1:]))])
     return np.unique([_bucket(x, PATH) for x in names] or [0])
 
 
+_path_places = cache(_places)
+
+
 def vectors(blocks: list[Leaf]) -> np.ndarray:
     """A row for each block."""
     x = np.zeros((len(blocks), PATH + WORD + SHAPE), np.float32)
     for i, b in enumerate(blocks):
-        if len(b.path) < 200:
-            x[i, _path_places(b.path)] = 1
-        else:
-            x[i, [_bucket(p, PATH) for p in b.path]] = 1
-        words = b.text[:20_000].lower().split()[:400]  # a sketch of the words; the text itself is never cut
-        for w in dict.fromkeys(words):
+        x[i, _path_places(b.path) if len(b.path) < 200 else _places(b.path)] = 1  # long paths are not kept
+        for w in dict.fromkeys(b.text.lower().split()):
             x[i, PATH + _bucket(w, WORD)] += 1
         n = len(b.text)
-        x[i, PATH : PATH + WORD] /= max(1.0, np.sqrt(x[i, PATH : PATH + WORD].sum()))
+        x[i, PATH : PATH + WORD] /= max(1.0, np.linalg.norm(x[i, PATH : PATH + WORD]))  # of one length, however many words
         stops = sum(b.text.count(c) for c in ".!?;")
         x[i, -SHAPE:] = (min(1.5, np.log1p(n) / 6), b.link / n, min(1.0, stops / 4), min(1.0, n / 400), i / len(blocks), 1 - i / len(blocks), b.text[-1] in ".!?:;\"'”»", 1)
     return x

@@ -96,7 +96,7 @@ def leaves(page: str) -> list[Leaf]:
                     break
         names = [tag]
         for key, value in ATTRIBUTE.findall(m[3]):
-            names += [f"{key[0].lower()}:{w}" for w in WORDS.findall(value.strip("\"'").lower())[:8]]
+            names += [f"{key[0].lower()}:{w}" for w in WORDS.findall(value.strip("\"'").lower())]
         stack.append((tag, tuple(names)))
         repath()
     flush()

@@ -91,3 +91,26 @@ def test_nulls_repeats_and_empty(spark):
     rows = extract_main_text(df).collect()
     assert [(r.page_id, r.url, len(r.text) > 0) for r in sorted(rows, key=lambda r: (r.page_id is None, r.page_id or 0))] == [(1, None, False), (2, "u", False), (3, "v", True), (3, "v", True), (None, "w", True)]
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+def test_all_words_of_a_block_and_of_a_class_count():
+    def hashed(page):
+        return vectors(leaves(page))[0]
+
+    early = " ".join(f"w{i}" for i in range(400))
+    a, b = (hashed(f"<p>{early} {late}</p>") for late in ("reply comment posted", "story article chapter"))
+    assert (a[:-8] != b[:-8]).any()
+    a, b = (hashed("<p>" + "w" * 20_000 + f" {late}</p>") for late in ("reply", "story"))
+    assert (a[:-8] != b[:-8]).any()
+    utilities = " ".join(f"mt-{i} px-{i}" for i in range(9))
+    assert "c:comment" in leaves(f"<div class='{utilities} comment'>x</div>")[0].path
+    deep = "<div class='a'>" * 120
+    assert (hashed(deep + "<main><section><p>x")[:512] != hashed(deep + "<section><main><p>x")[:512]).any()
+
+
+def test_a_long_block_is_labelled_as_a_short_one():
+    for n in (30, 400, 2_500, 40_000):
+        story = " ".join(f"word{i * i % 9973} and{i}" + "." * (i % 9 == 0) for i in range(n))
+        menu = " ".join(f"<a href=/{i}>link{i}</a>" for i in range(n))
+        page = f"<html><body><nav>{menu}</nav><article><h1>A title</h1><p>{story}</p><p>The end of it.</p></article><footer>Copyright</footer></body></html>"
+        assert main_texts([page], trained()) == [f"A title\n{story}\nThe end of it."]
