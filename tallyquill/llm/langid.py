@@ -29,7 +29,6 @@ BUCKETS = 1 << 15
 CREDIT = 20.0
 SMOOTH = 0.5  # of declared codes and suffixes
 HOST, DOMAIN, SUFFIX = 8.0, 20.0, 50.0  # weight of the wider level, in pages
-LANGUAGES = 64  # at most
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -51,16 +50,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_text(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probability of each bucket under each) from a bounded sample of documents."""
+    """(languages, log-probability of each bucket under each) from a bounded sample of documents: every language it holds."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = min(1.0, sample / max(1, docs.count()))
     rows = known.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text").limit(2 * sample)
     got = rows.mapInArrow(_counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    langs = sorted({r.lang for r in got})[:LANGUAGES] or ["und"]
+    langs = sorted({r.lang for r in got}) or ["und"]
+    place = {x: i for i, x in enumerate(langs)}
     counts = np.full((BUCKETS, len(langs)), 0.0)
     for r in got:
-        if r.lang in langs:
-            counts[r.bucket, langs.index(r.lang)] = r.n
+        counts[r.bucket, place[r.lang]] = r.n
     counts += 2e4 * (counts.sum(1, keepdims=True) + 0.5) / (counts.sum() + 0.5 * BUCKETS) / 10  # towards all languages
     return langs, np.log(counts / counts.sum(0)).astype(np.float32)
 

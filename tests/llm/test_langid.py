@@ -3,7 +3,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from tallyquill.llm.langid import DOMAIN, HOST, SMOOTH, SUFFIX, address, declared, fuse, identify_languages
+from tallyquill.llm.langid import DOMAIN, HOST, SMOOTH, SUFFIX, address, declared, fit_text, fuse, identify_languages, trigrams
 from tallyquill.llm.queries import op1_language_id
 
 
@@ -68,3 +68,10 @@ def test_addresses(spark):
     assert [tuple(r) for r in df.collect()] == [("www.a.co.uk", "co.uk", "uk", "en"), ("a", "", "", "de"), ("x.y.fr", "y.fr", "fr", ""), ("", "", "", ""), ("h.com", "h.com", "com", ""), ("h.com", "h.com", "com", "es")]
     pages = ["<html lang=en-GB>", "<HTML class='x' LANG='Fr'>", "<html><body lang=de>", "", '<html xml:lang="es">']
     assert [r[0] for r in spark.createDataFrame([(p,) for p in pages], "p string").select(declared(F.col("p"))).collect()] == ["en", "fr", "", "", ""]
+
+
+def test_more_languages_than_a_few_dozen(spark):
+    names = [f"{a}{b}" for a in "abcdefgvz" for b in "abcdefghi"]
+    texts = [f"{x}{x}um {x}o{x} qu{x}l {x}is{x}" * 3 for x in names]
+    langs, table = fit_text(spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(zip(texts, names, strict=True))], "doc_id long, text string, lang string"))
+    assert langs == names and [langs[table[trigrams(t)].mean(0).argmax()] for t in texts] == names
