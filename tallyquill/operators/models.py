@@ -74,6 +74,15 @@ def call_model(prompts: DataFrame, make_client: Callable[[], ModelClient]) -> Da
     return prompts.select("id", "prompt").mapInPandas(run, f"id {dict(prompts.dtypes)['id']}, answer string, error string")
 
 
+def replayed(prompts: DataFrame, recordings: DataFrame) -> DataFrame:
+    """As call_model with a RecordedClient, from a table of recordings (k, a) of any size: k is a prompt's
+    SHA-256, a its answer. A join, so that nothing is collected; of several answers of a prompt the greatest counts."""
+    known = recordings.groupBy("k").agg(F.max("a").alias("a"), F.lit(True).alias("hit"))
+    j = prompts.select("id", F.sha2("prompt", 256).alias("k")).join(known, "k", "left")
+    error = F.when(F.col("hit").isNull(), "no recorded answer").when(~F.coalesce(F.col("a").rlike(r"\S"), F.lit(False)), "empty response")
+    return j.select("id", F.when(error.isNull(), F.col("a")).alias("answer"), error.alias("error"))
+
+
 def parsed(answers: DataFrame, schema: str) -> DataFrame:
     """answers plus payload, read by the schema; an answer cut short or not JSON has none and says so."""
     payload = F.from_json("answer", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})

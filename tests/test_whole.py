@@ -1,7 +1,10 @@
 """Queries that take whole tables, at a scale where a cut shows."""
 
+import hashlib
+
 import duckdb
 
+from tallyquill.operators import models
 from tallyquill.plans.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -29,3 +32,17 @@ def test_antijoin_takes_every_line(spark):
 def test_scorecard_takes_every_rated_document(spark):
     n = duckdb.execute(f"SELECT count(*) FROM '{SF}/labels.parquet' JOIN '{SF}/documents.parquet' USING (doc_id)").fetchone()[0]
     assert {r.n for r in QUERIES["gold_scorecard_whole"](spark, SF).collect()} == {n}
+
+
+def test_recordings_of_any_number_are_found(spark, tmp_path):
+    spark.range(4_000).selectExpr("id AS item_id", "concat('text ', id) AS text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.id: (r.level, r.error) for r in QUERIES["recorded_model_stage"](spark, str(tmp_path)).collect()}
+    assert got == {i: (i % 3, None) if i % 4 else (None, "no recorded answer") for i in range(4_000)}
+
+
+def test_replayed_as_by_a_client(spark):
+    prompts = spark.createDataFrame([(i, p) for i, p in enumerate(["a", "b", "c", "a"])], "id long, prompt string")
+    answers = {hashlib.sha256(p.encode()).hexdigest(): a for p, a in (("a", "{}"), ("b", " "))}
+    want = models.call_model(prompts, lambda: models.RecordedClient(answers)).collect()
+    got = models.replayed(prompts, spark.createDataFrame(list(answers.items()), "k string, a string")).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
