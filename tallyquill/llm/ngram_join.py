@@ -109,7 +109,7 @@ def _histograms(width: int):
             owner = np.repeat(np.arange(len(texts)), np.diff(starts))
             counts = np.bincount(owner * BUCKETS + (h >> np.uint64(56)).astype(np.int64), minlength=len(texts) * BUCKETS).reshape(-1, BUCKETS)
             packed = [c.astype(np.uint8).tobytes() if c.max() < 256 else b"" for c in counts]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], names=["id", "hist"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(starts), pa.int64()), pa.array(packed, pa.binary())], names=["id", "n", "hist"])
 
     return run
 
@@ -202,23 +202,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     group = Window.partitionBy("sig")
     shared = signed.select("doc_id", F.count(F.lit(1)).over(group).alias("k"), *(F.bit_xor(F.xxhash64("doc_id", F.lit(s))).over(group).alias(f"g{s}") for s in (1, 2))).where("k > 1")
     shared = shared.groupBy("g1", "g2", "doc_id").agg(F.count(F.lit(1)).alias("weight"))
-    # a group's members as classes; a class of which several copies gave signatures is one member
-    members = shared.join(class_of, "doc_id").groupBy("g1", "g2", "rep").agg(F.max("n").alias("n"), F.max("weight").alias("weight"))
+    # a group's members as classes; a class of which several copies gave signatures is one member, an id that
+    # stands for texts of several sizes is one member for each size
+    members = shared.join(class_of, "doc_id").groupBy("g1", "g2", "rep", "n").agg(F.max("weight").alias("weight"))
     members = written(few(members.select(F.xxhash64("g1", "g2").alias("g"), "rep", "n", "weight")), "members")
     sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     members = members.join(sizes, "g")
-    central = members.groupBy("rep").agg(F.sum(F.least(F.col("weight"), F.lit(1 << 20)) * F.col("k").cast("double")).alias("central"))
-    members = written(few(members.select("g", "rep", "n").join(central, "rep")), "groups")
+    central = members.groupBy("rep", "n").agg(F.sum(F.least(F.col("weight"), F.lit(1 << 20)) * F.col("k").cast("double")).alias("central"))
+    members = written(few(members.select("g", "rep", "n").join(central, ["rep", "n"])), "groups")
     # the joins of texts and counts are sort-merge joins at every size: what they move grows with the input
     texts = written(rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi"), "texts")
 
-    hists = written(few(texts.mapInArrow(_histograms(width), "id long, hist binary")), "histograms")
+    hists = written(few(texts.mapInArrow(_histograms(width), "id long, n long, hist binary")), "histograms")
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def possible(pairs: DataFrame) -> DataFrame:
         for x in "ab":
-            pairs = pairs.join(hists.select(F.col("id").alias(x), F.col("hist").alias(f"h{x}")).hint("merge"), x)
-        near = written(few(pairs.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_possible(percent), "a long, b long").distinct()), "near")
-        return checked(near)
+            pairs = pairs.join(hists.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("hist").alias(f"h{x}")).hint("merge"), [x, f"n{x}"])
+        return written(few(pairs.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_possible(percent), "a long, b long").distinct()), "near")
 
     def checked(near: DataFrame) -> DataFrame:
         a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
@@ -233,8 +233,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         return fit.select(*ends).distinct()
 
     links = found = None
-    done = rows.sparkSession.createDataFrame([], "a long, b long, na long, nb long")
-    centres = rows.sparkSession.createDataFrame([], "g long, a long")
+    done = rows.sparkSession.createDataFrame([], "a long, b long")
+    centres = rows.sparkSession.createDataFrame([], "g long, a long, na long")
     n_members = members.count()
     labelled = members.withColumn("label", F.col("rep"))
     for step in range(STAR_ROUNDS + 1):
@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         if last:
             # in blocks: groups of any size are compared without a row for each pair
             parts = labelled.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
-            dealt = labelled.join(parts, "g").join(hists.hint("merge"), F.col("rep") == F.col("id")).withColumn("block", F.pmod(F.xxhash64("rep", "g"), F.col("k")).cast("int"))
+            dealt = labelled.join(parts, "g").join(hists.withColumnRenamed("id", "rep").hint("merge"), ["rep", "n"]).withColumn("block", F.pmod(F.xxhash64("rep", "g"), F.col("k")).cast("int"))
             blocks = dealt.groupBy("g", "block").agg(F.collect_list(F.struct("rep", "n", "label", "hist")).alias("m"))
             twos = blocks.select("g", F.col("block").alias("i"), F.col("m").alias("x")).join(blocks.select("g", F.col("block").alias("j"), F.col("m").alias("y")), "g").where("i <= j")
             near = twos.select("x", "y").mapInArrow(_compared(percent), "a long, b long").distinct().join(done, ["a", "b"], "left_anti")
@@ -260,14 +260,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
             links = found if links is None else links.unionByName(found)
             break
         else:
-            fresh = a.join(centres, ["g", "a"], "left_anti")
-            top = fresh.groupBy("g").agg(F.max_by(F.struct("a", "na", "la"), F.struct("central", -F.col("a"))).alias("c")).select("g", "c.*")
+            fresh = a.join(centres, ["g", "a", "na"], "left_anti")
+            top = fresh.groupBy("g").agg(F.max_by(F.struct("a", "na", "la"), F.struct("central", -F.col("a"), "na")).alias("c")).select("g", "c.*")
             top = written(few(top), "centres")
-            centres = centres.unionByName(top.select("g", "a"))
+            centres = centres.unionByName(top.select("g", "a", "na"))
             pairs = top.join(b, "g").where("la <> lb")
         pairs = written(few(apart(pairs)), "pairs")
-        done = done.unionByName(pairs)
-        found = linked(pairs)
+        # all texts of the two ids are compared, so such a pair is done whatever the sizes it came with
+        near = possible(pairs)
+        done = done.unionByName(near)
+        found = checked(near)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
         labelled = labelled.drop("label").join(labels, F.col("rep") == F.col("node"), "left").select("g", "rep", "n", "central", F.coalesce("label", "rep").alias("label"))
@@ -277,7 +279,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     ties = class_of.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     labels = components(ties if links is None else links.unionByName(ties)) if not (links is None and ties.isEmpty()) else None
     if labels is None:
-        component_of = class_of.select("doc_id", F.col("rep").alias("component_id"))
+        component_of = class_of.groupBy("doc_id").agg(F.min("rep").alias("component_id"))
     else:
         named = class_of.join(labels, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("label", "rep").alias("component_id"))
         component_of = named.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))

@@ -111,3 +111,14 @@ def test_shingle_sets_agree_with_words():
     starts, h = shingle_sets(texts, 4)
     assert np.diff(starts).tolist() == [len(shingles(t, 4)) for t in texts]
     assert set(h[starts[4] : starts[5]].tolist()) <= set(h[starts[5] : starts[6]].tolist())
+
+
+def test_each_text_of_a_repeated_id_is_compared_by_its_own_size(spark):
+    short, long = " ".join(f"s{i}" for i in range(13)), " ".join(f"l{i}" for i in range(1003))
+    near = short + " s13"
+    rows = [(1, short), (1, long), (2, near), (3, long + " x"), (4, "by itself"), (4, "quite alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = near_duplicates(df, 4, 85).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == [(1, 10, 1), (1, 1000, 1), (2, 11, 1), (3, 1001, 1), (4, 1, 4), (4, 1, 4)]
+    alone = near_duplicates(df.where("doc_id in (1, 4)"), 4, 85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in alone) == [(1, 1), (1, 1), (4, 4), (4, 4)]
