@@ -156,13 +156,13 @@ def wrap_bare_formulas(text: Column) -> Column:
 # ---- answers
 
 def strip_latex(s: Column) -> Column:
-    """Plain text of an answer: \\frac{a}{b} -> (a)/(b), innermost first, up to six deep."""
+    """Plain text of an answer: \\frac{a}{b} -> (a)/(b), innermost first, however deep."""
     s = F.regexp_replace(s, r"\\[\(\)\[\]]", "")
     s = F.regexp_replace(s, r"\\(left|right|,|;|!|quad|displaystyle)", "")
     s = F.regexp_replace(s, r"(?U)\\sqrt\s*\{([^{}]*)\}", "sqrt($1)")
     s = F.regexp_replace(F.regexp_replace(s, r"\^\{([^{}]*)\}", "^$1"), r"_\{([^{}]*)\}", "_$1")
-    for _ in range(6):
-        s = F.regexp_replace(s, r"(?U)\\(?:d|t)?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "($1)/($2)")
+    passes = F.sequence(F.lit(1), F.regexp_count(s, F.lit("frac")))  # a pass unwraps one at least, if any is left
+    s = F.aggregate(passes, s, lambda t, _: F.regexp_replace(t, r"(?U)\\(?:d|t)?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "($1)/($2)"))
     s = F.regexp_replace(s, r"(?U)\((\w+)\)", "$1")
     for a, b in (("\\pm", "±"), ("\\times", "*"), ("\\cdot", "*"), ("\\pi", "π")):
         s = F.replace(s, F.lit(a), F.lit(b))

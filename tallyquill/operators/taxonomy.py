@@ -7,6 +7,7 @@ errors: error_id, name_en, name_zh, skills, description; objectives: ref, status
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def closure(edges: DataFrame, most: int = 64) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """(start, reached, depth) over edges (node, next): everything reachable, at its least depth, a start
     itself only through a cycle. A frontier is joined with the edges until it brings nothing new."""
     edges = edges.select("node", "next").distinct()
     found = frontier = edges.select(F.col("node").alias("start"), F.col("next").alias("reached"), F.lit(1).alias("depth"))
-    for depth in range(2, most + 1):
+    for depth in count(2):
         step = frontier.join(edges, F.col("reached") == F.col("node")).select("start", F.col("next").alias("reached")).distinct()
         frontier = cut(step.join(found, ["start", "reached"], "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
