@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +18,8 @@ from tallyquill.llm.quality_cnn import quality_rows
 from tallyquill.llm.secret_scan import joined, scan_secrets
 from tallyquill.llm.toxicity import toxic_rows
 
-#: Folder of the public tokenizers' files; a parameter of the operators that read them.
-TOKENIZERS = "/opt/tokenizers"
-BYTE_BPE = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
-WORD_BPE = os.path.join(TOKENIZERS, "word_bpe_49k.json")
+#: Files of the public tokenizers; a parameter of the operators that read them.
+BYTE_BPE, WORD_BPE = path("byte_bpe_50k.json"), path("word_bpe_49k.json")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

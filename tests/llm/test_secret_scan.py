@@ -1,5 +1,6 @@
 import math
 import re
+import time
 from hashlib import sha256
 
 from pyspark.sql import functions as F
@@ -73,3 +74,48 @@ def test_redaction_and_empty(spark):
     got = scan_secrets(df).select("doc_id", redacted(F.coalesce("text", F.lit("")), F.col("all_spans")).alias("t"), joined(F.col("base_spans")).alias("j"))
     assert [tuple(r) for r in got.orderBy("doc_id").collect()] == [(1, "a [SECRET] b", "assign:2:20"), (2, "", "")]
     assert scan_secrets(df.limit(0)).count() == 0
+
+
+def timed(df):
+    began = time.time()
+    rows = df.collect()
+    return rows, time.time() - began
+
+
+def test_long_candidates_slugs_and_many_spans(spark):
+    """Texts that one long string or very many findings fill: right, and in time that grows with their length."""
+    import random
+
+    rnd = random.Random(3)
+    blob = "".join(rnd.choice(ALPHABET) for _ in range(100_000))
+    flat = "a1" * 50_000
+    texts = {
+        1: "x " + blob + " y", 2: "ab-" * 33_000 + "1x", 3: "ab-" * 33_000 + "17", 4: flat, 5: " ".join(f"token=abcdefghij{i:06d}" for i in range(10_000)),
+        6: "é " + " ".join("".join(rnd.choice(ALPHABET[10:62]) for _ in range(24)) + str(i) for i in range(10_000)), 7: "= " * 20_000 + "-/" * 20_000,
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows, seconds = timed(scan_secrets(df).withColumn("hidden", redacted(F.col("text"), F.col("all_spans"))))
+    got = {r.doc_id: r for r in rows}
+    for i, t in texts.items():
+        assert [tuple(s) for s in got[i].base_spans] == base(t)
+    hot = {i: [(s.start, s.end) for s in r.all_spans if s.kind == 3] for i, r in got.items()}
+    assert hot[1] == [tuple(2 + p for p in windows(blob, THRESHOLDS["base64"]))]
+    assert not any(hot[i] for i in (2, 3, 4, 5, 7))
+    assert len(got[5].base_spans) == 10_000 and got[5].hidden == " ".join(["[SECRET]"] * 10_000)
+    assert len(hot[6]) > 9_000
+    want, at = [], 0
+    for a, b in hot[6]:
+        want += [texts[6][at:a], "[SECRET]"]
+        at = b
+    assert got[6].hidden == "".join(want) + texts[6][at:]
+    assert seconds < 60
+
+
+def test_counts_do_not_drift(spark):
+    import random
+
+    rnd = random.Random(8)
+    s = "".join(rnd.choice(ALPHABET[: rnd.choice([3, 8, 20])]) for _ in range(5_000))
+    for x in (2.0, 2.6, 3.0, 3.3, 3.7):
+        r = spark.createDataFrame([(s,)], "s string").select(hot_range(F.col("s"), F.lit(x)).alias("r")).first().r
+        assert (r.first, r.last) == windows(s, x)
