@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyquill.llm.html_leaves import Leaf, leaves
+from tallyquill.llm.html_leaves import PATH, Leaf, leaves
 
-PATH, WORD, SHAPE = 512, 256, 8
+WORD, SHAPE = 256, 8
 PROJECTED, HIDDEN = 24, 24
 PAGES, EPOCHS, BATCH, RATE = 900, 5, 24, 6e-3
 
@@ -35,25 +35,18 @@ def _bucket(s: str, n: int) -> int:
     return zlib.crc32(s.encode()) % n
 
 
-def _places(path: tuple[str, ...]) -> np.ndarray:
-    names = dict.fromkeys([*path, *(f"{a}>{b}" for a, b in zip(path, path[1:]))])
-    return np.unique([_bucket(x, PATH) for x in names] or [0])
-
-
-_path_places = cache(_places)
-
-
-def vectors(blocks: list[Leaf]) -> np.ndarray:
-    """A row for each block."""
+def vectors(blocks: list[Leaf], first: int = 0, total: int | None = None) -> np.ndarray:
+    """A row for each block; the blocks are those from place ``first`` of a page of ``total``."""
+    total = len(blocks) if total is None else total
     x = np.zeros((len(blocks), PATH + WORD + SHAPE), np.float32)
     for i, b in enumerate(blocks):
-        x[i, _path_places(b.path) if len(b.path) < 200 else _places(b.path)] = 1  # long paths are not kept
+        x[i, :PATH] = np.unpackbits(np.frombuffer(b.places.to_bytes(PATH // 8, "little"), np.uint8), bitorder="little")
         for w in dict.fromkeys(b.text.lower().split()):
             x[i, PATH + _bucket(w, WORD)] += 1
-        n = len(b.text)
+        n, at = len(b.text), (first + i) / total
         x[i, PATH : PATH + WORD] /= max(1.0, np.linalg.norm(x[i, PATH : PATH + WORD]))  # of one length, however many words
         stops = sum(b.text.count(c) for c in ".!?;")
-        x[i, -SHAPE:] = (min(1.5, np.log1p(n) / 6), b.link / n, min(1.0, stops / 4), min(1.0, n / 400), i / len(blocks), 1 - i / len(blocks), b.text[-1] in ".!?:;\"'”»", 1)
+        x[i, -SHAPE:] = (min(1.5, np.log1p(n) / 6), b.link / n, min(1.0, stops / 4), min(1.0, n / 400), at, 1 - at, b.text[-1] in ".!?:;\"'”»", 1)
     return x
 
 
@@ -70,8 +63,8 @@ class Labeller:
         for d in "fb":
             self.p |= {f"w{d}": normal(PROJECTED + HIDDEN, 4 * HIDDEN), f"b{d}": np.concatenate((np.ones(HIDDEN), np.zeros(3 * HIDDEN))).astype(np.float32)}
 
-    def _run(self, v: np.ndarray, mask: np.ndarray, d: str):
-        """v: (time, batch, PROJECTED), mask: (time, batch, 1). Hidden states and what the way back needs."""
+    def _run(self, v: np.ndarray, mask: np.ndarray, d: str, back: bool = True):
+        """v: (time, batch, PROJECTED), mask: (time, batch, 1). Hidden states and, if wanted, what the way back needs."""
         t, n, _ = v.shape
         h, c, w, b = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), self.p["w" + d], self.p["b" + d]
         out, kept = np.zeros((t, n, HIDDEN), np.float32), []
@@ -82,7 +75,8 @@ class Labeller:
             f, g_in, g_out, new = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :], np.tanh(a[:, 3 * HIDDEN :])
             c2 = f * c + g_in * new
             tc = np.tanh(c2)
-            kept.append((i, z, f, g_in, g_out, new, c, tc))
+            if back:
+                kept.append((i, z, f, g_in, g_out, new, c, tc))
             h, c = mask[i] * (g_out * tc) + (1 - mask[i]) * h, mask[i] * c2 + (1 - mask[i]) * c
             out[i] = h
         return out, kept
@@ -104,10 +98,19 @@ class Labeller:
             dh, dc = dz[:, PROJECTED:] + dh * (1 - m), d2 * f + dc * (1 - m)
         return dv
 
+    def project(self, x: np.ndarray) -> np.ndarray:
+        return np.tanh(x @ self.p["in"] + self.p["in_b"])
+
+    def embed(self, blocks: list[Leaf]) -> np.ndarray:
+        """Projected vectors of a page's blocks, some thousands at a time: the wide ones never stand together."""
+        return np.concatenate([self.project(vectors(blocks[i : i + 2048], i, len(blocks))) for i in range(0, len(blocks), 2048)])
+
     def forward(self, x: np.ndarray, mask: np.ndarray):
-        v = np.tanh(x @ self.p["in"] + self.p["in_b"])
-        hf, kf = self._run(v, mask, "f")
-        hb, kb = self._run(v, mask, "b")
+        return self.read(self.project(x), mask)
+
+    def read(self, v: np.ndarray, mask: np.ndarray, back: bool = True):
+        hf, kf = self._run(v, mask, "f", back)
+        hb, kb = self._run(v, mask, "b", back)
         last = np.concatenate((hf, hb, v), 2)
         return last @ self.p["out"] + self.p["out_b"][0], (v, last, kf, kb)
 
@@ -131,8 +134,8 @@ class Labeller:
             take = max(1, min(64, 6_000 // len(pages[order[min(at + 63, len(order) - 1)]])))
             some = order[at : at + take]
             at += take
-            x, mask, _ = padded([(vectors(pages[i]), None) for i in some])
-            logit, _ = self.forward(x, mask)
+            v, mask, _ = padded([(self.embed(pages[i]), None) for i in some])
+            logit, _ = self.read(v, mask, back=False)
             for k, i in enumerate(some):
                 out[i] = logit[: len(pages[i]), k] > 0
         return out
@@ -296,13 +299,20 @@ def main_texts(pages: list[str], net: Labeller) -> list[str]:
     return ["\n".join(b.text for b, good in zip(f, y, strict=True) if good) for f, y in zip(found, net.label(found), strict=True)]
 
 
+def _unused(name: str, taken: list[str]) -> str:
+    """A column name that is not taken, in any case of letters."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def extract_main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """pages with the main text in out_col, replacing a column of that name; null and empty pages have
     none ("" ). Whole pages are read, every block labelled main text is given whole. Repeated rows stay."""
     net = trained()
     others = [c for c in pages.columns if c not in (html_col, out_col)]
-    rows = pages.select(*(F.col(f"`{c}`") for c in others), F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("__page"))
-    schema = rows.drop("__page").withColumn(out_col, F.lit("")).schema
+    rows = pages.select(*(F.col(f"`{c}`") for c in others), F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias(_unused("page", others)))
+    schema = rows.select(*(F.col(f"`{c}`") for c in others), F.lit("").alias(out_col)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,103 +1,236 @@
-"""Leaf blocks of a page: runs of text between block-level tags, with the path of tags above them."""
+"""Leaf blocks of a page: runs of text between block-level tags, with the path of tags above them.
+
+The page is read once from left to right, as HTML says: a quote opens a value only after '=', a comment,
+a script or a tag that never ends runs to the end of the page. A quote that is never closed does not: its
+tag ends at the next '>'. Work is linear in the page, however deep its tags are nested: a block refers to
+the node it stands under, and nodes share what is above them.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+import zlib
+from functools import lru_cache
 
-#: Tags that stay inside a block; all others end one. Fixed by HTML.
+#: Tags that stay inside a block; all others end one. Fixed by HTML and MathML.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+MATHS = frozenset("math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+#: Empty elements, and those of them that do not end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea title xmp noembed noframes".split())
+UNSEEN = frozenset("area base embed img input link meta param source track".split())
+#: Elements whose content is no text of the page; of the first no other element can be in it.
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+SKIPPED = frozenset("noscript template object svg canvas annotation annotation-xml".split())
 #: An opening tag of the key closes an open tag of its values, up to a tag that holds such things.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = frozenset("ul ol dl table body article section div main nav aside footer header form select blockquote".split())
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<[!?/][^>]*+>""", re.S)
-ATTRIBUTE = re.compile(r"""(?<![^\s"'])(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+ATTRIBUTE = re.compile(r"[\s/]*+([^\s/>=][^\s/>=]*+)(\s*+=\s*+)?")
+BLANK = re.compile(r"[\s/]*+")
+END = re.compile(r"[\s/]*+>")
+PLAIN = re.compile(r"[^\s>]*+")
 WORDS = re.compile(r"[a-z]+|[0-9]+")
+KEPT = {"class": "c", "id": "i", "role": "r", "itemprop": "i"}
+PATH = 512  # places of a hashed path
+
+
+@lru_cache(1 << 16)
+def bit(name: str) -> int:
+    return 1 << zlib.crc32(name.encode()) % PATH
+
+
+class Node:
+    """An open tag: its names (the tag and its class, id, role and itemprop words) and the places, as bits,
+    of all names and neighbouring pairs of names from the root to it."""
+
+    __slots__ = ("above", "names", "places")
+
+    def __init__(self, above: Node | None, names: list[str]):
+        self.above, self.names = above, names
+        places = above.places if above else 0
+        last = above.names[-1] if above else None
+        for n in names:
+            places |= bit(n) if last is None else bit(n) | bit(f"{last}>{n}")
+            last = n
+        self.places = places
 
 
 class Leaf:
-    __slots__ = ("path", "text", "link", "words")
+    __slots__ = ("node", "text", "link")
+
+    def __init__(self, node: Node | None, text: str, link: int):
+        self.node, self.text, self.link = node, text, link
+
+    @property
+    def places(self) -> int:
+        return self.node.places if self.node else 1
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        nodes, node = [], self.node
+        while node:
+            nodes.append(node)
+            node = node.above
+        return tuple(x for n in reversed(nodes) for x in n.names)
+
+
+class _Page:
+    """A page and how far it is read."""
+
+    def __init__(self, text: str):
+        self.text, self.at = text, 0
+        self.gone: set[str] = set()  # what was looked for and does not stand in the rest
+
+    def find(self, s: str, at: int) -> int:
+        if s in self.gone:
+            return -1
+        p = self.text.find(s, at)
+        if p < 0:
+            self.gone.add(s)
+        return p
 
-    def __init__(self, path: tuple[str, ...], text: str, link: int):
-        self.path, self.text, self.link = path, text, link
+    def skip_to(self, s: str, at: int) -> None:
+        p = self.find(s, at)
+        self.at = p + len(s) if p >= 0 else len(self.text)
+
+    def end_tag(self, tag: str) -> int:
+        """Where the element's end tag ends, -1 if there is none."""
+        if tag in self.gone:
+            return -1
+        m = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>", re.I).search(self.text, self.at)
+        if m is None:
+            self.gone.add(tag)
+        return m.end() if m else -1
+
+    def tag_rest(self) -> tuple[dict[str, str], bool] | None:
+        """Attributes that count and whether the tag closes itself; None where the page ends before."""
+        kept: dict[str, str] = {}
+        while True:
+            m = END.match(self.text, self.at)
+            if m:
+                self.at = m.end()
+                return kept, m[0][-2:-1] == "/"
+            m = ATTRIBUTE.match(self.text, self.at)
+            if m is None:
+                self.at = BLANK.match(self.text, self.at).end() + 1  # over a stray '='
+                if self.at > len(self.text):
+                    return None
+                continue
+            self.at, value = m.end(), ""
+            if m[2]:
+                quote = self.text[self.at : self.at + 1]
+                if quote in ('"', "'") and quote:
+                    end = self.find(quote, self.at + 1)
+                    if end < 0:  # never closed
+                        self.skip_to(">", self.at)
+                        return kept, False
+                    value, self.at = self.text[self.at + 1 : end], end + 1
+                else:
+                    v = PLAIN.match(self.text, self.at)
+                    value, self.at = v[0], v.end()
+            key = m[1].lower()
+            if key in KEPT and key not in kept:
+                kept[key] = value
 
 
 def leaves(page: str) -> list[Leaf]:
     """All non-empty blocks in page order. Character references are decoded once, white space inside a
-    block is one space; script, style and the like have no text; an unclosed comment or script runs to
-    the end of the page. A break ends a block."""
+    block is one space; script, style and the like have no text and end no block, no more than pictures
+    do; formulas are text. An unclosed comment, script or tag runs to the end of the page. A break ends a block."""
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Node, int]] = []  # tag, node, place of the nearest tag at or below that holds others
+    opened: dict[str, list[int]] = {}  # places in the stack by tag
     parts: list[str] = []
-    state = {"link": 0, "links": 0}
-    path: tuple[str, ...] = ()
+    node: Node | None = None
+    link, in_link = 0, False
+    src = _Page(page)
 
     def flush() -> None:
+        nonlocal link
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
-                out.append(Leaf(path, text, min(state["link"], len(text))))
+                out.append(Leaf(node, text, min(link, len(text))))
             parts.clear()
-        state["link"] = 0
-
-    def repath() -> None:
-        nonlocal path
-        path = tuple(x for _, names in stack for x in names)
+        link = 0
 
     def said(text: str) -> None:
+        nonlocal link
+        text = html.unescape(text)
         parts.append(text)
-        if state["links"]:
-            state["link"] += len(text.strip())
+        if in_link:
+            link += len(text.strip())
 
-    at, n = 0, len(page)
-    while at < n:
-        m = TOKEN.search(page, at)
-        if m is None:
-            said(page[at:])
+    def pop_to(place: int) -> None:
+        while len(stack) > place:
+            opened[stack.pop()[0]].pop()
+
+    def last(tag: str) -> int:
+        return opened[tag][-1] if opened.get(tag) else -1
+
+    n = len(page)
+    while src.at < n:
+        start = src.find("<", src.at)
+        if start < 0:
+            said(page[src.at :])
             break
-        if m.start() > at:
-            said(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if tag is None:
+        if start > src.at:
+            said(page[src.at : start])
+        closing = page[start + 1 : start + 2] == "/"
+        m = NAME.match(page, start + 1 + closing)
+        if m is None:
+            if page.startswith("<!--", start):
+                src.skip_to("-->", start + 2 if page.startswith(("<!-->", "<!--->"), start) else start + 4)
+            elif page[start + 1 : start + 2] in ("!", "?", "/") and start + 1 < n:
+                src.skip_to(">", start + 1)
+            else:
+                said("<")
+                src.at = start + 1
             continue
-        tag = tag.lower()
-        if tag in INLINE:
+        tag = m[0].lower()
+        src.at = m.end()
+        rest = src.tag_rest()
+        if rest is None:
+            break
+        kept, itself = rest
+        if tag in INLINE or tag in MATHS:
             if tag == "a":
-                state["links"] = 0 if m[1] else 1
-            continue
-        flush()
-        if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    state["links"] = 0
-                    repath()
-                    break
+                in_link = not closing
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+        if not closing and (tag in RAW or tag in SKIPPED):
+            if itself and tag in SKIPPED:
+                continue
+            end = src.end_tag(tag)
+            if end >= 0:
+                src.at = end
+            elif tag in RAW and not itself:
+                src.at = n
             continue
-        if tag in VOID or m[3].endswith("/") and tag not in HOLDS and tag != "p":
+        if tag in RAW or tag in SKIPPED or tag in UNSEEN:
             continue
-        closing = CLOSES.get(tag, ()) or ({"p"} if tag in ENDS_P else ())
+        flush()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in closing:
-                    del stack[i:]
-                    break
-                if stack[i][0] in HOLDS:
-                    break
+            place = last(tag)
+            if place >= 0:
+                pop_to(place)
+                in_link = False
+                node = stack[-1][1] if stack else None
+            continue
+        if tag in VOID or itself and tag not in HOLDS and tag != "p":
+            continue
+        closes = CLOSES.get(tag, ()) or (("p",) if tag in ENDS_P else ())
+        place = max((last(t) for t in closes), default=-1)
+        if place >= 0 and place > (stack[-1][2] if stack else -1):
+            pop_to(place)
+            node = stack[-1][1] if stack else None
         names = [tag]
-        for key, value in ATTRIBUTE.findall(m[3]):
-            names += [f"{key[0].lower()}:{w}" for w in WORDS.findall(value.strip("\"'").lower())]
-        stack.append((tag, tuple(names)))
-        repath()
+        for key, value in kept.items():
+            names += [f"{KEPT[key]}:{w}" for w in WORDS.findall(value.lower())]
+        node = Node(node, names)
+        opened.setdefault(tag, []).append(len(stack))
+        stack.append((tag, node, len(stack) if tag in HOLDS else stack[-1][2] if stack else -1))
     flush()
     return out

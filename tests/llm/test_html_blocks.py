@@ -1,5 +1,6 @@
 import html as H
 import re
+import time
 from random import Random
 
 import numpy as np
@@ -114,3 +115,46 @@ def test_a_long_block_is_labelled_as_a_short_one():
         menu = " ".join(f"<a href=/{i}>link{i}</a>" for i in range(n))
         page = f"<html><body><nav>{menu}</nav><article><h1>A title</h1><p>{story}</p><p>The end of it.</p></article><footer>Copyright</footer></body></html>"
         assert main_texts([page], trained()) == [f"A title\n{story}\nThe end of it."]
+
+
+def test_faulty_and_unusual_markup():
+    def texts(page):
+        return [b.text for b in leaves(page)]
+
+    assert texts('<p title="x>Hello') == ["Hello"]
+    assert texts("<p>a <a href=foo'>b</a> c</p>") == ["a b c"]
+    assert texts('<p>one</p><svg width="1"/><p>two</p>') == ["one", "two"]
+    assert texts("<p>icon <svg><title>no</title><path d='M1'/></svg> inside</p>") == ["icon inside"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p>") == ["Let x=2 be"]
+    assert texts("<p>a <img src=x> b<script>c</script> d <!-- e --> f</p>") == ["a b d f"]
+    assert texts("<p>a</p><svg><p>b</p>") == ["a", "b"]  # never closed
+    assert texts("<script src=x/><p>a</p>") == [] and texts("<script src='x' /><p>a</p>") == ["a"]
+    assert texts("a < b <1 </ > </p x='>'> c <!doctype x> <?php y ?> d") == ["a < b <1", "c d"]
+    assert texts("<P CLASS=a class=b =x / y = 'z'>t</P\n>u") == ["t", "u"]
+    assert leaves("<P CLASS=a class=b =x / y = 'z'>t")[0].path == ("p", "c:a")
+    assert texts("x <a href='y") == ["x"] and texts("<!-->a") == ["a"] and texts("<p>&am<b>p;</b>") == ["&amp;"]
+    assert texts("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>") == ["a", "b", "c", "d", "e"]
+
+
+def test_large_broken_pages_take_time_in_proportion():
+    began = time.time()
+    n = 250_000
+    assert leaves("<a " * n) == [] and len(leaves("<p>x</p>" + "<a <b> " * n)) == 1
+    deep = leaves("<div class=c>" * 100_000 + "deep" + "</span>" * 100_000 + "<h1>t" * 1_000)
+    assert deep[0].text == "deep" and len(deep) == 1_001
+    assert len(leaves("<p><section>" + "<foo>" * 100_000 + "<h2>x</h3>" * 10_000)) == 10_000
+    for piece in ("<", "<!--", "</", "<svg>", "<a b=\"", "&", "<p x='", "</p", "<script ", "<svg/><title/>", "<a = / ="):
+        leaves(piece * n)
+    assert time.time() - began < 30
+
+
+def test_a_page_of_very_many_blocks():
+    story = "".join(f"<p>Sentence number {i} of the story, told at length.</p>" for i in range(20_000))
+    text = main_texts([f"<html><body><nav><a href=#>x</a></nav><article>{story}</article></body></html>"], trained())[0]
+    assert text.count("\n") > 19_000
+
+
+def test_columns_of_any_name_pass(spark):
+    df = spark.createDataFrame([(1, "<article><p>A story that is told here.</p></article>")], "page long, html string").withColumn("PAGE_", F.lit("x")).withColumn("__page", F.lit(2))
+    r = extract_main_text(df).first()
+    assert (r.page, r["PAGE_"], r["__page"]) == (1, "x", 2)
