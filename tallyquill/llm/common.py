@@ -7,12 +7,16 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UNSET_DIR = "/tmp/checkpoints"
+HOT_KEYS = 1000  # a key is hot if it holds more than this part of all rows, so there are fewer hot keys
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or UNSET_DIR
+    """The folder all executors share, spark.checkpoint.dir. An error where it is unset: a local one would
+    hold another part of the rows on each machine."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("spark.checkpoint.dir is not set: the operators write intermediate tables to it")
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +29,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_hot(rows: DataFrame, small: DataFrame, hot: DataFrame, keys: list[str], spread: str) -> DataFrame:
+    """rows joined with the one row that ``small`` has for each of their keys, which are not null.
+
+    ``hot`` holds those rows of small whose keys hold more than 1 in HOT_KEYS of all rows: fewer than
+    HOT_KEYS, so they are broadcast. Rows with such keys are dealt by the column ``spread`` in the join with
+    the rest, where they find nothing; no task gets all rows of a key that grows with the input.
+    """
+    new = [c for c in small.columns if c not in keys]
+    known = hot.select(*keys, F.struct(*new).alias("__hot"))
+    j = rows.join(F.broadcast(known), keys, "left").withColumn("__salt", F.when(F.col("__hot").isNotNull(), F.xxhash64(spread)))
+    rest = small.select(*keys, F.struct(*new).alias("__rest"), F.lit(0).cast("long").alias("__of"))
+    on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    j = j.alias("l").join(rest.alias("r"), [*on, F.coalesce("l.__salt", F.lit(0)) == F.col("r.__of")], "left")
+    found = F.coalesce("l.__hot", "r.__rest")
+    return j.where(found.isNotNull()).select(*(F.col(f"l.{c}") for c in rows.columns), *(found[c].alias(c) for c in new))
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 

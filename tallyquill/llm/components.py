@@ -8,26 +8,20 @@ from pyspark.sql import functions as F
 from tallyquill.llm.common import written
 
 
-def few(df: DataFrame) -> DataFrame:
-    """At most two tasks a core for small steps of a loop."""
-    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
-
-
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of links (a, b): label is the smallest node reachable.
 
     Each round every node takes the least label among its own and its neighbours', then the label of
     its label; rounds end when nothing changes. Nothing is collected but whether a row changed.
     """
-    both = few(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
-    both = written(both, "links")
-    labels = written(few(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label"))), "labels")
+    both = written(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         new = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         of = new.select(F.col("node").alias("via"), F.col("label").alias("of"))
         jumped = new.join(of, F.col("label") == F.col("via"), "left").select("node", "old", F.least("label", F.coalesce("of", "label")).alias("label"))
-        labels = written(few(jumped), "labels")
+        labels = written(jumped, "labels")
         if labels.where("label <> old").isEmpty():
             return labels.select("node", "label")
         labels = labels.select("node", "label")

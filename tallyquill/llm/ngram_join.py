@@ -2,19 +2,24 @@
 
 1. Sets: one pass gives each document's set size and 128-bit digest; documents with equal sets form a
    class, stood for by its smallest id, whatever its size.
-2. Common shingles: those of many distinct sets in a bounded sample. They are left out of the signatures,
-   which changes what is compared and never what is found.
-3. Signatures: a second pass gives (document, signature) rows; within a task copies of one set are given
-   once. Rows with the same signature form a group; groups of the same members are kept once.
+2. A bounded sample shows which shingles are common (those of many distinct sets: they are left out of the
+   signatures, which changes what is compared and never what is found) and which signatures are hot.
+3. Signatures: a second pass gives (first half of the set's digest, signature) rows; rows with the same
+   signature form a group, unless all are of one set; groups of the same sets are kept once. Rows of a
+   hot signature, of which there are boundedly many, are dealt by salt at every step.
 4. Checks: in each group the member that shares most signatures is compared with all others, which
    links most of a group; links make components. Only members of a group in different components
-   remain; all pairs of these are compared, block with block, so that no row is made for a pair.
+   remain; all pairs of these are compared, block with block, so that no row is made for a pair, and
+   the blocks of a large group go to many tasks.
    A comparison is first of bucket counts, which bound the intersection from above, and only where
    these allow a link of text with text. A pair within one component needs no check, since components are what is asked for, so
    no link is lost and large groups of near copies cost a few times their size.
 5. Components of the links; every document takes its class's component.
 
 Texts of documents in some group are fetched once and written to the shared folder for the checks.
+
+Words are told apart by 64-bit hashes and whole sets by two 64-bit sums of mixed hashes, under fixed seeds:
+shingles and sets count as equal where these are.
 """
 
 from __future__ import annotations
@@ -26,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyquill.llm.common import text_or_empty, written
-from tallyquill.llm.components import components, few
+from tallyquill.llm.common import HOT_KEYS, join_hot, text_or_empty, written
+from tallyquill.llm.components import components
 from tallyquill.llm.partenum import signatures
 from tallyquill.llm.shingles import set_digests, shingle_sets, slices
 
 STAR_ROUNDS = 1
-BLOCK = 256  # members of a group compared with as many others at a time
+BLOCK, BLOCKS = 256, 16  # members of a group compared with as many others at a time, and blocks of either side in a task
+HOT, SALTS = 40, 64  # sets of the sample that make a signature hot (at most SAMPLE * 200 / HOT are), tasks its rows go to
 SAMPLE, LEAST_COMMON, MOST_COMMON = 8_000, 8, 200_000  # documents looked at for common shingles, sets that make one common, shingles kept
 BUCKETS = 256
 
@@ -71,22 +77,28 @@ def _shingles(width: int):
     return run
 
 
-def common_shingles(rows: DataFrame, width: int, sample: int = SAMPLE, least: int = LEAST_COMMON, most: int = MOST_COMMON) -> np.ndarray:
-    """Hashes of the shingles held by at least ``least`` sets of about ``sample`` documents, ascending."""
-    share = min(1.0, sample / max(1, rows.count()))
-    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1_000_000)) < share * 1_000_000)
+def sampled(rows: DataFrame, n: int, sample: int) -> DataFrame:
+    """About ``sample`` of n rows, by a hash of the id."""
+    share = min(1.0, sample / max(1, n))
+    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1_000_000)) < share * 1_000_000)
+
+
+def common_shingles(some: DataFrame, width: int, least: int = LEAST_COMMON, most: int = MOST_COMMON) -> np.ndarray:
+    """Hashes of the shingles held by at least ``least`` sets of a sample of documents, ascending."""
     found = some.mapInArrow(_shingles(width), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= least)
     return np.sort(np.array([r.h for r in found.orderBy(F.desc("k"), "h").limit(most).collect()], np.int64).view(np.uint64))
 
 
 def _signed(width: int, percent: int, common: np.ndarray):
+    """(first half of the digest, signatures) of each set, sets within a task once."""
+
     def run(batches):
         seen = set()
-        for ids, texts in _parts(batches):
+        for _, texts in _parts(batches):
             starts, h = shingle_sets(texts, width)
-            keys = list(zip(*(x.tolist() for x in set_digests(starts, h)), strict=True))
-            fresh = np.zeros(len(keys), bool)
-            for i, k in enumerate(keys):
+            s1, s2 = set_digests(starts, h)
+            fresh = np.zeros(len(s1), bool)
+            for i, k in enumerate(zip(s1.tolist(), s2.tolist(), strict=True)):
                 if k not in seen:
                     seen.add(k)
                     fresh[i] = True
@@ -95,11 +107,37 @@ def _signed(width: int, percent: int, common: np.ndarray):
             owner, sig = owner[mine], sig[mine]
             order = np.argsort(owner, kind="stable")
             offsets = np.searchsorted(owner[order], np.arange(len(texts) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig[order].view(np.int64)))], names=["doc_id", "sigs"])
+            yield pa.RecordBatch.from_arrays([pa.array(s1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig[order].view(np.int64)))], names=["s1", "sigs"])
 
     return run
 
 
+def _groups(rows: DataFrame, some: DataFrame, width: int, percent: int) -> DataFrame:
+    """(g, hot, s1, weight): the sets of every group of two and more, with what the group says for each."""
+    common = common_shingles(some, width)
+
+    def signed(of: DataFrame) -> DataFrame:
+        return of.mapInArrow(_signed(width, percent, common), "s1 long, sigs array<long>").select("s1", F.explode("sigs").alias("sig"))
+
+    hot = signed(some).groupBy("sig").agg(F.countDistinct("s1").alias("k")).where(F.col("k") >= HOT)
+    hot = written(hot.select("sig", F.lit(True).alias("hot")), "hot")  # bounded by the sample, so broadcast
+    all_of = signed(rows).join(F.broadcast(hot), "sig", "left").select("s1", "sig", F.when(F.col("hot"), F.pmod("s1", F.lit(SALTS)).cast("int")).alias("salt"))
+    group = Window.partitionBy("sig", "salt")
+    # a group is named by its least and greatest set and two sums over all: copies in several tasks do not cancel
+    sums = [F.sum(F.shiftrightunsigned(F.xxhash64("s1", F.lit(seed)), 33)).over(group).alias(f"g{seed}") for seed in (1, 2)]
+    shared = all_of.select("s1", "sig", F.col("salt").isNotNull().alias("hot"), F.count(F.lit(1)).over(group).alias("k"), F.min("s1").over(group).alias("lo"), F.max("s1").over(group).alias("hi"), *sums).where("hot or lo <> hi")
+    name = F.when(F.col("hot"), F.xxhash64("sig")).otherwise(F.xxhash64("lo", "hi", "g1", "g2"))
+    return shared.groupBy(name.alias("g"), "hot", "s1").agg(F.sum(F.col("k").cast("double")).alias("weight"))
+
+
+def _of_group(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """members joined with a table that has one row for each group (g, hot, ...); hot groups by salt."""
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = groups.withColumn("salt", F.explode(salts)).drop("hot")
+    dealt = members.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).otherwise(0))
+    return dealt.join(spread, ["g", "salt"]).drop("salt")
+
+
 def _histograms(width: int):
     """How many elements of a set fall into each of BUCKETS buckets; empty where a count exceeds a byte."""
 
@@ -194,36 +232,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     sets = written(rows.mapInArrow(_classes(width), "doc_id long, n long, s1 long, s2 long"), "sets")
     some = sets.where("n > 0 and doc_id is not null")
-    reps = some.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    class_of = written(few(some.join(reps, ["n", "s1", "s2"]).select("doc_id", "rep", "n").distinct()), "classes")
-
-    signed = rows.where("doc_id is not null").mapInArrow(_signed(width, percent, common_shingles(rows, width)), "doc_id long, sigs array<long>")
-    signed = signed.select("doc_id", F.explode("sigs").alias("sig"))
-    group = Window.partitionBy("sig")
-    shared = signed.select("doc_id", F.count(F.lit(1)).over(group).alias("k"), *(F.bit_xor(F.xxhash64("doc_id", F.lit(s))).over(group).alias(f"g{s}") for s in (1, 2))).where("k > 1")
-    shared = shared.groupBy("g1", "g2", "doc_id").agg(F.count(F.lit(1)).alias("weight"))
-    # a group's members as classes; a class of which several copies gave signatures is one member, an id that
-    # stands for texts of several sizes is one member for each size
-    members = shared.join(class_of, "doc_id").groupBy("g1", "g2", "rep", "n").agg(F.max("weight").alias("weight"))
-    members = written(few(members.select(F.xxhash64("g1", "g2").alias("g"), "rep", "n", "weight")), "members")
-    sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    members = members.join(sizes, "g")
-    central = members.groupBy("rep", "n").agg(F.sum(F.least(F.col("weight"), F.lit(1 << 20)) * F.col("k").cast("double")).alias("central"))
-    members = written(few(members.select("g", "rep", "n").join(central, ["rep", "n"])), "groups")
+    n_rows = sets.count()
+    reps = written(some.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")), "reps")
+    class_of = written(join_hot(some, reps.drop("size"), reps.where(F.col("size") * HOT_KEYS > n_rows).drop("size"), ["n", "s1", "s2"], "doc_id").select("doc_id", "rep", "n").distinct(), "classes")
+
+    known = rows.where("doc_id is not null")
+    members = _groups(known, written(sampled(known, n_rows, SAMPLE), "sample"), width, percent)
+    # groups of digests' first halves; should sets share one, all of them are members
+    members = written(members.join(reps.select("s1", "rep", "n"), "s1").groupBy("g", "rep", "n").agg(F.max("hot").alias("hot"), F.sum("weight").alias("weight")), "members")
+    central = members.groupBy("rep", "n").agg(F.sum("weight").alias("central"))
+    members = written(members.drop("weight").join(central, ["rep", "n"]), "groups")
     # the joins of texts and counts are sort-merge joins at every size: what they move grows with the input
-    texts = written(rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi"), "texts")
+    texts = written(rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").distinct(), "texts")
 
-    hists = written(few(texts.mapInArrow(_histograms(width), "id long, n long, hist binary")), "histograms")
+    hists = written(texts.mapInArrow(_histograms(width), "id long, n long, hist binary").distinct(), "histograms")
 
     def possible(pairs: DataFrame) -> DataFrame:
         for x in "ab":
             pairs = pairs.join(hists.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("hist").alias(f"h{x}")).hint("merge"), [x, f"n{x}"])
-        return written(few(pairs.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_possible(percent), "a long, b long").distinct()), "near")
+        return written(pairs.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_possible(percent), "a long, b long").distinct(), "near")
 
     def checked(near: DataFrame) -> DataFrame:
         a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
         b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        return written(few(near.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "ta", "tb").mapInArrow(_linked(width, percent), "a long, b long")), "found")
+        return written(near.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "ta", "tb").mapInArrow(_linked(width, percent), "a long, b long").distinct(), "found")
 
     def apart(pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes allow a link, smaller id first, each once."""
@@ -232,6 +264,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         ends = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"))]
         return fit.select(*ends).distinct()
 
+    def in_blocks(labelled: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of one group that may link: groups of any size are compared without a row
+        for each pair, BLOCKS blocks with as many others in a task."""
+        parts = labelled.groupBy("g").agg(F.max("hot").alias("hot"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+        dealt = _of_group(labelled, parts).join(hists.withColumnRenamed("id", "rep").hint("merge"), ["rep", "n"]).withColumn("block", F.pmod(F.xxhash64("rep", "g"), F.col("k")).cast("int"))
+        blocks = dealt.groupBy("g", "k", "block").agg(F.collect_list(F.struct("rep", "n", "label", "hist")).alias("m"))
+        some, last = F.floor(F.col("block") / BLOCKS).cast("int"), F.floor((F.col("k") - 1) / BLOCKS).cast("int")
+        x = blocks.select("g", F.col("block").alias("i"), F.col("m").alias("x"), some.alias("p"), F.explode(F.sequence(some, last)).alias("q"))
+        y = blocks.select("g", F.col("block").alias("j"), F.col("m").alias("y"), F.explode(F.sequence(F.lit(0), some)).alias("p"), some.alias("q"))
+        twos = x.join(y.hint("merge"), ["g", "p", "q"]).where("i <= j")
+        return twos.select("x", "y").mapInArrow(_compared(percent), "a long, b long").distinct()
+
     links = found = None
     done = rows.sparkSession.createDataFrame([], "a long, b long")
     centres = rows.sparkSession.createDataFrame([], "g long, a long, na long")
@@ -239,40 +283,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     labelled = members.withColumn("label", F.col("rep"))
     for step in range(STAR_ROUNDS + 1):
         # groups that still hold several components
-        open_groups = labelled.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("g")
-        labelled = written(few(labelled.join(open_groups, "g")), "open")
+        open_groups = labelled.groupBy("g").agg(F.max("hot").alias("hot"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("g", "hot")
+        labelled = written(_of_group(labelled, open_groups), "open")
         kinds = labelled.groupBy("g", "label").agg(F.count(F.lit(1)).alias("k"))
         sums = kinds.groupBy("g").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k").cast("double")).alias("q"))
         left = sums.agg(F.sum((F.col("s") * F.col("s").cast("double") - F.col("q")) / 2)).first()[0]
         if not left:
             break
-        a = labelled.select("g", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), "central")
-        b = labelled.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        last = left <= 2 * n_members or step == STAR_ROUNDS
-        if last:
-            # in blocks: groups of any size are compared without a row for each pair
-            parts = labelled.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
-            dealt = labelled.join(parts, "g").join(hists.withColumnRenamed("id", "rep").hint("merge"), ["rep", "n"]).withColumn("block", F.pmod(F.xxhash64("rep", "g"), F.col("k")).cast("int"))
-            blocks = dealt.groupBy("g", "block").agg(F.collect_list(F.struct("rep", "n", "label", "hist")).alias("m"))
-            twos = blocks.select("g", F.col("block").alias("i"), F.col("m").alias("x")).join(blocks.select("g", F.col("block").alias("j"), F.col("m").alias("y")), "g").where("i <= j")
-            near = twos.select("x", "y").mapInArrow(_compared(percent), "a long, b long").distinct().join(done, ["a", "b"], "left_anti")
-            found = checked(written(few(near), "near"))
+        if left <= 2 * n_members or step == STAR_ROUNDS:
+            found = checked(written(in_blocks(labelled).join(done, ["a", "b"], "left_anti"), "near"))
             links = found if links is None else links.unionByName(found)
             break
-        else:
-            fresh = a.join(centres, ["g", "a", "na"], "left_anti")
-            top = fresh.groupBy("g").agg(F.max_by(F.struct("a", "na", "la"), F.struct("central", -F.col("a"), "na")).alias("c")).select("g", "c.*")
-            top = written(few(top), "centres")
-            centres = centres.unionByName(top.select("g", "a", "na"))
-            pairs = top.join(b, "g").where("la <> lb")
-        pairs = written(few(apart(pairs)), "pairs")
+        b = labelled.withColumnsRenamed({"rep": "b", "n": "nb", "label": "lb"})
+        fresh = labelled.select("g", "hot", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), "central").join(centres, ["g", "a", "na"], "left_anti")
+        top = fresh.groupBy("g").agg(F.max("hot").alias("hot"), F.max_by(F.struct("a", "na", "la"), F.struct("central", -F.col("a"), "na")).alias("c")).select("g", "hot", "c.*")
+        top = written(top, "centres")
+        centres = centres.unionByName(top.select("g", "a", "na"))
+        pairs = _of_group(b.withColumn("rep", F.col("b")), top).where("la <> lb")
+        pairs = written(apart(pairs), "pairs")
         # all texts of the two ids are compared, so such a pair is done whatever the sizes it came with
         near = possible(pairs)
         done = done.unionByName(near)
         found = checked(near)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-        labelled = labelled.drop("label").join(labels, F.col("rep") == F.col("node"), "left").select("g", "rep", "n", "central", F.coalesce("label", "rep").alias("label"))
+        labelled = labelled.drop("label").join(labels, F.col("rep") == F.col("node"), "left").select("g", "hot", "rep", "n", "central", F.coalesce("label", "rep").alias("label"))
 
     # a document's rows with several texts tie their classes together; others reach their class's label directly
     several = class_of.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id")

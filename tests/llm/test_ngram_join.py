@@ -122,3 +122,31 @@ def test_each_text_of_a_repeated_id_is_compared_by_its_own_size(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == [(1, 10, 1), (1, 1000, 1), (2, 11, 1), (3, 1001, 1), (4, 1, 4), (4, 1, 4)]
     alone = near_duplicates(df.where("doc_id in (1, 4)"), 4, 85).collect()
     assert sorted((r.doc_id, r.component_id) for r in alone) == [(1, 1), (1, 1), (4, 4), (4, 4)]
+
+
+def test_repeated_rows_change_nothing(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(3)
+    once = got(near_duplicates(docs, 4, 85))
+    rows = near_duplicates(docs.union(docs), 4, 85).collect()
+    assert len(rows) == 2 * len(once) and {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == once
+
+
+def test_a_hot_signature_and_its_strangers(spark):
+    """Hundreds of near copies over several tasks, copies of them, and texts that share a part but do not link."""
+    rnd, texts = random.Random(4), {}
+    first = ["w%d" % rnd.randrange(400) for _ in range(120)]
+    for i in range(600):
+        copy = list(first)
+        if i % 3:
+            copy[rnd.randrange(len(copy))] = f"e{i}"
+        if i % 5 == 0:
+            copy = copy[: rnd.randrange(20, 120)] + [f"z{rnd.randrange(10**6)}" for _ in range(rnd.randrange(60))]
+        texts[1000 - i] = " ".join(copy)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6)
+    assert got(near_duplicates(df, 4, 85)) == brute(texts, 4, 85)
+
+
+def test_a_class_of_a_third_of_all_rows(spark):
+    df = spark.range(6_000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'one text for all of these rows', concat_ws(' ', id, id + 1, id * 7, 'x', id % 11)) AS text")
+    found = got(near_duplicates(df, 4, 85))
+    assert all(found[i] == ((4, 0) if i % 3 == 0 else (2, i)) for i in range(6_000))
