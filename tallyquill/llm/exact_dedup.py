@@ -5,8 +5,9 @@ for equal texts: within each map task (Spark's partial aggregate: "local"), with
 and over the winners of the salts. A group of copies of any size thus reaches a reducer as at most one
 row per map task and salt, and the last combine as at most ``salts`` rows.
 
-The rows learn their group by a join on the SHA-256 alone, small columns only; should two texts ever
-share a digest the query stops with an error rather than joining them.
+The rows learn their group by a join on the SHA-256 alone, small columns only: groups that hold more than
+a thousandth of all rows, of which there are fewer than a thousand, are broadcast, so that no task gets all
+rows of a large group. Should two texts ever share a digest the query stops with an error rather than joining them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyquill.llm.common import text_or_empty
+from tallyquill.llm.common import HOT_KEYS, join_hot, text_or_empty, written
 
 SALTS = 16
 
@@ -36,7 +37,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = groups.select("digest", "keep_id", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256"))).cast("long").alias("group_size"))
     repeats = Window.partitionBy("doc_id", "digest").orderBy(F.lit(0))
     ids = rows.select("doc_id", "digest").withColumn("nth", F.row_number().over(repeats))
-    return ids.join(groups, "digest").select(
+    groups = written(groups, "groups")
+    hot = groups.where(F.col("group_size") * HOT_KEYS > docs.count())
+    return join_hot(ids, groups, hot, ["digest"], "doc_id").select(
         "doc_id",
         "keep_id",
         "group_size",

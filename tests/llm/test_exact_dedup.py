@@ -34,3 +34,13 @@ def test_hot_group_and_empty_table(spark, awkward):
     got = exact_dedup(many).where("text_sha256 = sha2('same', 256)").select("keep_id", "group_size").distinct().collect()
     assert [tuple(r) for r in got] == [(2999, 2000)]
     assert exact_dedup(awkward.limit(0)).count() == 0
+
+
+def test_groups_above_and_below_the_hot_share(spark):
+    """A third of all rows in one group (broadcast), groups of four (joined), and texts by themselves."""
+    df = spark.range(9_000).selectExpr("id AS doc_id", "CASE id % 3 WHEN 0 THEN 'same' WHEN 1 THEN concat('four ', id DIV 12) ELSE concat('own ', id) END AS text")
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(df).collect()}
+    groups = defaultdict(list)
+    for i in range(9_000):
+        groups["same" if i % 3 == 0 else ("four", i // 12) if i % 3 == 1 else i].append(i)
+    assert got == {i: (max(g), len(g), i == max(g)) for g in groups.values() for i in g}
