@@ -63,3 +63,15 @@ def test_prune_keeps_near_and_diverse():
     assert kept.tolist() == [1, 3, -1]  # 2 stands behind 1
     edges, _ = build_graph(np.repeat(x, 1, 0))
     assert (edges != np.arange(4)[:, None]).all()
+
+
+def test_vectors_of_any_size(spark):
+    """Very large, very small and ordinary vectors: scores are cosines, parallel ones 1."""
+    rows = [(0, [1e200, 2e200]), (1, [1.0, 2.0]), (2, [1e-200, 2e-200]), (3, [-2e300, 1e300]), (4, [5e-324, 0.0]), (5, [1.5e308, 1.5e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in nearest(df, df, 5).collect()}
+    unit = {i: np.array(v) / np.max(np.abs(v)) for i, v in rows}
+    for (a, b), s in got.items():
+        want = unit[a] @ unit[b] / np.linalg.norm(unit[a]) / np.linalg.norm(unit[b])
+        assert abs(s - want) < 1e-12
+    assert len(got) == 30
