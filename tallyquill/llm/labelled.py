@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyquill.llm.common import text_or_empty
+from tallyquill.llm.common import text_or_empty, written
 
 
 def held_out(doc_id: Column, mod: int, rest: int) -> Column:
@@ -17,17 +17,19 @@ def held_out(doc_id: Column, mod: int, rest: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, most: int) -> DataFrame:
     """(doc_id, text, label 0/1, fold 0-9) of at most ``most`` labelled documents that are not held out.
 
-    Labels are sampled by a hash of the id, so that every size of table gives about ``most`` of them,
-    and are then few enough to go to every task: the documents do not move.
+    Labels are sampled by a hash of the id, so that every size of table gives about ``most`` of them and
+    every run the same, and are then few enough to go to every task: the documents do not move. The
+    sample is written once; what reads it does not scan the documents again.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"), mod, rest))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     share = min(1.0, 0.97 * most / max(1, known.count()))
-    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit(label)), F.lit(1_000_000)) < share * 1_000_000).limit(most)
+    place = F.xxhash64("doc_id", F.lit(label))
+    picked = known.where(F.pmod(place, F.lit(1_000_000)) < share * 1_000_000).orderBy(place, "doc_id").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     out = texts.join(F.broadcast(picked), "doc_id")
-    return out.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(10)).cast("int"))
+    return written(out.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(10)).cast("int")), f"{label}-sample")
 
 
 class Logistic:
