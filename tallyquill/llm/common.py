@@ -21,8 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, and a lost
-    executor costs no more than its own tasks. The folder carries the application's id; it belongs
-    to the job and can be removed when the job's results are stored."""
+    executor costs no more than its own tasks. The folder carries the application's id; ``remove_written``
+    removes it when the job's results are stored."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -46,6 +46,20 @@ def join_hot(rows: DataFrame, small: DataFrame, hot: DataFrame, keys: list[str],
     return j.where(found.isNotNull()).select(*(F.col(f"l.{c}") for c in rows.columns), *(found[c].alias(c) for c in new))
 
 
+def remove_written(spark: SparkSession) -> None:
+    """Remove the tables that this application has written: after its results are stored, not before."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(name: str, taken: list[str]) -> str:
+    """A column name that is not taken, in any case of letters."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 

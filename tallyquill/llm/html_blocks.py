@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyquill.llm.common import unused
 from tallyquill.llm.html_leaves import PATH, Leaf, leaves
 
 WORD, SHAPE = 256, 8
@@ -299,19 +300,12 @@ def main_texts(pages: list[str], net: Labeller) -> list[str]:
     return ["\n".join(b.text for b, good in zip(f, y, strict=True) if good) for f, y in zip(found, net.label(found), strict=True)]
 
 
-def _unused(name: str, taken: list[str]) -> str:
-    """A column name that is not taken, in any case of letters."""
-    while name.lower() in {t.lower() for t in taken}:
-        name += "_"
-    return name
-
-
 def extract_main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """pages with the main text in out_col, replacing a column of that name; null and empty pages have
     none ("" ). Whole pages are read, every block labelled main text is given whole. Repeated rows stay."""
     net = trained()
     others = [c for c in pages.columns if c not in (html_col, out_col)]
-    rows = pages.select(*(F.col(f"`{c}`") for c in others), F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias(_unused("page", others)))
+    rows = pages.select(*(F.col(f"`{c}`") for c in others), F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias(unused("page", others)))
     schema = rows.select(*(F.col(f"`{c}`") for c in others), F.lit("").alias(out_col)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
