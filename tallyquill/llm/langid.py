@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyquill.llm.common import text_or_empty, written
+from tallyquill.llm.common import HOT_KEYS, join_hot, text_or_empty, written
 from tallyquill.llm.html_leaves import leaves
 from tallyquill.llm.shingles import mix
 
-SAMPLE = 4_000  # documents the text model is fitted on at most
+SAMPLE = 4_000  # documents the text model is fitted on, about
 BUCKETS = 1 << 15
 CREDIT = 20.0
 SMOOTH = 0.5  # of declared codes and suffixes
@@ -50,10 +50,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_text(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probability of each bucket under each) from a bounded sample of documents: every language it holds."""
+    """(languages, log-probability of each bucket under each) from about ``sample`` documents, drawn by a hash
+    of their ids: every language that they hold. Counts alone come to the driver."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = min(1.0, sample / max(1, docs.count()))
-    rows = known.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text").limit(2 * sample)
+    rows = known.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
     got = rows.mapInArrow(_counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     langs = sorted({r.lang for r in got}) or ["und"]
     place = {x: i for i, x in enumerate(langs)}
@@ -103,13 +104,17 @@ def fuse(pages: DataFrame, langs: list[str]) -> DataFrame:
     e = F.transform("ll", lambda x: F.exp(x))
     rows = pages.withColumn("e", e).withColumn("q", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, b: a + b))).drop("e")
 
-    def sums(*keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.array(*(F.sum(F.col("q")[i]) for i in range(k))).alias("s_" + "_".join(keys)))
+    seen = rows
 
-    total = rows.agg(F.array(*(F.coalesce(F.sum(F.col("q")[i]), F.lit(0.0)) for i in range(k))).alias("s"), F.countDistinct("decl").alias("d"), F.countDistinct("suffix").alias("x"), F.countDistinct("code").alias("c")).first()
+    def with_sums(df: DataFrame, key: str, n: int) -> DataFrame:
+        """df with the sums over the pages of its key; a host or code of a large share of the pages meets in no task."""
+        s = seen.groupBy(key).agg(F.array(*(F.sum(F.col("q")[i]) for i in range(k))).alias(f"s_{key}"), F.count(F.lit(1)).alias("n"))
+        return join_hot(df, s.drop("n"), s.where(F.col("n") * HOT_KEYS > n).drop("n"), [key], "url")
+
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.array(*(F.coalesce(F.sum(F.col("q")[i]), F.lit(0.0)) for i in range(k))).alias("s"), F.countDistinct("decl").alias("d"), F.countDistinct("suffix").alias("x"), F.countDistinct("code").alias("c")).first()
     all_pages = F.array(*(F.lit(float(x)) for x in total.s))
-    for key in (("decl",), ("code",), ("suffix",), ("domain",), ("host",)):
-        rows = rows.join(sums(*key), list(key))
+    for key in ("decl", "code", "suffix", "domain", "host"):
+        rows = with_sums(rows, key, total.n)
 
     def rest(column: str | Column) -> Column:
         """A sum without the page's own posterior."""
