@@ -9,7 +9,7 @@ Joins are repaired. A chunk is encoded only from its first to its last blank edg
 space follows something else: the split pattern never puts such a place inside a piece, so ids of that
 inner part hold in any surroundings. What lies between two inner parts, over the cut, is encoded anew
 with a whole piece of both neighbours around it; if the ids of these pieces agree with what the chunks
-say, the repair stands, else the window grows, at last to the whole text.
+say, the repair stands, else the window grows over both inner parts, which are encoded as one.
 
 Ids come from a byte-pair encoder over the same ranks as the tokenizer file (built from the file), which
 gives the library's ids several times faster; the library encodes texts with special tokens' strings.
@@ -120,7 +120,8 @@ class ChunkBpe:
         if any(s in text for s in self.specials):
             return self._forms(self.library.encode(text, add_special_tokens=False).ids)
         data = text.encode()
-        n, csv, out, at, pending, before = 0, [], [], 0, b"", (b"", "")
+        at, pending, before = 0, b"", (b"", "")
+        parts: list[tuple[int, str, bytes]] = []  # gaps and inner parts in turn, an inner part last
         for end in cuts(data):
             head, inner, tail, first, first_csv, last, last_csv = self._chunk(data[at:end])
             at = end
@@ -129,16 +130,19 @@ class ChunkBpe:
                 continue
             repaired = self._repair(pending, before, (first, first_csv))
             if repaired is None:
-                return self._forms(self.encoder.encode_ordinary(text))
-            for k, c, b in (repaired, inner):
-                n += k
-                csv.append(c)
-                out.append(b)
+                inner = self._joined(parts, pending, inner[2])
+            else:
+                parts.append(repaired)
+            parts.append(inner)
             pending, before = tail, (last, last_csv)
         repaired = self._repair(pending, before, (b"", ""))
-        if repaired is None:
-            return self._forms(self.encoder.encode_ordinary(text))
-        return n + repaired[0], ",".join(filter(None, [*csv, repaired[1]])), b"".join([*out, repaired[2]])
+        parts.append(self._joined(parts, pending, b"") if repaired is None else repaired)
+        return sum(k for k, _, _ in parts), ",".join(c for _, c, _ in parts if c), b"".join(b for _, _, b in parts)
+
+    def _joined(self, parts: list[tuple[int, str, bytes]], gap: bytes, after: bytes) -> tuple[int, str, bytes]:
+        """Forms of the last inner part, which is taken from the parts, the gap and what follows, as one."""
+        before = parts.pop()[2] if parts else b""
+        return self._forms(self.encoder.encode_ordinary((before + gap + after).decode()))
 
     def _repair(self, gap: bytes, before: tuple[bytes, str], after: tuple[bytes, str]) -> tuple[int, str, bytes] | None:
         """Forms of the gap between two inner parts, or None if its surroundings do not agree."""

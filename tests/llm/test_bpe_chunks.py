@@ -51,3 +51,20 @@ def test_shared_passages_are_cut_alike_and_reused():
     before = mine.encoded
     mine.encode(b.decode())
     assert mine.encoded - before <= 3 and mine.reused > 5
+
+
+def test_a_repair_that_fails_grows_its_window():
+    """Whatever agreement is refused, the ids are the library's."""
+    import random
+
+    from tallyquill.llm.bpe_chunks import ChunkBpe
+    from tallyquill.llm.queries import BYTE_BPE
+
+    coder, rnd = ChunkBpe(BYTE_BPE), random.Random(2)
+    text = " ".join("".join(rnd.choice("abcdeé漢 \n.,1'") for _ in range(rnd.randint(1, 9))) for _ in range(4_000))
+    want = coder.library.encode(text, add_special_tokens=False).ids
+    repair = coder._repair
+    for share in (0.0, 0.3, 1.0):
+        coder._repair = lambda *a, s=share: None if rnd.random() < s else repair(*a)
+        n, csv, out = coder.encode(text)
+        assert n == len(want) and csv == ",".join(map(str, want)) and out == text.encode()
