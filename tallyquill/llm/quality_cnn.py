@@ -5,7 +5,8 @@ learned filters over windows of WIDTH bytes are max-pooled over the chunk, and a
 turns the pooled values into the chunk's logit. The mean, least and greatest logit of all chunks are
 combined into one probability by a logistic curve.
 
-The network is fitted with Adam on chunks drawn from a bounded sample of labelled documents; the curve
+The network is fitted with Adam on all chunks of a bounded sample of labelled documents, those of a long
+one counting less; the curve
 on the whole texts of a part of the sample that the network has not seen. The gradient of a pooled
 filter reaches only the window it was largest at, which makes a step cheap.
 """
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyquill.llm.common import text_or_empty
@@ -25,9 +26,10 @@ from tallyquill.llm.labelled import Logistic, held_out, labelled_sample
 from tallyquill.llm.shingles import slices
 
 SAMPLE = 6_000  # labelled documents at most
+CHUNKS = 100_000  # chunks of them that the network is fitted on at most: whole documents in order of a hash
 CHUNK, STEP = 512, 448
 WIDTH, STRIDE, DIMS, FILTERS, HIDDEN = 8, 2, 4, 32, 16
-PER_TEXT, EPOCHS, BATCH, RATE, CUT = 4, 10, 64, 4e-3, 0.25  # training: chunks a text, rounds, chunks a step, step size, share shortened
+WEIGHT, EPOCHS, BATCH, RATE, CUT = 4, 10, 64, 4e-3, 0.25  # training: weight of a text in chunks at most, rounds, chunks a step, step size, share shortened
 PAD = 256
 MOD, REST, THRESHOLD = 3, 1, 0.5
 
@@ -77,10 +79,10 @@ class Network:
     def logits(self, rows: np.ndarray) -> np.ndarray:
         return np.concatenate([self.forward(rows[i : i + 128])[0] for i in range(0, len(rows), 128)]) if len(rows) else np.zeros(0, np.float32)
 
-    def gradients(self, rows: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean cross-entropy against labels y."""
+    def gradients(self, rows: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0) -> dict[str, np.ndarray]:
+        """Of the mean weighted cross-entropy against labels y."""
         logit, (windows, at, pooled, hidden) = self.forward(rows)
-        d = ((1 / (1 + np.exp(-logit)) - y) / len(y)).astype(np.float32)
+        d = (weight * (1 / (1 + np.exp(-logit)) - y) / len(y)).astype(np.float32)
         g = {"out": hidden.T @ d, "out_bias": d.sum(keepdims=True)}
         dh = d[:, None] * self.p["out"] * (1 - hidden**2)
         g |= {"hidden": pooled.T @ dh, "hidden_bias": dh.sum(0)}
@@ -95,7 +97,7 @@ class Network:
         g["bytes"][PAD] = 0
         return g
 
-    def train(self, rows: np.ndarray, y: np.ndarray, seed: int = 5) -> None:
+    def train(self, rows: np.ndarray, y: np.ndarray, weight: np.ndarray, seed: int = 5) -> None:
         rng, first, second, t = np.random.default_rng(seed), {}, {}, 0
         steps = EPOCHS * -(-len(rows) // BATCH)
         for _ in range(EPOCHS):
@@ -108,24 +110,31 @@ class Network:
                 cut = rng.random(len(pick)) < CUT  # the starts of some chunks stand in for short texts
                 for i in np.flatnonzero(cut):
                     shown[i, int(2 ** rng.uniform(2, 8)) :] = PAD
-                for k, g in self.gradients(shown, y[pick]).items():
+                for k, g in self.gradients(shown, y[pick], weight[pick]).items():
                     first[k] = 0.9 * first.get(k, 0) + 0.1 * g
                     second[k] = 0.999 * second.get(k, 0) + 0.001 * g * g
                     self.p[k] -= (rate * first[k] / (1 - 0.9**t) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-7)).astype(np.float32)
 
 
-def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """At most PER_TEXT chunks of each text, drawn by its checksum."""
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All chunks of each text, with its label and what each chunk weighs."""
     for batch in batches:
-        out, labels = [], []
+        out, labels, weights = [], [], []
         for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             data = text.as_py().encode()
             n = 1 + max(0, -(-(len(data) - CHUNK) // STEP))
-            rng = np.random.default_rng(zlib.crc32(data))
-            for k in rng.permutation(n)[:PER_TEXT] if n > PER_TEXT else range(n):
-                out.append(data[k * STEP : k * STEP + CHUNK])
-                labels.append(label)
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(labels, pa.int32())], names=["chunk", "label"])
+            out += [data[k * STEP : k * STEP + CHUNK] for k in range(n)]
+            labels += [label] * n
+            weights += [min(1.0, WEIGHT / n)] * n
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(labels, pa.int32()), pa.array(weights, pa.float64())], names=["chunk", "label", "weight"])
+
+
+def _affordable(rows: DataFrame, most: int) -> DataFrame:
+    """Rows in order of a hash while their chunks are at most ``most`` together: whole texts, or none of one."""
+    n = F.greatest(F.ceil((F.octet_length("text") - CHUNK) / STEP), F.lit(0)) + 1
+    place = Window.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id")  # over a bounded sample's ids and sizes
+    sizes = rows.groupBy("doc_id").agg(F.sum(n).alias("n")).withColumn("upto", F.sum("n").over(place))
+    return rows.join(F.broadcast(sizes.where(F.col("upto") <= most).select("doc_id")), "doc_id")
 
 
 def _scored(network: Network, curve: Logistic | None):
@@ -151,12 +160,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Netwo
     """Network and curve from a bounded sample of the labelled rows that are not held out. Without
     labels of both kinds there is no curve and every text scores 0.5."""
     rows = labelled_sample(docs, labels, "quality", MOD, REST, sample)
-    drawn = rows.where("fold < 7").select("text", "label").mapInArrow(_draw, "chunk binary, label int").collect()
+    drawn = _affordable(rows.where("fold < 7"), CHUNKS).select("text", "label").mapInArrow(_cut, "chunk binary, label int, weight double").collect()
     network = Network()
     drawn.sort(key=lambda r: (zlib.crc32(r.chunk), bytes(r.chunk), r.label))  # the same steps whatever order rows came in
     if drawn:
         x = np.stack([_row(bytes(r.chunk)) for r in drawn])
-        network.train(x, np.array([r.label for r in drawn], np.float32))
+        network.train(x, np.array([r.label for r in drawn], np.float32), np.array([r.weight for r in drawn], np.float32))
     rest = rows.where("fold >= 7")
     known = F.broadcast(rest.select("doc_id", "label").distinct())
     got = rest.select("doc_id", "text").mapInArrow(_scored(network, None), SCORED).join(known, "doc_id").select("mean", "least", "greatest", "label").collect()

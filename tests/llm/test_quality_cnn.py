@@ -1,7 +1,7 @@
 import numpy as np
 
-from tallyquill.llm.labelled import auc
-from tallyquill.llm.quality_cnn import CHUNK, PAD, STEP, Network, chunks, fit, score_quality
+from tallyquill.llm.labelled import Logistic, auc
+from tallyquill.llm.quality_cnn import CHUNK, FILTERS, PAD, STEP, STRIDE, WIDTH, Network, chunks, fit, score_quality
 from tallyquill.llm.queries import op6_quality_cnn
 
 
@@ -53,3 +53,38 @@ def test_awkward_and_without_labels(spark, awkward):
     rows = score_quality(awkward, fit(awkward, none)).collect()
     assert len(rows) == awkward.count() and {r.score for r in rows} == {0.5}
     assert score_quality(awkward.limit(0), fit(awkward, none)).count() == 0
+
+
+def test_scores_against_a_plain_reading(spark, awkward):
+    """The query's scores beside a plain loop over chunks, windows and filters."""
+    rng = np.random.default_rng(6)
+    net = Network(7)
+    curve = Logistic(rng.normal(size=(200, 3)), (rng.random(200) < 0.4).astype(float))
+    p = {k: v.astype(float) for k, v in net.p.items()}
+
+    def logit(chunk):
+        best = np.full(FILTERS, -np.inf)
+        shown = list(chunk) + [PAD] * (CHUNK - len(chunk))
+        for at in range(0, CHUNK - WIDTH + 1, STRIDE):
+            window = np.concatenate([p["bytes"][b] for b in shown[at : at + WIDTH]])
+            best = np.maximum(best, window @ p["filters"])
+        pooled = np.append(np.tanh(best + p["bias"]), np.log2(1 + len(chunk)) / 9)
+        return np.tanh(pooled @ p["hidden"] + p["hidden_bias"]) @ p["out"] + p["out_bias"][0]
+
+    docs = awkward.where("doc_id <> 5 or doc_id is null").unionByName(spark.createDataFrame([(11, "long text, é and more. " * 90)], "doc_id long, text string"), allowMissingColumns=True)
+    got = {(r.doc_id, r.score) for r in score_quality(docs, (net, curve)).collect()}
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        parts = [data[i : i + CHUNK] for i in range(0, max(1, len(data) - CHUNK + STEP), STEP)]
+        x = np.array([logit(c) for c in parts])
+        want = curve(np.array([[x.mean(), x.min(), x.max()]]))[0]
+        assert any(i == r.doc_id and abs(s - want) < 1e-4 for i, s in got)
+
+
+def test_the_network_is_fitted_on_whole_texts(spark):
+    """Marks at the far ends of long texts alone tell good from bad."""
+    rows = [(i, "plain words in a row " * 200 + ("#@!" * 150 if i % 2 else "fine end " * 50), i % 2) for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y, 0) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in score_quality(docs, fit(docs, labels)).collect()}
+    assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in rows]) > 0.95
