@@ -1,11 +1,13 @@
+import math
 import random
+import re
 
 import numpy as np
 import pytest
 
 from tallyquill.llm.labelled import Logistic, auc
 from tallyquill.llm.queries import op4_toxicity
-from tallyquill.llm.toxicity import Model, fit, maximal_segments, score_toxicity, token_nodes
+from tallyquill.llm.toxicity import DRIFT, SIGNIFICANT, Model, fit, maximal_segments, score_toxicity, token_nodes
 
 
 def brute_segments(s, lo=0, hi=None):
@@ -55,3 +57,31 @@ def test_logistic_and_auc():
     assert abs(p.mean() - y.mean()) < 0.01 and auc(y, p) > 0.8
     assert auc(np.array([0, 1, 0, 1]), np.array([1.0, 1.0, 0.0, 2.0])) == pytest.approx(0.875)
     assert Model(np.zeros(0, np.uint64), np.zeros(0)).features(np.zeros(0))[1:] == (0.0, 0.0)
+
+
+def test_scores_against_a_plain_reading(spark, sf):
+    """The query's scores beside a plain loop: tokens by a regular expression, their deepest known prefix by a
+    look-up, segments by their definition, the curve by its formula."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("n_chars < 600")
+    docs = docs.unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "one")], "doc_id long, text string"), allowMissingColumns=True)
+    model = fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    known = dict(zip(model.keys.tolist(), model.scores.tolist(), strict=True))
+    seen = 0
+    got = {r.doc_id: r for r in score_toxicity(docs, model).collect()}
+    for r in docs.collect():
+        tokens = re.findall(rb"[0-9a-z\x80-\xff]+", (r.text or "").lower().encode())
+        s = []
+        for t in tokens:
+            nodes = token_nodes([t.decode()])[1][0]  # its prefixes, then itself
+            hits = [known[int(n)] for n in nodes if int(n) in known]
+            s.append((hits[-1] if hits else 0.0) - DRIFT)
+        found = brute_segments(s) if len(s) < 60 else [(a, b, x) for a, b, x in maximal_segments(np.array(s))]
+        log_kn = model.log_k + math.log(max(1, len(s)))
+        e = [log_kn - model.scale * x for _, _, x in found]
+        good = [-x for x in e if x < math.log(SIGNIFICANT)]
+        best = max(-12.0, min(60.0, -min(e, default=log_kn)))
+        z = (np.array([best, math.log1p(sum(good)), math.log1p(len(good))]) - model.curve.mean) / model.curve.scale @ model.curve.w[:-1] + model.curve.w[-1]
+        assert abs(got[r.doc_id].score - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-6
+        assert got[r.doc_id].passages == len(good)
+        seen += len(good) > 0
+    assert seen > 0
