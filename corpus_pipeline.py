@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyquill.llm import toxicity
-from tallyquill.llm.common import read, shared_dir, text_or_empty
+from tallyquill.llm.common import read, shared_dir, text_or_empty, unused
 from tallyquill.llm.exact_dedup import exact_dedup
 from tallyquill.llm.ngram_join import near_duplicates
 from tallyquill.llm.packing import pack_documents
@@ -31,36 +31,40 @@ TOXIC_FROM = toxicity.THRESHOLD
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text does not score as toxic under a model fitted on the labels that are not held out."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.with_scores(docs, model, "__score").where(F.col("__score") < TOXIC_FROM).drop("__score")
-
-
-def _keys(doc_id: str, sha) -> dict:
-    """Columns that tell a row's id, null ids included, and text."""
-    return {"__null": F.col(doc_id).isNull(), "__id": F.coalesce(F.col(doc_id), F.lit(0)), "__sha": sha}
+    score = unused("score", docs.columns)
+    return toxicity.with_scores(docs, model, score).where(F.col(score) < TOXIC_FROM).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts. Rows repeated with the id that stays count as one: they meet in
     the semi join's own partitioning, so the texts move once here."""
-    kept = exact_dedup(docs).where("kept").select(*(c.alias(n) for n, c in _keys("doc_id", F.col("text_sha256")).items()))
-    keyed = docs.withColumns(_keys("doc_id", F.sha2(text_or_empty("text"), 256)))
-    names = ["__null", "__id", "__sha"]
-    nth = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
-    return keyed.join(kept, names, "left_semi").withColumn("__nth", nth).where("__nth = 1").select(*docs.columns)
+    null, key, sha, nth = (unused(n, docs.columns) for n in ("null", "key", "sha", "nth"))
+
+    def keys(text_sha: Column) -> dict:
+        """Columns that tell a row's id, null ids included, and text."""
+        return {null: F.col("doc_id").isNull(), key: F.coalesce(F.col("doc_id"), F.lit(0)), sha: text_sha}
+
+    kept = exact_dedup(docs).where("kept").select(*(c.alias(n) for n, c in keys(F.col("text_sha256")).items()))
+    keyed = docs.withColumns(keys(F.sha2(text_or_empty("text"), 256)))
+    names = [null, key, sha]
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
+    return keyed.join(kept, names, "left_semi").withColumn(nth, place).where(F.col(nth) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest id, of each component of near duplicates."""
-    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
+    key = unused("key", docs.columns)
+    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(key), "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with each found secret replaced by a mark; n_chars follows where a text changed."""
-    found = scan_secrets(docs, base_col="__base", all_col="__all")
-    found = found.withColumn("__text", redacted(text_or_empty("text"), F.col("__all")))
-    changed = F.size("__all") > 0
-    new = {"text": F.when(changed, F.col("__text")).otherwise(F.col("text")), "n_chars": F.when(changed, F.length("__text").cast("long")).otherwise(F.col("n_chars"))}
+    base, spans, text = (unused(n, docs.columns) for n in ("base", "spans", "hidden"))
+    found = scan_secrets(docs, base_col=base, all_col=spans)
+    found = found.withColumn(text, redacted(text_or_empty("text"), F.col(spans)))
+    changed = F.size(spans) > 0
+    new = {"text": F.when(changed, F.col(text)).otherwise(F.col("text")), "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))}
     return found.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 
