@@ -76,3 +76,14 @@ def test_awkward_rows_pass_through(spark, awkward, sf):
     texts = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted(i for i, _ in texts) == [2, 4, 5, 6, 7, 8, 9, 10]
     check(cp.pack(spark, docs, sf).collect(), texts)
+
+
+def test_columns_of_any_name_pass(spark, sf):
+    """Input columns named like the stages' own come out as they went in."""
+    names = ["score", "Null", "key", "sha", "nth", "base", "spans", "hidden", "__score", "__id"]
+    docs = read(spark, sf, "documents").withColumns({n: F.concat(F.lit(n), "doc_id") for n in names})
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, sf)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+    r = docs.first()
+    assert all(r[n] == f"{n}{r.doc_id}" for n in names)
