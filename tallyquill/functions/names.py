@@ -186,6 +186,10 @@ def parse_sidecar(text: Column) -> Column:
     aliases = F.create_map(*(F.lit(x) for pair in X.SIDECAR_ALIASES.items() for x in pair))
     fields = F.array(*map(F.lit, X.SIDECAR_FIELDS))
 
+    def last(pairs: Column) -> Column:
+        """The last pair of each field that has one."""
+        return F.array_compact(F.transform(fields, lambda f: F.try_element_at(F.filter(pairs, lambda p: p["key"] == f), F.lit(-1))))
+
     def pair(line: Column) -> Column:
         line = stripped(F.substring_index(line, "#", 1))
         at = F.instr(line, ":")
@@ -196,8 +200,7 @@ def parse_sidecar(text: Column) -> Column:
         return F.when((at > 0) & F.array_contains(fields, key) & (value != ""), F.struct(key.alias("key"), value.alias("value")))
 
     pairs = F.filter(F.transform(F.split(text, X.LINE_ENDS), pair), lambda p: p.isNotNull())
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(last)
+    return F.map_from_entries(F.get(F.transform(F.array(pairs), last), F.lit(0)))
 
 
 def topics_of(sidecar: Column) -> Column:

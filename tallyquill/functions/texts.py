@@ -31,15 +31,10 @@ def broken_powers(text: Column) -> Column:
 
 def pipe_blocks(text: Column) -> Column:
     """Runs of two or more consecutive lines with a pipe."""
-    none, lines = F.expr("cast(array() as array<string>)"), F.concat(F.split(text, X.LINE_ENDS), F.array(F.lit("")))
-
-    def step(acc: Column, line: Column) -> Column:
-        piped = line.contains("|")
-        blocks = F.when(~piped & (F.size(acc["now"]) >= 2), F.concat(acc["blocks"], F.array(acc["now"]))).otherwise(acc["blocks"])
-        return F.struct(blocks.alias("blocks"), F.when(piped, F.concat(acc["now"], F.array(line))).otherwise(none).alias("now"))
-
-    start = F.struct(F.expr("cast(array() as array<array<string>>)").alias("blocks"), none.alias("now"))
-    return F.when(text.contains("|"), F.aggregate(lines, start, step, lambda acc: acc["blocks"])).otherwise(F.expr("cast(array() as array<array<string>>)"))
+    # lines hold no line end, so that "\r" can stand between the lines of a block and "\n" for what parts blocks
+    marked = F.array_join(F.transform(F.split(text, X.LINE_ENDS), lambda line: F.when(line.contains("|"), line).otherwise("\n")), "\r")
+    blocks = F.filter(F.split(marked, "[\r\n]*\n[\r\n]*"), lambda b: b.contains("\r"))
+    return F.when(text.contains("|"), F.transform(blocks, lambda b: F.split(b, "\r"))).otherwise(F.expr("cast(array() as array<array<string>>)"))
 
 
 def has_separator(block: Column) -> Column:
@@ -82,7 +77,7 @@ def repeated_sentences(text: Column, ends: str = X.SENTENCE_ENDS) -> Column:
     """Sentences of at least 8 characters that stand more than once in one text, sorted."""
     parts = F.transform(F.split(text, f"[{ends}\n]+"), collapsed)
     parts = F.array_sort(F.filter(parts, lambda s: (F.length(s) >= X.LEAST_SENTENCE) & ~s.contains("|")))
-    return F.array_distinct(F.filter(parts, lambda s, i: s == F.get(parts, i + 1)))
+    return let(parts, lambda p: F.array_distinct(F.filter(p, lambda s, i: s == F.get(p, i + 1))))
 
 
 def looks_like_multiple_choice(text: Column) -> Column:

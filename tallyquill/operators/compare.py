@@ -148,14 +148,35 @@ def dimension_scores(rated: DataFrame) -> DataFrame:
     return out.select("*", *((F.col(k) / F.col("n")).alias(r) for k, r in (("exact", "exact_rate"), ("within_one", "within_one_rate"), ("abs_diff", "mean_abs"), ("bias", "mean_bias"))))
 
 
+def profile(levels: dict[str, Column]) -> Column:
+    """Levels in R..E order as digits, a missing one as 0: '112010'."""
+    return F.concat(*(F.coalesce(levels[d], F.lit(0)).cast("string") for d in X.DIMENSIONS))
+
+
+def profile_summary(levels: Column) -> Column:
+    """'R1 P2 D0 I1 C2 E2' of a struct R..E."""
+    return F.concat_ws(" ", *(F.concat(F.lit(d), F.coalesce(levels[d], F.lit(0)).cast("string")) for d in X.DIMENSIONS))
+
+
+def _rated_pairs(analyses: DataFrame, gold: DataFrame) -> DataFrame:
+    got = analyses.select("question_key", *(F.col(d).alias(f"g_{d}") for d in X.DIMENSIONS), F.col("skills").alias("g_skills"), F.col("errors").alias("g_errors"), F.lit(True).alias("hit"))
+    total = reduce(lambda a, b: a + b, [F.abs(F.coalesce(F.col(f"g_{d}"), F.lit(0)) - F.col(d)) for d in X.DIMENSIONS])
+    return gold.join(got, "question_key", "left").withColumn("total_diff", total)
+
+
+def largest_disagreements(analyses: DataFrame, gold: DataFrame, k: int = 10) -> DataFrame:
+    """question_key, total_diff, got, want of the k questions rated most differently; ties by key."""
+    j = _rated_pairs(analyses, gold).where("hit")
+    got, want = profile({d: F.col(f"g_{d}") for d in X.DIMENSIONS}), profile({d: F.col(d) for d in X.DIMENSIONS})
+    return j.select("question_key", "total_diff", got.alias("got"), want.alias("want")).orderBy(F.desc("total_diff"), "question_key").limit(k)
+
+
 def score_against_gold(analyses: DataFrame, gold: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(dimension scores, overlaps per question with the total difference, missing keys).
 
     Both tables: question_key, R..E, skills, errors. The gold side decides which questions count."""
-    got = analyses.select("question_key", *(F.col(d).alias(f"g_{d}") for d in X.DIMENSIONS), F.col("skills").alias("g_skills"), F.col("errors").alias("g_errors"), F.lit(True).alias("hit"))
-    j = gold.join(got, "question_key", "left")
+    j = _rated_pairs(analyses, gold)
     hit = j.where("hit")
     long = hit.select(F.explode(F.array(*(F.struct(F.lit(d).alias("dim"), F.col(f"g_{d}").alias("got"), F.col(d).alias("want")) for d in X.DIMENSIONS))).alias("r")).select("r.*")
-    total = reduce(lambda a, b: a + b, [F.abs(F.coalesce(F.col(f"g_{d}"), F.lit(0)) - F.col(d)) for d in X.DIMENSIONS])
-    each = hit.select("question_key", jaccard(F.col("g_skills"), F.col("skills")).alias("skill_overlap"), jaccard(F.col("g_errors"), F.col("errors")).alias("error_overlap"), total.alias("total_diff"))
+    each = hit.select("question_key", jaccard(F.col("g_skills"), F.col("skills")).alias("skill_overlap"), jaccard(F.col("g_errors"), F.col("errors")).alias("error_overlap"), "total_diff")
     return dimension_scores(long), each, j.where("hit is null").select("question_key")

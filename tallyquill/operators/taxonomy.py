@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tallyquill.functions import fixed as X
 from tallyquill.functions import names as N
+from tallyquill.sources.shared import shared_dir
+
+STAR_SALTS = 32  # tasks that the errors of every skill are paired in
 
 
 def is_wildcard(entry: Column) -> Column:
@@ -29,16 +32,17 @@ def errors_of_skills(skills: DataFrame, errors: DataFrame) -> DataFrame:
     # every dotted prefix of a skill id, with the dot: what an entry may name before its star
     prefixes = ids.withColumn("parts", F.split("skill_id", r"\.")).where(F.size("parts") > 1).select("skill_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda n: F.concat(F.array_join(F.slice("parts", F.lit(1), n), "."), F.lit(".")))).alias("prefix"))
     dotted = entries.where("endswith(entry, '.*')").withColumn("prefix", F.expr("left(entry, length(entry) - 1)")).join(prefixes, "prefix")
-    every = entries.where("entry = '*'").select("error_id", "general", F.lit(1).alias("k")).join(ids.withColumn("k", F.lit(1)), "k")
+    every = entries.where("entry = '*'").select("error_id", "general", F.explode(F.sequence(F.lit(0), F.lit(STAR_SALTS - 1))).alias("k"))
+    every = every.join(ids.withColumn("k", F.pmod(F.hash("skill_id"), F.lit(STAR_SALTS))), "k")
     out = reduce(DataFrame.unionByName, [df.select("skill_id", "error_id", "general") for df in (exact, dotted, every)])
     return out.distinct()
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df checkpointed to the session's folder; where none is set, as in tests, to a local one."""
+    """df checkpointed to the session's folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir("/tmp/checkpoints")
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 

@@ -3,15 +3,13 @@ questions of a run, ``labels`` for hand-rated references, ``benchmark`` for mark
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-
 from pyspark.sql import functions as F
 
 from tallyquill.functions import texts as T
 from tallyquill.operators import compare, models, rules, solving, stats
 from tallyquill.operators.contains import contained_items
-from tallyquill.plans.registry import ORACLE, query, read
+from tallyquill.plans.registry import query, read
+from tallyquill.sources.shared import fresh_dir
 from tallyquill.streaming.inbox import ingest, keyed
 
 
@@ -87,48 +85,56 @@ def jaccard_overlap(spark, sf_dir):
     return two_sets(spark, sf_dir).select("l_orderkey", compare.jaccard(F.col("a"), F.col("b")).alias("overlap"))
 
 
-RATED_SQL = """WITH g AS (SELECT doc_id, CAST(doc_id % 4 AS INT) AS w_r, quality + 1 AS w_d, toxic * 3 AS w_e FROM labels),
-a AS (SELECT doc_id, CAST(n_chars % 4 AS INT) AS r, CAST(n_chars % 3 AS INT) AS d, CAST(doc_id % 2 AS INT) AS e FROM documents WHERE doc_id % 3 <> 0)"""
+#: Rated documents; a third of the ratings carry keys that no analysis has.
+RATED_SQL = """WITH g AS (SELECT CASE WHEN doc_id % 3 = 0 THEN 'lost' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS question_key, CAST(doc_id % 4 AS INT) AS w_r, CAST(doc_id % 3 AS INT) AS w_p, quality + 1 AS w_d, CAST(doc_id % 2 AS INT) AS w_i, quality AS w_c, toxic * 3 AS w_e,
+  ['s' || (doc_id % 5), 's' || (doc_id % 3), 't'] AS skills, CASE WHEN doc_id % 2 = 0 THEN ['e' || (doc_id % 7)] ELSE [] END AS errors FROM labels),
+a AS (SELECT CAST(doc_id AS VARCHAR) AS question_key, CAST(n_chars % 4 AS INT) AS r, CAST(n_chars % 2 AS INT) AS p, CAST(n_chars % 3 AS INT) AS d, CAST(doc_id % 4 AS INT) AS i, CASE WHEN n_chars % 5 > 0 THEN CAST(n_chars % 3 AS INT) END AS c, CAST(doc_id % 2 AS INT) AS e,
+  ['s' || (n_chars % 5), 't'] AS skills, CASE WHEN doc_id % 4 = 0 THEN ['e' || (doc_id % 7), 'f'] ELSE [] END AS errors FROM documents)"""
 
 
-@query(RATED_SQL + ", x AS (SELECT unnest([{'dim': 'R', 'got': r, 'want': w_r}, {'dim': 'D', 'got': d, 'want': w_d}, {'dim': 'E', 'got': e, 'want': w_e}], recursive := true) FROM g JOIN a USING (doc_id)) SELECT dim, count(*) AS n, count(*) FILTER (WHERE got = want) AS exact, count(*) FILTER (WHERE abs(got - want) <= 1) AS within_one, CAST(sum(abs(got - want)) AS BIGINT) AS abs_diff, CAST(sum(got - want) AS BIGINT) AS bias, exact / n AS exact_rate, within_one / n AS within_one_rate, abs_diff / n AS mean_abs, bias / n AS mean_bias FROM x GROUP BY dim")
+@query(RATED_SQL + ", x AS (SELECT unnest([{'dim': 'R', 'got': coalesce(r, 0), 'want': w_r}, {'dim': 'P', 'got': coalesce(p, 0), 'want': w_p}, {'dim': 'D', 'got': coalesce(d, 0), 'want': w_d}, {'dim': 'I', 'got': coalesce(i, 0), 'want': w_i}, {'dim': 'C', 'got': coalesce(c, 0), 'want': w_c}, {'dim': 'E', 'got': coalesce(e, 0), 'want': w_e}], recursive := true) FROM g JOIN a USING (question_key)) SELECT dim, count(*) AS n, count(*) FILTER (WHERE got = want) AS exact, count(*) FILTER (WHERE abs(got - want) <= 1) AS within_one, CAST(sum(abs(got - want)) AS BIGINT) AS abs_diff, CAST(sum(got - want) AS BIGINT) AS bias, exact / n AS exact_rate, within_one / n AS within_one_rate, abs_diff / n AS mean_abs, bias / n AS mean_bias FROM x GROUP BY dim")
 def gold_scorecard(spark, sf_dir):
-    return scorecard(spark, sf_dir, read(spark, sf_dir, "documents").where("doc_id % 3 <> 0"))
+    return compare.score_against_gold(*rated(spark, sf_dir))[0]
 
 
-@query(ORACLE["gold_scorecard"].replace(" WHERE doc_id % 3 <> 0", ""))
-def gold_scorecard_whole(spark, sf_dir):
-    return scorecard(spark, sf_dir, read(spark, sf_dir, "documents"))
+def rated(spark, sf_dir):
+    """(analyses, gold): six dimensions, skills and errors of each."""
+    n, k = F.col("n_chars"), F.col("doc_id")
+    levels = {"R": n % 4, "P": n % 2, "D": n % 3, "I": k % 4, "C": F.when(n % 5 > 0, n % 3), "E": k % 2}
+    none = F.expr("cast(array() as array<string>)")
+    analyses = read(spark, sf_dir, "documents").select(k.cast("string").alias("question_key"), *(v.cast("int").alias(d) for d, v in levels.items()), F.array(F.concat(F.lit("s"), n % 5), F.lit("t")).alias("skills"), F.when(k % 4 == 0, F.array(F.concat(F.lit("e"), k % 7), F.lit("f"))).otherwise(none).alias("errors"))
+    wanted = {"R": k % 4, "P": k % 3, "D": F.col("quality") + 1, "I": k % 2, "C": F.col("quality"), "E": F.col("toxic") * 3}
+    gold = read(spark, sf_dir, "labels").select(F.when(k % 3 == 0, F.concat(F.lit("lost"), k)).otherwise(k.cast("string")).alias("question_key"), *(v.cast("int").alias(d) for d, v in wanted.items()), F.array(F.concat(F.lit("s"), k % 5), F.concat(F.lit("s"), k % 3), F.lit("t")).alias("skills"), F.when(k % 2 == 0, F.array(F.concat(F.lit("e"), k % 7))).otherwise(none).alias("errors"))
+    return analyses, gold
 
 
-def scorecard(spark, sf_dir, documents):
-    g = read(spark, sf_dir, "labels").select("doc_id", (F.col("doc_id") % 4).cast("int").alias("w_r"), (F.col("quality") + 1).alias("w_d"), (F.col("toxic") * 3).alias("w_e"))
-    a = documents.select("doc_id", (F.col("n_chars") % 4).cast("int").alias("r"), (F.col("n_chars") % 3).cast("int").alias("d"), (F.col("doc_id") % 2).cast("int").alias("e"))
-    long = g.join(a, "doc_id").select(F.explode(F.array(*(F.struct(F.lit(x.upper()).alias("dim"), F.col(x).cast("long").alias("got"), F.col(f"w_{x}").cast("long").alias("want")) for x in "rde"))).alias("x")).select("x.*")
-    return compare.dimension_scores(long)
+OVERLAP_SQL = "CASE WHEN len(list_distinct(list_concat(g.{0}, a.{0}))) = 0 THEN 1.0 ELSE len(list_intersect(list_distinct(g.{0}), list_distinct(a.{0}))) / len(list_distinct(list_concat(g.{0}, a.{0}))) END"
 
 
-@query("SELECT l.doc_id, d.doc_id IS NULL AS missing FROM labels l LEFT JOIN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0) d USING (doc_id)")
-def gold_left_join_missing(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select("doc_id", F.lit(True).alias("hit"))
-    return read(spark, sf_dir, "labels").join(d, "doc_id", "left").select("doc_id", F.col("hit").isNull().alias("missing"))
+@query(RATED_SQL + f" SELECT question_key, CAST({OVERLAP_SQL.format('skills')} AS DOUBLE) AS skill_overlap, CAST({OVERLAP_SQL.format('errors')} AS DOUBLE) AS error_overlap, CAST(abs(coalesce(r, 0) - w_r) + abs(coalesce(p, 0) - w_p) + abs(coalesce(d, 0) - w_d) + abs(coalesce(i, 0) - w_i) + abs(coalesce(c, 0) - w_c) + abs(coalesce(e, 0) - w_e) AS INT) AS total_diff FROM g JOIN a USING (question_key)")
+def gold_overlaps(spark, sf_dir):
+    return compare.score_against_gold(*rated(spark, sf_dir))[1]
 
 
-@query("""WITH q AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS k FROM part WHERE p_partkey % 2 = 0), a AS (SELECT CAST(l_partkey AS VARCHAR) AS k FROM lineitem WHERE l_orderkey < 2000)
-SELECT issue_code, severity, count(*) AS n FROM (SELECT 'QUESTION_NOT_ANALYSED' AS issue_code, 'high' AS severity FROM q ANTI JOIN a USING (k) UNION ALL SELECT 'ANALYSIS_FOR_UNKNOWN_QUESTION', 'high' FROM a ANTI JOIN q USING (k)
-UNION ALL SELECT 'DUPLICATE_ANALYSIS', 'medium' FROM a JOIN q USING (k) GROUP BY k HAVING count(*) > 1) GROUP BY issue_code, severity""")
-def unknown_and_missing_antijoin(spark, sf_dir):
-    return payload_counts(spark, sf_dir, read(spark, sf_dir, "lineitem").where("l_orderkey < 2000"))
+@query(RATED_SQL + " SELECT question_key FROM g WHERE question_key LIKE 'lost%'")
+def gold_left_join_missing(spark, sf_dir):
+    return compare.score_against_gold(*rated(spark, sf_dir))[2]
 
 
-@query(ORACLE["unknown_and_missing_antijoin"].replace(" WHERE l_orderkey < 2000", ""))
-def unknown_and_missing_antijoin_whole(spark, sf_dir):
-    return payload_counts(spark, sf_dir, read(spark, sf_dir, "lineitem"))
+@query(RATED_SQL + f""", t AS (SELECT question_key, abs(coalesce(r, 0) - w_r) + abs(coalesce(p, 0) - w_p) + abs(coalesce(d, 0) - w_d) + abs(coalesce(i, 0) - w_i) + abs(coalesce(c, 0) - w_c) + abs(coalesce(e, 0) - w_e) AS diff, concat(r, p, d, i, coalesce(c, 0), e) AS got, concat(w_r, w_p, w_d, w_i, w_c, w_e) AS want FROM g JOIN a USING (question_key))
+SELECT question_key, CAST(diff AS INT) AS total_diff, got, want FROM t ORDER BY diff DESC, question_key LIMIT 10""")
+def largest_disagreements(spark, sf_dir):
+    return compare.largest_disagreements(*rated(spark, sf_dir))
 
 
-def payload_counts(spark, sf_dir, lines):
-    q = read(spark, sf_dir, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("source_question_id"))
-    a = lines.select(F.col("l_partkey").cast("string").alias("source_question_id"))
+@query("""WITH q AS (SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE 'new' || p_partkey END AS k FROM part), a AS (SELECT CAST(l_partkey AS VARCHAR) AS k FROM lineitem)
+SELECT issue_code, severity, count(*) AS n FROM (SELECT 'QUESTION_NOT_ANALYSED' AS issue_code, 'high' AS severity FROM q ANTI JOIN a USING (k) UNION ALL SELECT 'ANALYSIS_FOR_UNKNOWN_QUESTION', 'high' FROM a ANTI JOIN q USING (k)
+UNION ALL SELECT 'DUPLICATE_ANALYSIS', 'medium' FROM a JOIN q USING (k) GROUP BY k HAVING count(*) > 1) GROUP BY issue_code, severity""")
+def unknown_and_missing_antijoin(spark, sf_dir):
+    """All parts as questions, half of them under ids that no analysis names; all lines as analyses."""
+    k = F.col("p_partkey")
+    q = read(spark, sf_dir, "part").select(F.when(k % 2 == 0, k.cast("string")).otherwise(F.concat(F.lit("new"), k)).alias("source_question_id"))
+    a = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("source_question_id"))
     return solving.check_payload(q, a).groupBy("issue_code", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -242,12 +248,13 @@ def images_nested_collect(spark, sf_dir):
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey % 900 AS INT) AS x, CAST(l_suppkey % 900 AS INT) AS y, CAST(l_quantity AS INT) AS w FROM lineitem),
 b AS (SELECT *, x + w AS x2, y + 3 * w AS y2 FROM r)
 SELECT l_orderkey, l_linenumber, (y2 <= 1000 AND x2 <= 1000 AND w >= 20) AS usable, greatest(0, CAST(round_even(x / 1000 * 1654 - 0.02 * 1654, 0) AS INT)) AS "left", greatest(0, CAST(round_even(y / 1000 * 2339 - 0.02 * 2339, 0) AS INT)) AS "top",
- greatest(least(1654, CAST(round_even(x2 / 1000 * 1654 + 0.02 * 1654, 0) AS INT)), greatest(0, CAST(round_even(x / 1000 * 1654 - 0.02 * 1654, 0) AS INT)) + 1) AS "right" FROM b""")
+ greatest(least(1654, CAST(round_even(x2 / 1000 * 1654 + 0.02 * 1654, 0) AS INT)), greatest(0, CAST(round_even(x / 1000 * 1654 - 0.02 * 1654, 0) AS INT)) + 1) AS "right",
+ greatest(least(2339, CAST(round_even(y2 / 1000 * 2339 + 0.02 * 2339, 0) AS INT)), greatest(0, CAST(round_even(y / 1000 * 2339 - 0.02 * 2339, 0) AS INT)) + 1) AS "bottom" FROM b""")
 def crop_boxes(spark, sf_dir):
     x, y, w = (F.col("l_partkey") % 900).cast("int"), (F.col("l_suppkey") % 900).cast("int"), F.col("l_quantity").cast("int")
     r = F.struct(x.alias("x_min"), y.alias("y_min"), (x + w).alias("x_max"), (y + 3 * w).alias("y_max"))
     box = T.crop_box(F.col("r"), F.lit(1654), F.lit(2339))
-    return read(spark, sf_dir, "lineitem").withColumn("r", r).select("l_orderkey", "l_linenumber", T.is_usable_region(F.col("r")).alias("usable"), *(box[s].alias(s) for s in ("left", "top", "right")))
+    return read(spark, sf_dir, "lineitem").withColumn("r", r).select("l_orderkey", "l_linenumber", T.is_usable_region(F.col("r")).alias("usable"), *(box[s].alias(s) for s in ("left", "top", "right", "bottom")))
 
 
 @query()
@@ -257,7 +264,7 @@ def text_diff(spark, sf_dir):
     return compare.describe_text_changes(b)
 
 
-@query()
+@query("SELECT item_id AS id, CAST(CASE WHEN item_id % 4 <> 0 THEN item_id % 3 END AS INT) AS level, CASE WHEN item_id % 4 = 0 THEN 'no recorded answer' END AS error FROM benchmark")
 def recorded_model_stage(spark, sf_dir):
     """Prompts answered from a recording; those never recorded give a row with an error."""
     b = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), models.prompt("Rate it.", "QUESTION", F.struct("item_id", "text")).alias("prompt"))
@@ -266,22 +273,11 @@ def recorded_model_stage(spark, sf_dir):
     return out.select("id", F.col("payload.level").alias("level"), "error")
 
 
-@query("SELECT event_id, event_type FROM events WHERE event_id % 10 = 0")
+@query("SELECT event_id, event_type FROM events")
 def incremental_file_source(spark, sf_dir):
-    """The tenth of the events that the SQL names; incremental_file_source_whole takes all."""
-    return arrived(spark, sf_dir, "tenth", read(spark, sf_dir, "events").where("event_id % 10 = 0"), "event_id % 20 = 0")
-
-
-@query(ORACLE["incremental_file_source"].replace(" WHERE event_id % 10 = 0", ""))
-def incremental_file_source_whole(spark, sf_dir):
-    return arrived(spark, sf_dir, "whole", read(spark, sf_dir, "events"), "event_id % 2 = 0")
-
-
-def arrived(spark, sf_dir, name, events, twice):
-    """Events arrive in two deliveries, those of the condition ``twice`` three times; each event is in the table once."""
-    base = tempfile.mkdtemp(prefix="inbox-") if spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None) else f"{spark.conf.get('spark.checkpoint.dir')}/inbox-{name}-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
-    shutil.rmtree(base.removeprefix("file://"), ignore_errors=True)
-    e = events.select("event_id", "event_type")
+    """All events arrive at the inbox, every second one three times; each event is in the table once."""
+    base, twice = fresh_dir(spark, "inbox"), "event_id % 2 = 0"
+    e = read(spark, sf_dir, "events").select("event_id", "event_type")
     schema = "event_id long, event_type string"
     for k, part in enumerate((e.where(twice), e, e.where(twice))):
         part.write.mode("append").json(f"{base}/inbox/{k}")

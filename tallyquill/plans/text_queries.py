@@ -151,8 +151,8 @@ def ragged_tables(spark, sf_dir):
 LATEX_SQL = r"text || CASE doc_id % 4 WHEN 0 THEN ' \(\frac{1}{2}\) and \alpha' WHEN 1 THEN ' $x^{2}$ x_{10}' WHEN 2 THEN ' $$\beta$$' ELSE '' END"
 
 
-@query(rf"""SELECT doc_id, array_to_string(list_concat(regexp_extract_all(t, '\\[a-zA-Z]{{2,}}'), regexp_extract_all(t, '[\^_]\{{[^}}\n]{{1,30}}\}}')), ' ') AS loose
-FROM (SELECT doc_id, regexp_replace({LATEX_SQL}, '(?s)\\\(.*?\\\)|\$\$.*?\$\$|\$[^$\n]+\$', ' ', 'g') AS t FROM documents) WHERE doc_id % 4 < 2""")
+@query(rf"""SELECT doc_id, array_to_string(loose, ' ') AS loose FROM (SELECT doc_id, list_concat(regexp_extract_all(t, '\\[a-zA-Z]{{2,}}'), regexp_extract_all(t, '[\^_]\{{[^}}\n]{{1,30}}\}}')) AS loose
+FROM (SELECT doc_id, regexp_replace({LATEX_SQL}, '(?s)\\\(.*?\\\)|\$\$.*?\$\$|\$[^$\n]+\$', ' ', 'g') AS t FROM documents)) WHERE len(loose) > 0""")
 def undelimited_latex(spark, sf_dir):
     k = F.col("doc_id") % 4
     text = F.concat("text", F.when(k == 0, F.lit(r" \(\frac{1}{2}\) and \alpha")).when(k == 1, F.lit(" $x^{2}$ x_{10}")).when(k == 2, F.lit(r" $$\beta$$")).otherwise(""))
@@ -246,7 +246,8 @@ def sibling_groups_having(spark, sf_dir):
     return g.select("parent", F.size("parts").cast("long").alias("parts"), F.col("parts")[0]["question_text"].alias("first_role"))
 
 
-@query()
+@query("""SELECT 'd' AS doc, CAST(conv_id AS VARCHAR) AS parent, 'What is said in turn 0 of it' AS removed, conv_id || '(0)' AS owner, 'Read the talk。' AS keep, string_agg(conv_id || '(' || turn || ')', ',' ORDER BY turn) AS question_ids
+FROM conversations GROUP BY conv_id HAVING count(*) >= 2 AND min(turn) = 0""")
 def stem_contamination(spark, sf_dir):
     """Turns of a conversation as parts that all start with a stem ending in the first turn's own question."""
     c = read(spark, sf_dir, "conversations")
@@ -274,7 +275,7 @@ def answers_match_three_valued(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", T.answers_match(given, (q % 13 + 1).cast("string")).alias("verdict"))
 
 
-@query("""SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT printf('%.6g', CAST(l_quantity AS DOUBLE)))), ',') AS answers FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_orderkey HAVING count(DISTINCT l_quantity) > 1""")
+@query("""SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT printf('%.6g', CAST(l_quantity AS DOUBLE)))), ',') AS answers FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_quantity) > 1""")
 def strategies_disagree(spark, sf_dir):
-    answers = read(spark, sf_dir, "lineitem").where("l_linestatus = 'O'").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(T.normalise_answer(F.col("l_quantity").cast("string")))).alias("a"))
+    answers = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(T.normalise_answer(F.col("l_quantity").cast("string")))).alias("a"))
     return answers.where(F.size("a") > 1).select("l_orderkey", F.array_join("a", ",").alias("answers"))

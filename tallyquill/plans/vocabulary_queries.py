@@ -52,17 +52,22 @@ def prerequisite_cycles(spark, sf_dir):
     return taxonomy.cycles(edges(spark, sf_dir))
 
 
-@query("SELECT n_name AS ref FROM nation WHERE n_nationkey % 5 <> 0 AND n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey % 11 = 0)")
+@query("SELECT c_custkey AS ref FROM customer WHERE c_nationkey % 5 <> 0 AND c_custkey NOT IN (SELECT user_id FROM events)")
 def uncovered_antijoin(spark, sf_dir):
-    n = read(spark, sf_dir, "nation")
-    objectives = n.select(F.col("n_name").alias("ref"), F.when(F.col("n_nationkey") % 5 == 0, "enrichment").otherwise("foundation").alias("status"))
-    skills = read(spark, sf_dir, "customer").where("c_custkey % 11 = 0").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.array("n_name").alias("guide_ref"))
+    """Customers as objectives, users of events as what skills refer to."""
+    objectives = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ref"), F.when(F.col("c_nationkey") % 5 == 0, "enrichment").otherwise("foundation").alias("status"))
+    skills = read(spark, sf_dir, "events").select(F.array("user_id").alias("guide_ref"))
     return taxonomy.uncovered_objectives(objectives, skills).select("ref")
 
 
-@query(f"""WITH k AS {SKILL_SQL}, w AS (SELECT DISTINCT 'zz' || substr(skill_id, instr(skill_id, '.')) AS wrong FROM k)
+#: Ids of which some tails (unit and slug) belong to one skill and some to several.
+TAILED_SQL = "(SELECT DISTINCT lower(p_type) || '.' || lower(replace(p_brand, '#', '-')) || '.s' || (p_partkey % 499) AS skill_id FROM part)"
+
+
+@query(f"""WITH k AS {TAILED_SQL}, w AS (SELECT DISTINCT 'zz' || substr(skill_id, instr(skill_id, '.')) AS wrong FROM k)
 SELECT wrong, min(skill_id) AS skill_id FROM w JOIN k ON substr(wrong, instr(wrong, '.')) = substr(skill_id, instr(skill_id, '.')) WHERE len(string_split(wrong, '.')) = 3 GROUP BY wrong HAVING count(*) = 1""")
 def unique_suffix_match(spark, sf_dir):
-    known = skill_ids(spark, sf_dir)
+    part = read(spark, sf_dir, "part")
+    known = part.select(F.concat_ws(".", F.lower("p_type"), F.lower(F.translate("p_brand", "#", "-")), F.concat(F.lit("s"), F.col("p_partkey") % 499)).alias("skill_id")).distinct()
     wrong = known.select(F.concat(F.lit("zz."), F.expr("substring_index(skill_id, '.', -2)")).alias("wrong"))
     return taxonomy.unique_suffix(wrong, known)

@@ -58,14 +58,18 @@ def new_files(files: DataFrame, done: DataFrame) -> DataFrame:
 
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header, after lines that are blank or start with '#', indented ones included; quotes
-    double inside quotes; empty and missing cells are ''. A cell holds no line end."""
-    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#|$)"))
-    header = lines.first()
-    names = [n.strip().strip('"') for n in header.value.split(",")] if header else []
+    double inside quotes; empty and missing cells are ''. A cell holds no line end. The first line of each
+    file is its header; files of one folder with different headers are an error."""
+    lines = F.filter(F.split(F.col("value"), "\r\n|\n|\r"), lambda x: ~x.rlike(r"^\s*(#|$)"))
+    files = spark.read.text(path, wholetext=True).select(lines.alias("lines")).where(F.size("lines") > 0)
+    headers = [r[0] for r in files.select(F.get("lines", F.lit(0))).distinct().limit(2).collect()]
+    if len(headers) > 1:
+        raise ValueError(f"files with different headers: {headers}")
+    names = [n.strip().strip('"') for n in headers[0].split(",")] if headers else []
     if not names:
         return spark.createDataFrame([], "none string")
     cells = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"escape": '"'})
-    rows = lines.where(F.col("value") != header.value).select(cells.alias("c")).select("c.*")
+    rows = files.select(F.explode(F.slice("lines", F.lit(2), F.size("lines"))).alias("value")).select(cells.alias("c")).select("c.*")
     return rows.select(*(F.coalesce(N.stripped(F.col(f"`{c}`")), F.lit("")).alias(c) for c in rows.columns))
 
 
@@ -98,6 +102,6 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """folder, stem, fields of every '<stem>.meta.txt'."""
-    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.meta.txt").text(path)
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.meta.txt")
     p = F.col("_metadata.file_path")
     return texts.select(F.regexp_replace(p, "/[^/]*$", "").alias("folder"), F.regexp_replace(F.element_at(F.split(p, "/"), -1), r"\.meta\.txt$", "").alias("stem"), N.parse_sidecar(F.col("value")).alias("fields"))
