@@ -190,7 +190,8 @@ def normalise_answer(text: Column) -> Column:
 
 def _normalised(s: Column) -> Column:
     letter = F.when(s.rlike(X.MC_LETTER), F.upper(F.regexp_extract(s, X.MC_LETTER, 1)))
-    t = F.regexp_replace(stripped(strip_latex(s)), X.LEADING_VARIABLE, "")
+    t = F.when(s.rlike(r"[\\{}(]"), stripped(strip_latex(s))).otherwise(s)  # nothing to strip elsewhere
+    t = F.regexp_replace(t, X.LEADING_VARIABLE, "")
     t = F.regexp_replace(F.translate(t, "−×，", "-*,"), r"[.。 ]+$", "")
     t = F.replace(F.lower(F.regexp_replace(t, r"(?U)\s+", "")), F.lit("$"), F.lit(""))
     t = F.regexp_replace(F.regexp_replace(t, X.UNITS, ""), r"[.。]+$", "")
@@ -210,14 +211,14 @@ def answers_match(given: Column, reference: Column) -> Column:
     """True, false, or null where there is nothing to compare: a blank side, or one single character
     against several, unless a bracketed value settles that."""
     both = F.concat(F.coalesce(given, F.lit("None")), F.coalesce(reference, F.lit("None")))
-    inner = normalise_answer(F.when(both.rlike(r"\(([^()]+)\)"), F.regexp_extract(both, r"\(([^()]+)\)", 1)))
-    sides = F.struct(normalise_answer(given).alias("a"), normalise_answer(reference).alias("b"), inner.alias("inner"), both.rlike(r"\(([^()]+)\)").alias("bracketed"))
+    sides = F.struct(normalise_answer(given).alias("a"), normalise_answer(reference).alias("b"), both.alias("both"))
 
     def verdict(v: Column) -> Column:
         a, b = v["a"], v["b"]
         lopsided = (F.length(a) == 1) != (F.length(b) == 1)
-        inside = F.coalesce(v["inner"] == F.when(F.length(a) == 1, b).otherwise(a), F.lit(False))
-        return F.when(a.isNull() | b.isNull(), F.lit(None)).when(a == b, True).when(lopsided, F.when(v["bracketed"], inside)).otherwise(False)
+        inner = normalise_answer(F.regexp_extract(v["both"], r"\(([^()]+)\)", 1))
+        inside = F.coalesce(inner == F.when(F.length(a) == 1, b).otherwise(a), F.lit(False))
+        return F.when(a.isNull() | b.isNull(), F.lit(None)).when(a == b, True).when(lopsided, F.when(v["both"].rlike(r"\(([^()]+)\)"), inside)).otherwise(False)
 
     return let(sides, verdict)
 
