@@ -196,7 +196,8 @@ def _normalised(s: Column) -> Column:
     t = F.replace(F.lower(F.regexp_replace(t, r"(?U)\s+", "")), F.lit("$"), F.lit(""))
     t = F.regexp_replace(F.regexp_replace(t, X.UNITS, ""), r"[.。]+$", "")
     t = F.regexp_replace(t, r"^\((-?\d+(?:\.\d+)?)\)$", "$1")
-    return F.when(s != "", F.coalesce(letter, let(t, _number_or_text)))
+    short = s.rlike("^(?:0|-?[1-9][0-9]{0,5})$")  # a whole number that is its own form
+    return F.when(short, s).when(s != "", F.coalesce(letter, let(t, _number_or_text)))
 
 
 def _number_or_text(t: Column) -> Column:
