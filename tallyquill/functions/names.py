@@ -203,6 +203,54 @@ def parse_sidecar(text: Column) -> Column:
     return F.map_from_entries(F.get(F.transform(F.array(pairs), last), F.lit(0)))
 
 
+def sidecar_module(sidecar: Column) -> Column:
+    """The module a sidecar states: a named one, or the word compulsory."""
+    said_so = F.try_element_at(sidecar, F.lit("module"))
+    return F.coalesce(parse_module(said_so), F.when(F.lower(said_so) == "compulsory", said_so))
+
+
+def resolve_meta(file_name: Column, sidecar: Column) -> Column:
+    """A paper's meta: what the sidecar states, the rest from the file name; source says which was first."""
+    meta = meta_of_name(file_name)
+
+    def stated(field: str) -> Column:
+        return F.try_element_at(sidecar, F.lit(field))
+
+    there = F.coalesce(F.size(sidecar) > 0, F.lit(False))
+    return F.struct(
+        *(F.coalesce(stated(c), meta[c]).alias(c) for c in ("year", "term", "exam_type")),
+        F.coalesce(stated("paper_number").cast("int"), meta["paper_number"]).alias("paper_number"),
+        stated("school").alias("school"),
+        topics_of(sidecar).alias("topics"),
+        F.when(there, "sidecar").otherwise("filename").alias("source"),
+    )
+
+
+# ---- labels
+
+def marks_label(marks: Column) -> Column:
+    """'1 mark', '2 marks', '2.5 marks'."""
+    number = F.when(marks == F.floor(marks), marks.cast("long").cast("string")).otherwise(marks.cast("string"))
+    return F.concat(number, F.when(marks == 1, " mark").otherwise(" marks"))
+
+
+def pages_label(start: Column, end: Column) -> Column:
+    return F.when(start == end, F.format_string("page %d", start)).otherwise(F.format_string("pages %d–%d", start, end))
+
+
+def paper_label(paper: Column) -> Column:
+    """'2025-26, 1st term, exam, paper 1, School · topics (from source)', 'unknown' where nothing is known."""
+    bits = F.filter(F.array(paper["year"], F.concat(paper["term"], F.lit(" term")), paper["exam_type"], F.format_string("paper %d", paper["paper_number"]), paper["school"]), lambda b: F.coalesce(b, F.lit("")) != "")
+    bits = F.filter(bits, lambda b: b != "paper null")
+    topics = F.when(F.size(paper["topics"]) > 0, F.concat(F.lit(" · "), F.array_join(paper["topics"], ", "))).otherwise("")
+    origin = F.when(said(paper["source"]) & (F.size(bits) > 0), F.concat(F.lit(" (from "), paper["source"], F.lit(")"))).otherwise("")
+    return F.when(paper.isNull(), "unknown").otherwise(F.concat(F.when(F.size(bits) > 0, F.array_join(bits, ", ")).otherwise("unknown"), topics, origin))
+
+
+def module_label(module: Column) -> Column:
+    return F.when(module == "M1", "Extended Part Module 1 (Calculus and Statistics)").when(module == "M2", "Extended Part Module 2 (Algebra and Calculus)").otherwise("Compulsory Part")
+
+
 def topics_of(sidecar: Column) -> Column:
     parts = F.transform(F.split(F.coalesce(F.try_element_at(sidecar, F.lit("topics")), F.lit("")), "[,;、，]"), stripped)
     return F.filter(parts, lambda t: t != "")

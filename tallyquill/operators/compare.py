@@ -180,3 +180,18 @@ def score_against_gold(analyses: DataFrame, gold: DataFrame) -> tuple[DataFrame,
     long = hit.select(F.explode(F.array(*(F.struct(F.lit(d).alias("dim"), F.col(f"g_{d}").alias("got"), F.col(d).alias("want")) for d in X.DIMENSIONS))).alias("r")).select("r.*")
     each = hit.select("question_key", jaccard(F.col("g_skills"), F.col("skills")).alias("skill_overlap"), jaccard(F.col("g_errors"), F.col("errors")).alias("error_overlap"), "total_diff")
     return dimension_scores(long), each, j.where("hit is null").select("question_key")
+
+
+def letter_counts(diff: DataFrame) -> DataFrame:
+    """(dim, n): in how many questions of diff_analyses each dimension's level moved."""
+    moved_dims = diff.select(F.explode(F.transform("levels", lambda s: F.substring(s, 1, 1))).alias("dim"))
+    dims = diff.sparkSession.createDataFrame([(d, k) for k, d in enumerate(X.DIMENSIONS)], "dim string, at int")
+    return dims.join(moved_dims.groupBy("dim").agg(F.count(F.lit(1)).alias("n")), "dim", "left").orderBy("at").select("dim", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def diff_summary(diff: DataFrame) -> DataFrame:
+    """questions, changed, level, skill and primary changes of diff_analyses, as one row."""
+    sets = F.size(F.col("skills")["added"]) + F.size(F.col("skills")["removed"]) > 0
+    errs = F.size(F.col("errors")["added"]) + F.size(F.col("errors")["removed"]) > 0
+    changed = (F.col("status") != "both") | (F.size("levels") > 0) | sets | errs | F.coalesce("primary_changed", F.lit(False))
+    return diff.agg(F.count(F.lit(1)).alias("questions"), F.count_if(changed).alias("changed"), F.count_if(F.size("levels") > 0).alias("levels"), F.count_if(sets).alias("skills"), F.count_if("primary_changed").alias("primaries"))

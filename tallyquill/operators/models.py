@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RETRYABLE = frozenset({408, 429, 500, 502, 503, 504})
@@ -93,3 +93,67 @@ def parsed(answers: DataFrame, schema: str) -> DataFrame:
 def prompt(head: str, title: str, rows: Column) -> Column:
     """A prompt's head, a block title and rows as JSON."""
     return F.concat(F.lit(head + "\n\n" + title + "\n"), F.to_json(rows))
+
+
+TRUNCATED, BLOCKED = ("MAX_TOKENS",), ("SAFETY", "RECITATION", "BLOCKLIST", "PROHIBITED_CONTENT", "SPII")
+
+
+def checked_responses(responses: DataFrame, schema: str) -> DataFrame:
+    """Raw responses (id, finish_reason, text, input_tokens, output_tokens) -> id, payload, error and the counts.
+
+    A response cut off at the token limit, blocked, empty or not JSON has no payload and says why; the reason
+    may carry its enumeration's name before a point.
+    """
+    reason = F.upper(F.element_at(F.split(F.col("finish_reason"), r"\."), -1))
+    blank = ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    error = (
+        F.when(reason.isin(*TRUNCATED), "truncated: the output token limit was hit, so the JSON is incomplete")
+        .when(reason.isin(*BLOCKED), F.concat(F.lit("blocked: finish_reason="), reason))
+        .when(blank, F.concat(F.lit("empty: no JSON, finish_reason="), F.coalesce(reason, F.lit("unknown"))))
+    )
+    rows = responses.select("id", F.when(error.isNull(), F.col("text")).alias("answer"), error.alias("error"), "input_tokens", "output_tokens")
+    return parsed(rows, schema).drop("answer")
+
+
+def read_prompts(spark: SparkSession, path: str) -> DataFrame:
+    """path, text and hash of every prompt file below a folder."""
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
+    return texts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), prompt_hash(F.col("value")).alias("hash"))
+
+
+def prompt_hash(text: Column) -> Column:
+    """Twelve hex digits that tell a prompt's text."""
+    return F.substring(F.sha2(text, 256), 1, 12)
+
+
+def filled(template: Column, values: dict[str, Column]) -> Column:
+    """A template with {NAME} replaced by each value."""
+    for name, value in values.items():
+        template = F.replace(template, F.lit("{" + name + "}"), value)
+    return template
+
+
+def block(title: str, rows: Column) -> Column:
+    """A title and a line for each row."""
+    return F.concat_ws("\n", F.lit(title), F.array_join(rows, "\n"))
+
+
+def questions_block(questions: DataFrame) -> DataFrame:
+    """(doc, block): a paper's questions as JSON, in order, for a model."""
+    fields = [c for c in ("source_question_id", "question_text", "question_type", "options", "marks", "answer") if c in questions.columns]
+    each = questions.select("doc", "position", F.to_json(F.struct(*fields)).alias("j"))
+    return each.groupBy("doc").agg(F.concat(F.lit("QUESTIONS\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "j"))), lambda x: x["j"]), "\n")).alias("block"))
+
+
+def vocabulary_block(title: str, rows: DataFrame, id_col: str) -> DataFrame:
+    """(block): 'id | name' of each row, by id. One row; vocabularies are small beside questions."""
+    line = F.concat_ws(" | ", id_col, "name_en").alias("line")
+    return rows.select(id_col, line).agg(F.concat(F.lit(f"{title}\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(id_col, "line"))), lambda x: x["line"]), "\n")).alias("block"))
+
+
+def find_question(questions: DataFrame, doc: str, qid: str) -> DataFrame:
+    """The question, or an error where the paper has none of that id."""
+    found = questions.where((F.col("doc") == doc) & (F.col("source_question_id") == qid)).limit(1)
+    if found.isEmpty():
+        raise KeyError(f"question {qid!r} is not in {doc}")
+    return found

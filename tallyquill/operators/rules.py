@@ -94,12 +94,14 @@ def document_rules(documents: DataFrame) -> DataFrame:
     name_level, paper_level = N.parse_level(F.col("file_name")), N.parse_level(F.col("level_text"))
     name_module, paper_module = N.parse_module(F.col("file_name")), N.parse_module(F.col("module_text"))
     n = F.col("n_questions")
+    optional = ("level_source", "module", "module_source")  # of older archives
+    documents = documents.withColumns({c: F.lit(None).cast("string") for c in optional if c not in documents.columns})
     issues = [
         issue("PAGE_COUNT_INVALID", "high", F.col("page_count") <= 0, F.lit("Document page_count is invalid."), 0),
         issue("NO_QUESTIONS_FOUND", "critical", n == 0, F.lit("No questions were extracted."), 1),
         issue("LEVEL_MISSING", "low", F.col("level").isNull(), F.lit("Neither the file name nor the paper names a recognised form."), 2),
-        issue("LEVEL_MISMATCH", "medium", F.col("level").isNotNull() & (name_level != paper_level), say("File name says %s but the paper prints %s.", name_level, paper_level), 3),
-        issue("MODULE_MISMATCH", "medium", name_module != paper_module, say("The file name says %s but the paper prints %s.", name_module, paper_module), 4),
+        issue("LEVEL_MISMATCH", "medium", F.col("level").isNotNull() & (name_level != paper_level), say("File name says %s but the paper prints '%s' (%s); using %s from the %s. Rename the file if the paper is right.", name_level, F.col("level_text"), paper_level, F.col("level"), F.coalesce("level_source", F.lit("filename"))), 3),
+        issue("MODULE_MISMATCH", "medium", name_module != paper_module, say("The file name says %s but the paper prints '%s' (%s); using %s from the %s. Rename the file if the paper is right.", name_module, F.col("module_text"), paper_module, F.coalesce("module", name_module), F.coalesce("module_source", F.lit("filename"))), 4),
         issue("SUSPICIOUSLY_FEW_QUESTIONS", "medium", (n > 0) & (F.col("page_count") >= X.LEAST_PAGES_FOR_DENSITY) & (n < F.col("page_count") * X.LEAST_PER_PAGE), say("Only %d question(s) found in %d pages.", n, F.col("page_count")), 5),
     ]
     own = exploded(documents, issues)
@@ -151,7 +153,9 @@ def dash_totals(questions: DataFrame, doc: str = "doc", text: str = "question_te
 
 def minus_rule(questions: DataFrame) -> DataFrame:
     mixed = dash_totals(questions).where("kinds > 1")
-    return mixed.select("doc", F.lit("INCONSISTENT_MINUS_SIGN").alias("issue_code"), F.lit("low").alias("severity"), say("This paper came back with %d different dash characters.", F.col("kinds")).alias("message"), F.lit(None).cast("string").alias("source_question_id"), F.lit(1).alias("ordinal"))
+    kinds = zip(("hyphen", "en_dash", "minus"), X.DASHES.values(), strict=True)
+    named = F.array_join(F.array_compact(F.array(*(F.when(F.col(k) >= X.LEAST_DASHES, F.format_string(f"{name} x%d", F.col(k))) for k, name in kinds))), ", ")
+    return mixed.select("doc", F.lit("INCONSISTENT_MINUS_SIGN").alias("issue_code"), F.lit("low").alias("severity"), say("This paper came back with %d different dash characters (%s). The page prints one; matching text later needs one.", F.col("kinds"), named).alias("message"), F.lit(None).cast("string").alias("source_question_id"), F.lit(1).alias("ordinal"))
 
 
 def validate_extraction(documents: DataFrame) -> DataFrame:

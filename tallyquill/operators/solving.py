@@ -201,3 +201,35 @@ def batches(rows: DataFrame, group: list[str], order: str, size: int = X.SOLVER_
     from pyspark.sql import Window
 
     return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*group).orderBy(order)) - 1) / size).cast("int"))
+
+
+def repair_drivers(analyses: DataFrame) -> DataFrame:
+    """difficulty_drivers computed from the primary strategy's levels where they differ as sets of letters."""
+    main = primary(F.col("strategies"))
+    want = drivers(F.struct(*(main["rpdice"][d]["level"].alias(d) for d in X.DIMENSIONS)))
+    wrong = main.isNotNull() & (F.array_sort("difficulty_drivers") != F.array_sort(want))
+    return analyses.withColumn("difficulty_drivers", F.when(wrong, want).otherwise(F.col("difficulty_drivers")))
+
+
+def fresh_strategies(analyses: DataFrame) -> DataFrame:
+    """Strategies with their computed ids, all of them the analyzer's and proposed, whatever the model said."""
+    marked = with_strategy_ids(analyses)
+    return marked.withColumn("strategies", F.transform("strategies", lambda s: s.withField("source", F.lit("analyzer")).withField("status", F.lit("proposed"))))
+
+
+def analysed(payload: DataFrame, skills: DataFrame) -> DataFrame:
+    """A model's analyses as they are kept: skill ids repaired, strategies identified, drivers recomputed."""
+    from tallyquill.operators.taxonomy import repair_skill_ids
+
+    return repair_drivers(fresh_strategies(repair_skill_ids(payload, skills)))
+
+
+def to_critique(analyses: DataFrame, critiqued: DataFrame, again: bool = False) -> DataFrame:
+    """Analyses that no critic has read yet, or all of them."""
+    return analyses if again else analyses.join(critiqued.select("source_question_id").distinct(), "source_question_id", "left_anti")
+
+
+def paired_files(analyses: DataFrame, extractions: DataFrame) -> DataFrame:
+    """Analyses with the extraction of the same paper. Both: sha256, path."""
+    key = N.paper_key(F.col("sha256")).alias("paper")
+    return analyses.select(key, F.col("path").alias("analysis")).join(extractions.select(key, F.col("path").alias("extraction")), "paper")

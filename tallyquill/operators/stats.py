@@ -86,3 +86,37 @@ def merge_documents(stored: DataFrame, new: DataFrame) -> DataFrame:
     out = {c: F.coalesce(f"b.{c}", f"a.{c}") if c in kept else F.when(hit, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")) for c in cols}
     a = stored.alias("a").join(new.withColumn("__new", F.lit(True)).alias("b"), "sha256", "full_outer")
     return a.select("sha256", *(v.alias(c) for c, v in out.items()))
+
+
+def issue_totals(issues: DataFrame) -> DataFrame:
+    """(issue_code, n) of all issues, those of whole documents included; commonest first, then by code."""
+    return issues.groupBy("issue_code").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "issue_code")
+
+
+def severity_histogram(issues: DataFrame) -> DataFrame:
+    """(severity, n), severest first."""
+    from tallyquill.operators.rules import severity_rank
+
+    return issues.groupBy("severity").agg(F.count(F.lit(1)).alias("n")).orderBy(severity_rank(F.col("severity")))
+
+
+def totals(papers: DataFrame) -> DataFrame:
+    """papers, questions and issues of a papers table."""
+    return papers.agg(F.count(F.lit(1)).alias("papers"), F.coalesce(F.sum("questions"), F.lit(0)).alias("questions"), F.coalesce(F.sum("issues"), F.lit(0)).alias("issues"))
+
+
+def token_sums(runs: DataFrame) -> DataFrame:
+    """model, calls, input_tokens, output_tokens; calls that gave no counts add nothing."""
+    return runs.groupBy("model").agg(F.count(F.lit(1)).alias("calls"), *(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("input_tokens", "output_tokens")))
+
+
+def content_status(files: DataFrame, sha: str, order: str) -> DataFrame:
+    """files with status: done for the first of equal content, duplicate for the rest."""
+    first = files.groupBy(sha).agg(F.min(order).alias("first"))
+    return files.join(first, sha).withColumn("status", F.when(F.col(order) == F.col("first"), "done").otherwise("duplicate")).drop("first")
+
+
+def verdict_counts(attempts: DataFrame, student: str = "student_id", correct: str = "is_correct", *more: Column) -> DataFrame:
+    """Attempts, correct and wrong ones of each student and further aggregates; the unjudged are in attempts alone."""
+    ok = F.col(correct)
+    return attempts.groupBy(student).agg(F.count(F.lit(1)).alias("attempts"), F.count_if(ok).alias("correct"), F.count_if(~ok).alias("wrong"), *more)

@@ -154,3 +154,53 @@ def audit(skills: DataFrame, errors: DataFrame, objectives: DataFrame | None = N
         flags = F.create_map(*(F.lit(x) for pair in X.FLAGS.items() for x in pair))
         out.append(when(flagged.where("want is not null"), ~flags[F.col("want")].eqNullSafe(F.col("foundation")), "skill %s is flagged %s but its Guide objectives say %s", sid, F.coalesce("foundation", F.lit("blank")), flags[F.col("want")]))
     return reduce(DataFrame.unionByName, out).distinct().orderBy("problem")
+
+
+def skills_for_form(skills: DataFrame, form: str) -> DataFrame:
+    return skills.where(F.col("form") == form)
+
+
+def skills_in_unit(skills: DataFrame, strand: str, unit: str) -> DataFrame:
+    return skills.where((F.col("strand") == strand) & (F.col("unit") == unit))
+
+
+def in_guide(refs: Column) -> Column:
+    """Whether any reference is one of the Guide's."""
+    return F.exists(refs, lambda r: r.rlike(X.GUIDE_REF))
+
+
+def counters(skills: DataFrame, errors: DataFrame, objectives: DataFrame) -> DataFrame:
+    """(what, name, n): skills by strand, form and foundation flag, skills with an error pattern (wildcards
+    counted as named), objectives, those assessed, those covered, and skills outside the Guide."""
+
+    def by(c: str) -> DataFrame:
+        return skills.where(F.col(c).isNotNull()).groupBy(F.lit(c).alias("what"), F.col(c).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+
+    def one(rows: DataFrame, what: str) -> DataFrame:
+        return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("what"), F.lit(what).alias("name"), "n")
+
+    assessed = objectives.where("status <> 'enrichment'")
+    covered = errors.select(F.explode("skills").alias("s")).distinct()
+    parts = [
+        by("strand"), by("form"), by("foundation"), one(covered, "skills with an error pattern"), one(objectives, "objectives"), one(assessed, "objectives assessed"),
+        one(assessed.join(skills.select(F.explode("guide_ref").alias("ref")), "ref", "left_semi"), "objectives covered"), one(skills.where(F.array_contains("guide_ref", "ext")), "skills outside the Guide"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_vocabularies(skills: DataFrame, errors: DataFrame, objectives: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The vocabularies as they are, or an error that lists every problem the audit finds."""
+    problems = [r.problem for r in audit(skills, errors, objectives).collect()]
+    if problems:
+        raise ValueError(f"{len(problems)} problem(s) in the vocabularies:\n" + "\n".join(problems))
+    return skills, errors, objectives
+
+
+def question_skills(analyses: DataFrame, skills: DataFrame) -> DataFrame:
+    """(source_question_id, skills): the skills listed for a question, then what they rest on, each once."""
+    listed = analyses.select("source_question_id", F.array_distinct(F.concat("atomic_skills", F.flatten(F.transform("strategies", lambda s: s["skills"])))).alias("listed"))
+    each = listed.select("source_question_id", F.posexplode("listed").alias("at", "start"))
+    rest = each.join(prerequisites(skills).select("start", "reached", "depth"), "start").groupBy("source_question_id").agg(F.array_sort(F.collect_list(F.struct("at", "depth", "reached"))).alias("r"))
+    j = listed.join(rest, "source_question_id", "left")
+    more = F.transform(F.coalesce("r", F.expr("cast(array() as array<struct<at:int,depth:int,reached:string>>)")), lambda x: x["reached"])
+    return j.select("source_question_id", F.array_distinct(F.concat("listed", more)).alias("skills"))

@@ -1,0 +1,363 @@
+"""Queries over literal vocabularies, analyses, solutions, attempts and reports; their SQL states rows worked out by hand."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyquill.functions import names as N
+from tallyquill.operators import compare, ingest, models, reports, solving, stats, taxonomy
+from tallyquill.plans import fixtures as X
+from tallyquill.plans.fixture_queries import put, table, text_of
+from tallyquill.plans.registry import query
+from tallyquill.sources import archive, rows, store
+from tallyquill.sources.shared import fresh_dir
+
+A, B, C = "a" * 12, "b" * 12, "c" * 12
+
+
+# ---- vocabularies
+
+@query(table("skill_id, error_id",
+    *((s, "err.any.copy") for s in ("na.eq.solve", "na.eq.quad", "na.poly.factor", "ms.trig.sine", "m1.calc.limit", "m2.mat.det")),
+    *((s, "err.sign.lost") for s in ("na.eq.solve", "na.eq.quad", "na.poly.factor", "ms.trig.sine", "m1.calc.limit")), ("ms.trig.sine", "err.trig.ratio"), ("m1.calc.limit", "err.m1.limits")))
+def fitting_errors(spark, sf_dir):
+    """Errors of a skill and of all that it rests on."""
+    return taxonomy.fitting_errors(X.skills(spark), X.errors(spark))
+
+
+@query(table("start, reached, depth", ("na.eq.quad", "na.eq.solve", 1), ("na.poly.factor", "na.eq.solve", 1), ("ms.trig.sine", "na.eq.quad", 1), ("ms.trig.sine", "na.poly.factor", 1), ("ms.trig.sine", "na.eq.solve", 2), ("m1.calc.limit", "na.eq.quad", 1), ("m1.calc.limit", "na.eq.solve", 2)))
+def skill_prerequisites(spark, sf_dir):
+    return taxonomy.prerequisites(X.skills(spark))
+
+
+BAD_SKILLS = [
+    ("na.a.x", "na", "a", "X", "x", "F9", "foundation", ["na.a.x", "na.no.such"], ["CP-1.1"]), ("na.a.y", "ms", "a", "Y", "", "F1", None, ["na.a.z"], ["CP-1.2"]), ("na.a.z", "na", "a", "Z", "z", "F1", "?", ["na.a.y"], ["odd"]),
+    ("m1.a.q", "m1", "a", "Q", "q", "F5", "foundation", [], ["M1-9.9"]), ("Q", "zz", "a", "Q", "q", "F1", None, [], []), ("na.a.x", "na", "a", "X", "x", "F1", "foundation", [], ["CP-1.1"]),
+]
+BAD_ERRORS = [("err.a.b", "A", "a", [], ""), ("bad", "", "b", ["na.none.x", "na.*"], ""), ("err.a.b", "A", "a", ["*"], "")]
+
+
+@query(table("problem", *((p,) for p in (
+    "error err.a.b appears more than once", "error id 'bad' is not err.<topic>.<slug>", "error err.a.b belongs to no skill", "error bad refers to na.none.x, which does not exist", "error bad is missing an English or Chinese name",
+    "skill na.a.x appears more than once", "skill id 'Q' is not <strand>.<unit>.<slug>", "skill na.a.y says strand 'ms' but its id says otherwise", "skill Q has unknown strand 'zz'", "skill na.a.x has form 'F9', not F1-F6", "skill na.a.z has a foundation flag that is not F, N or blank",
+    "skill na.a.y is in the Guide but has no foundation flag", "skill m1.a.q has a foundation flag where the split does not apply", "skill na.a.y is missing an English or Chinese name", "skill na.a.z has guide_ref 'odd', not <part>-<n.m>", "skill na.a.x needs na.no.such, which does not exist",
+    "skill na.a.x lists itself as a prerequisite", "prerequisite cycle through na.a.x", "prerequisite cycle through na.a.y", "prerequisite cycle through na.a.z", "skill m1.a.q refers to Guide objective M1-9.9, which is not in the objectives",
+    "skill na.a.y is flagged blank but its Guide objectives say non-foundation"))))
+def vocabulary_audit(spark, sf_dir):
+    return taxonomy.audit(X.skills(spark, BAD_SKILLS), X.errors(spark, BAD_ERRORS), X.objectives(spark))
+
+
+@query(table("n", (6,)))
+def loaded_vocabularies(spark, sf_dir):
+    """Sound vocabularies load whole."""
+    sound = [r[:6] + (r[6] if r[0] != "na.poly.factor" else "foundation", *r[7:]) for r in X.SKILLS]
+    s, _, _ = taxonomy.load_vocabularies(X.skills(spark, sound), X.errors(spark), X.objectives(spark))
+    return s.agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query(table("what, skills", ("form", "ms.trig.sine,m1.calc.limit"), ("unit", "na.eq.quad,na.eq.solve"), ("module", "ms.trig.sine,m1.calc.limit,na.eq.quad,na.eq.solve,na.poly.factor"), ("guide", "m1.calc.limit,m2.mat.det,na.eq.quad,na.eq.solve")))
+def skill_filters(spark, sf_dir):
+    s = X.skills(spark)
+    found = {"form": taxonomy.skills_for_form(s, "F5"), "unit": taxonomy.skills_in_unit(s, "na", "eq"), "module": taxonomy.skills_for_module(s, "M1"), "guide": s.where(taxonomy.in_guide(F.col("guide_ref")))}
+    order = {"form": ["ms.trig.sine", "m1.calc.limit"], "module": ["ms.trig.sine"]}
+    out = None
+    for what, df in found.items():
+        first = order.get(what, [])
+        place = F.when(F.col("skill_id").isin(first), F.lit("")).otherwise(F.col("skill_id")) if first else F.col("skill_id")
+        one = df.agg(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("p"), F.when(F.col("skill_id") == "ms.trig.sine", 0).otherwise(1).alias("k"), "skill_id"))), lambda x: x["skill_id"]).alias("s")).select(F.lit(what).alias("what"), text_of("s").alias("skills"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(table("source_question_id, skills", ("1", "na.eq.solve,na.eq.quad"), ("2", "na.x.y,ms.trig.sine")))
+def repaired_skill_ids(spark, sf_dir):
+    """Ids wrong in their strand alone are mended, repeats go, unknown ones stay."""
+    a = spark.createDataFrame([("1", ["ms.eq.solve", "na.eq.solve", "dh.eq.quad"]), ("2", ["na.x.y", "ms.trig.sine"])], "source_question_id string, atomic_skills array<string>")
+    return taxonomy.repair_skill_ids(a, X.skills(spark)).select("source_question_id", text_of("atomic_skills").alias("skills"))
+
+
+@query(table("source_question_id, skills", ("1", "na.eq.solve,na.eq.quad"), ("2", "na.eq.quad,na.eq.solve"), ("3", "")))
+def question_skill_lists(spark, sf_dir):
+    a = X.analyses(spark, X.RUN_1).select(F.explode("analyses").alias("a")).select("a.*")
+    return taxonomy.question_skills(a, X.skills(spark)).select("source_question_id", text_of("skills").alias("skills"))
+
+
+@query(table("skill_id, name_en", ("a", "new"), ("b", "kept"), ("c", "added")))
+def push_taxonomy(spark, sf_dir):
+    cols = "skill_id string, name_en string"
+    return store.upsert_vocabulary(spark.createDataFrame([("a", "old"), ("b", "kept")], cols), spark.createDataFrame([("a", "new"), ("c", "added")], cols), "skill_id")
+
+
+@query(table("tbl, n", ("questions", 1), ("runs", 1)))
+def deleted_run(spark, sf_dir):
+    t = store.without_run({n: spark.createDataFrame([("r1",), ("r2",)], "run_id string") for n in ("questions", "runs")}, "r1")
+    return t["questions"].agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit("questions").alias("tbl"), "n").unionByName(t["runs"].agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit("runs").alias("tbl"), "n"))
+
+
+@query(table("problem", ("runs: column model is missing",), ("runs: column n is string, not bigint",)))
+def schema_probe(spark, sf_dir):
+    want = spark.createDataFrame([], "run_id string, n long, model string").schema
+    stored = spark.createDataFrame([("r", "1")], "run_id string, n string")
+    problems = store.schema_problems(stored, want, "runs") + store.schema_problems(store.aligned(stored, want), want, "runs")
+    return spark.createDataFrame([(p,) for p in problems], "problem string")
+
+
+@query(table("run_id, n, model", ("r", 1, None)))
+def schema_migration(spark, sf_dir):
+    want = spark.createDataFrame([], "run_id string, n int, model string").schema
+    return store.aligned(spark.createDataFrame([("r", "1", "x")], "run_id string, n string, gone string"), want)
+
+
+# ---- analyses, solutions, critics
+
+FAULTY = [
+    X.analysis("1", [X.strategy("A", "111110", ["na.eq.solve", "zz.no.such"], True, strategy_id=A), X.strategy("B", "400000", ["m1.calc.limit"], strategy_id=A, steps=[], source="model")], ["na.eq.solve"], possible_errors=["err.trig.ratio", "err.no.such"], method_cues=["by magic"], confidence=1.5, empirical_difficulty=0.5, difficulty_drivers=["C"]),
+    X.analysis("2", [X.strategy("A", "113000", [], strategy_id=B)], []),
+    X.analysis("3", [], []),
+]
+TEXTS = {"1": "Solve it.", "2": "Using the sine rule, find x.", "3": "x"}
+
+
+def faulty(spark):
+    texts = spark.createDataFrame(list(TEXTS.items()), "source_question_id string, question_text string")
+    return X.analyses(spark, dict(X.RUN_1, analyses=FAULTY)).select(F.explode("analyses").alias("a")).select("a.*").join(texts, "source_question_id")
+
+
+@query(table("source_question_id, issue_code, severity",
+    ("1", "DUPLICATE_STRATEGY", "medium"), ("1", "STRATEGY_FIELDS_INVALID", "medium"), ("1", "RPDICE_LEVEL_OUT_OF_RANGE", "high"), ("1", "STRATEGY_WITHOUT_STEPS", "medium"), ("1", "SKILL_UNKNOWN", "high"), ("1", "SKILL_WRONG_MODULE", "high"), ("1", "ERROR_UNKNOWN", "high"), ("1", "ERROR_NOT_OF_SKILL", "low"),
+    ("1", "METHOD_CUE_NOT_IN_TEXT", "medium"), ("1", "DRIVERS_MISMATCH", "low"), ("1", "EMPIRICAL_NOT_NULL", "high"), ("1", "CONFIDENCE_OUT_OF_RANGE", "medium"),
+    ("2", "PRIMARY_STRATEGY_COUNT", "medium"), ("2", "NO_SKILLS", "high"), ("2", "DECISION_IGNORES_CUE", "medium"), ("2", "DRIVERS_MISMATCH", "low"), ("3", "NO_STRATEGY", "critical")))
+def analysis_faults(spark, sf_dir):
+    s, e = X.skills(spark), X.errors(spark)
+    found = solving.validate_analyses(faulty(spark), s, e, taxonomy.fitting_errors(s, e), "compulsory")
+    return found.select("source_question_id", "issue_code", "severity")
+
+
+@query(table("source_question_id, drivers", ("1", "C"), ("2", "D"), ("3", "")))
+def repaired_drivers(spark, sf_dir):
+    """Of question 1 nothing reaches the driver level, yet C was said; of 2 the decision does."""
+    rated = faulty(spark).withColumn("difficulty_drivers", F.when(F.col("source_question_id") == "1", F.array(F.lit("C"))).otherwise(F.col("difficulty_drivers")))
+    raised = rated.withColumn("strategies", F.when(F.col("source_question_id") == "1", F.transform("strategies", lambda s: s.withField("rpdice", s["rpdice"].withField("C", F.struct(F.lit(2).alias("level"), s["rpdice"]["C"]["evidence"].alias("evidence")))))).otherwise(F.col("strategies")))
+    return solving.repair_drivers(raised).select("source_question_id", text_of("difficulty_drivers").alias("drivers"))
+
+
+@query(table("source_question_id, source, status, same", ("1", "analyzer", "proposed", False), ("2", "analyzer", "proposed", True)))
+def fresh_strategies(spark, sf_dir):
+    """Whatever ids, sources and states a model gave, they are computed; one method has one id."""
+    a = solving.analysed(faulty(spark).where("source_question_id <> '3'"), X.skills(spark))
+    s = F.col("strategies")
+    return a.select("source_question_id", s[0]["source"].alias("source"), F.element_at(s, -1)["status"].alias("status"), (s[0]["strategy_id"] == F.element_at(s, -1)["strategy_id"]).alias("same"))
+
+
+@query(table("source_question_id, issue_code, severity, message", ("1", "LEVEL_OVERRATED", "low", f"1: [{A}] too high"), ("1", "CRITIC_OTHER", "medium", "1: odd")))
+def critic_findings(spark, sf_dir):
+    """Unknown questions go, codes and severities are brought to known ones, ids stand in the message."""
+    i = spark.createDataFrame([("1", A, " level_overrated ", "LOW", "too high"), ("1", "", "SOMETHING", "grave", "1: odd"), ("9", "", "SKILL_MISSING", "low", "x")], "source_question_id string, strategy_id string, issue_code string, severity string, message string")
+    return solving.normalise_critic(i, spark.createDataFrame([("1",)], "source_question_id string"))
+
+
+@query(table("issue_code, source_question_id", ("SKILL_MISSING", "1"), ("ANSWER_MISMATCH", "2")))
+def critic_without_repeats(spark, sf_dir):
+    cols = "issue_code string, source_question_id string"
+    return solving.drop_repeats(spark.createDataFrame([("ANSWER_MISMATCH", "1"), ("SKILL_MISSING", "1"), ("ANSWER_MISMATCH", "2")], cols), spark.createDataFrame([("ANSWER_MISMATCH", "1")], cols))
+
+
+@query(table("source_question_id, reference, reference_source", ("1", "7", "marking_scheme"), ("2", "4", "solver"), ("3", None, None)))
+def reference_answers(spark, sf_dir):
+    q = spark.createDataFrame([("1", "7"), ("2", ""), ("3", None)], "source_question_id string, answer string")
+    s = spark.createDataFrame([("1", A, "confirmed"), ("2", A, "proposed"), ("2", B, "confirmed"), ("3", C, "rejected")], "source_question_id string, strategy_id string, status string")
+    sol = spark.createDataFrame([("1", A, True, "8", 1), ("2", A, True, "3", 1), ("2", B, True, "4", 2), ("2", B, True, "5", 3), ("3", C, True, "1", 1)], "source_question_id string, strategy_id string, reached_answer boolean, final_answer string, ordinal int")
+    return solving.reference_answers(q, s, sol)
+
+
+READINGS = "student_id string, source_question_id string, option_chosen string, final_answer string, reference string, options array<string>, strategy_id_matched string, strategy_description string, transcription array<string>, unclear array<string>, confidence double, listed array<struct<strategy_id:string,skills:array<string>>>, atomic_skills array<string>, main_skills array<string>, skills_evidenced array<string>, known_skills array<string>, errors array<struct<error_id:string,description:string,kind:string>>, known_errors array<string>"
+
+
+@query(table("student_id, answer_given, is_correct, strategy_id, strategy_match, evidenced, missing, error_ids, slips, misconceptions, reasons",
+    ("s1", "B", True, A, "listed", "x", "y", "", "", "", ""), ("s2", "6", False, None, "new", "", "x,z", "err.a.b", "lost a sign", "", "the working follows no listed strategy"),
+    ("s3", "9", None, None, "none", "", "q", "", "", "err.a.b", "unreadable: line 1|low confidence 0.40|no reference answer to mark against"), ("s4", "C", True, None, "none", "", "q", "", "", "deep", "correct answer but a misconception was reported")))
+def graded_pages(spark, sf_dir):
+    listed = [(A, ["x", "y"])]
+    d = spark.createDataFrame([
+        ("s1", "1", "B", "17", "17", ["16", "17"], A, "", ["w"], [], 0.9, listed, ["x"], ["x", "z"], ["x", "x", "no"], ["x", "y", "z"], [], ["err.a.b"]),
+        ("s2", "1", "", "6", "7", [], None, "guess", ["w"], [], 0.9, listed, ["x"], ["x", "z"], [], ["x", "y"], [("err.a.b", "lost a sign", "slip")], ["err.a.b"]),
+        ("s3", "2", "", "9", None, [], None, "", [], ["line 1"], 0.4, [], ["q"], None, [], ["q"], [("err.a.b", "", "misconception")], []),
+        ("s4", "2", "C", "", "C", ["1", "2", "3"], None, "", [], [], 0.9, [], ["q"], None, [], ["q"], [("", "deep", "misconception")], []),
+    ], READINGS)
+    v = solving.decide(d)
+    return v.select("student_id", "answer_given", "is_correct", "strategy_id", "strategy_match", text_of("skills_evidenced").alias("evidenced"), text_of("skills_not_evidenced").alias("missing"), text_of("error_ids").alias("error_ids"), text_of("slips").alias("slips"), text_of("misconceptions").alias("misconceptions"), text_of("review_reasons", "|").alias("reasons"))
+
+
+@query(table("source_question_id", ("2",), ("3",)))
+def to_critique(spark, sf_dir):
+    a = X.analyses(spark, X.RUN_1).select(F.explode("analyses").alias("a")).select("a.source_question_id")
+    return solving.to_critique(a, a.where("source_question_id = '1'"))
+
+
+@query(table("paper, analysis, extraction", (A, "an.json", "ex.json")))
+def paired_files(spark, sf_dir):
+    cols = "sha256 string, path string"
+    return solving.paired_files(spark.createDataFrame([("a" * 64, "an.json"), ("b" * 64, "alone.json")], cols), spark.createDataFrame([("a" * 64, "ex.json"), ("c" * 64, "other.json")], cols))
+
+
+# ---- the model boundary
+
+@query(table("id, level, error, input_tokens", (1, 2, None, 10), (2, None, "truncated: the output token limit was hit, so the JSON is incomplete", 11), (3, None, "blocked: finish_reason=SAFETY", None), (4, None, "empty: no JSON, finish_reason=unknown", 12), (5, None, "response is not JSON", 13)))
+def model_responses(spark, sf_dir):
+    r = spark.createDataFrame([(1, "STOP", '{"level": 2}', 10, 1), (2, "FinishReason.MAX_TOKENS", '{"level": 2', 11, 1), (3, "safety", "", None, None), (4, None, " ", 12, 0), (5, "STOP", '{"level"', 13, 1)], "id int, finish_reason string, text string, input_tokens int, output_tokens int")
+    return models.checked_responses(r, "level int").select("id", F.col("payload.level").alias("level"), "error", "input_tokens")
+
+
+@query(table("id, answer, error", (1, "ok", None), (2, None, "no recorded answer"), (3, None, "empty response")))
+def model_calls(spark, sf_dir):
+    """Calls through a client on the executors; a failure is a row."""
+    import hashlib
+
+    known = {hashlib.sha256(p.encode()).hexdigest(): a for p, a in (("a", "ok"), ("c", " "))}
+    return models.call_model(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, prompt string"), lambda: models.RecordedClient(known))
+
+
+@query(table("k, value", ("hash", "ba7816bf8f01"), ("filled", "Form 4, Compulsory Part"), ("skills", "SKILLS\nm2.mat.det | Determinant"), ("questions", 'QUESTIONS\n{"source_question_id":"1","question_text":"t","question_type":"open","options":[],"marks":1.0}\n{"source_question_id":"2","question_text":"u","question_type":"open","options":["x"]}')))
+def prompt_parts(spark, sf_dir):
+    q = spark.createDataFrame([("d", 2, "2", "u", "open", ["x"], None), ("d", 1, "1", "t", "open", [], 1.0)], "doc string, position int, source_question_id string, question_text string, question_type string, options array<string>, marks double")
+    one = spark.range(1)
+    parts = [
+        one.select(F.lit("hash").alias("k"), models.prompt_hash(F.lit("abc")).alias("value")),
+        one.select(F.lit("filled").alias("k"), models.filled(F.lit("Form {FORM}, {MODULE}"), {"FORM": F.lit("4"), "MODULE": N.module_label(F.lit("compulsory"))}).alias("value")),
+        models.vocabulary_block("SKILLS", X.skills(spark).where("strand = 'm2'"), "skill_id").select(F.lit("skills").alias("k"), F.col("block").alias("value")),
+        models.questions_block(q).select(F.lit("questions").alias("k"), F.col("block").alias("value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("SELECT 'one.txt' AS path, t AS text, substr(sha256(t), 1, 12) AS hash FROM (SELECT 'Rate it.' || chr(10) || 'Now.' AS t)")
+def read_prompts(spark, sf_dir):
+    base = fresh_dir(spark, "prompts")
+    put(spark, f"{base}/one.txt", b"Rate it.\nNow.")
+    p = models.read_prompts(spark, base)
+    return p.select(F.element_at(F.split("path", "/"), -1).alias("path"), "text", "hash")
+
+
+@query(table("stem, year, school", ("p", "2020", "St. X")))
+def read_sidecars(spark, sf_dir):
+    base = fresh_dir(spark, "sidecars")
+    put(spark, f"{base}/x/p.meta.txt", "year: 2019\nyear: 2020\nschool: St. X # yes\n".encode())
+    s = archive.read_sidecars(spark, base)
+    return s.select("stem", F.col("fields")["year"].alias("year"), F.col("fields")["school"].alias("school"))
+
+
+@query(table("good, bad", (2, 1)))
+def read_analyses(spark, sf_dir):
+    import json
+
+    base = fresh_dir(spark, "analyses")
+    for name, text in (("1", json.dumps(X.RUN_1)), ("2", json.dumps(X.RUN_2)), ("3", "{")):
+        put(spark, f"{base}/{name}.json", text.encode())
+    good, bad = rows.read_analyses(spark, base)
+    return good.agg(F.count(F.lit(1)).cast("int").alias("good")).crossJoin(bad.agg(F.count(F.lit(1)).cast("int").alias("bad")))  # one row each
+
+
+@query(table("part, n", ("latest", 1), ("history", 2), ("attempts", 2)))
+def exported_files(spark, sf_dir):
+    base = fresh_dir(spark, "exports")
+    for run in (X.RUN_1, X.RUN_2):
+        store.export_analyses(X.analyses(spark, run), f"{base}/analyses")
+    store.export_attempts(X.attempts(spark), f"{base}/attempts")
+    out = None
+    for part, path in (("latest", "analyses/latest"), ("history", "analyses/history"), ("attempts", "attempts")):
+        n = spark.read.json(f"{base}/{path}").agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.lit(part).alias("part"), "n")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+# ---- statistics and reports
+
+def issued(spark):
+    """Papers with their issues, and questions and issues as long tables."""
+    results = ingest.with_issues(X.papers(spark).withColumn("doc", N.paper_key(F.col("source.sha256"))))
+    q = archive.questions_of(results)
+    issues = results.select("doc", F.explode("issues").alias("i")).select("doc", "i.*")
+    papers = results.select(F.substring("doc", 1, 1).alias("doc"), "document.page_count", "document.questions", "issues")
+    return results, q, issues, papers
+
+
+@query(table("doc, pages, questions, questions_per_page, issues", ("a", 3, 23, 7.67, 21), ("b", 3, 6, 2.0, 7), ("c", 8, 2, 0.25, 6), ("d", 0, 0, 0.0, 3), ("f", 3, 3, 1.0, 0)))
+def paper_stats(spark, sf_dir):
+    p = stats.papers(issued(spark)[3])
+    return p.select("doc", "pages", "questions", F.round("questions_per_page", 2).alias("questions_per_page"), "issues")
+
+
+@query(table("papers, questions, issues", (5, 34, 37)))
+def paper_totals(spark, sf_dir):
+    t = stats.totals(stats.papers(issued(spark)[3]))
+    return t.select(*(F.col(c).cast("int").alias(c) for c in t.columns))
+
+
+@query(table("feature, questions, flagged, commonest_code", ("sub-question", 7, 3, "DEPENDENCY_UNMARKED"), ("table", 3, 2, "MALFORMED_TABLE"), ("multiple choice", 2, 2, "ANSWER_NOT_IN_MARKING_SCHEME"), ("diagram", 2, 1, "DIAGRAM_REGION_UNUSABLE"), ("spans pages", 3, 2, "PAGE_NUMBER_INVALID"), ("latex", 1, 0, None), ("group marks", 1, 0, None), ("no marks", 1, 1, "MARKS_MISSING"), ("printed answer", 2, 1, "ANSWER_NOT_IN_MARKING_SCHEME")))
+def feature_report(spark, sf_dir):
+    """Issue rates of the features that stand out; own marks and prose only are left to the totals."""
+    _, q, issues, _ = issued(spark)
+    r = stats.feature_report(q, issues).where("feature not in ('own marks', 'prose only')")
+    return r.select("feature", F.col("questions").cast("int").alias("questions"), F.col("flagged").cast("int").alias("flagged"), "commonest_code")
+
+
+@query(table("issue_code, n", ("DEPENDENCY_UNMARKED", 3), ("CONTROL_CHARACTER", 2), ("LATEX_NOT_DELIMITED", 2), ("REPEATED_TEXT_IN_QUESTION", 2), ("STEM_CONTAMINATION", 2)))
+def issue_totals(spark, sf_dir):
+    return stats.issue_totals(issued(spark)[2]).where("n > 1").select("issue_code", F.col("n").cast("int").alias("n"))
+
+
+def lines(spark, text: str):
+    return spark.createDataFrame([(k, line) for k, line in enumerate(text.splitlines()) if line], "n int, line string").select("line")
+
+
+@query(table("line", ("# F6 clean (1).pdf",), ("|  |  |",), ("| --- | --- |",), ("| PDF | F6 clean (1).pdf |",), ("| Pages | 3 |",), ("| Level | F6 (from filename) |",), ("| Module | unknown |",), ("| Paper | unknown |",), ("| Marking scheme | none |",), ("| Questions | 3 |",), ("| SHA256 | `" + "f" * 64 + "` |",), ("| Size | 100 bytes |",), ("| Extracted | 2026-01-01 |",), ("| Model | m |",), ("| Run | `run-1-f` |",), ("| Versions | 1 / 2 |",), ("| Prompt | `abc` |",), ("| Tokens | 10 in / 0 out |",), ("| Diagrams | 1 (1 cropped, 0 full page) |",), ("| Tables captured | 2 (1 cropped, 1 full page) |",),
+    ("**Issues:** none",), ("---",), ("## 1",), ("*pages 1–2 · 1 mark*",), ("\\(x\\)",), ("---",), ("## 2(a)",), ("*page 1 · 4 marks for 2 · diagram*",), ("Solve it.",), ("![2(a)](d.png)",), ("*cropped · 5×6 · page 1*",), ("---",), ("## 2(b)",), ("*page 1 · 1 mark · depends on 2(a)*",), ("| a | b |",), ("|---|---|",), ("| 1 | 2 |",), ("**Table 1 as printed:**",), ("![2(b) table 1](t1.png)",), ("*cropped · 5×6 · page 1*",), ("**Table 2 as printed:**",), ("![2(b) table 2](t2.png)",), ("*full page · 5×6 · page 2*",), ("**Answer:** 3",), ("---",), ("## Validation issues",), ("None.",)))
+def extraction_report(spark, sf_dir):
+    return lines(spark, reports.extraction_report(X.papers(spark).where("substring(source.sha256, 1, 1) = 'f'")))
+
+
+@query(table("line", ("Runs an-1 -> an-2: 3 questions, 3 changed, 0 identical",), ("  levels moved in 1 questions (1 letters of 18): R 1  P 0  D 0  I 0  C 0  E 0",), ("  skills changed in 1, primary strategy changed in 1",), ("Q1: R 1->3",), ("    + skill na.poly.factor",), ("    - skill na.eq.quad",), ("    - error err.sign.lost",), ("Q2:",), ("    primary strategy changed",), ("Q4: only in after",)))
+def analysis_diff_report(spark, sf_dir):
+    from tallyquill.plans.fixture_queries import flat_analyses
+
+    return lines(spark, reports.analysis_diff_report(compare.diff_analyses(flat_analyses(spark, X.RUN_1), flat_analyses(spark, X.RUN_2)), "an-1", "an-2"))
+
+
+@query(table("line", ("Comparing  a",), ("      with  b",), ("Identical : 1",), ("Changed   : 1",), ("Only in A : 1  3",), ("Only in B : 1  4",), ("Agreement : 50%",), ("2: text",)))
+def run_diff_report(spark, sf_dir):
+    cols = "qid string, text string, marks int"
+    d = compare.compare_runs(spark.createDataFrame([("1", "x", 1), ("2", "y", None), ("3", "z", 1)], cols), spark.createDataFrame([("1", "x", 1), ("2", "Y", None), ("4", "z", 1)], cols), ["qid"], ["text", "marks"])
+    return lines(spark, reports.run_diff_report(d, "a", "b", "qid"))
+
+
+@query(table("line", ("# RPDICE agreement with the golden set",), ("Compared 1 questions; 1 gold questions had no analysis",), ("| Dimension | exact | within 1 | mean |diff| | bias |",), ("| --- | --- | --- | --- | --- |",), ("| R | 0% | 0% | 2.00 | +2.00 |",), *((f"| {d} | 100% | 100% | 0.00 | +0.00 |",) for d in "PDIC"), ("| E | 0% | 100% | 1.00 | -1.00 |",), ("Skill overlap (Jaccard): 33%",), ("Error overlap (Jaccard): 100%",), ("## Largest disagreements",), ("| question | total |diff| | analyzer RPDICE | gold RPDICE |",), ("| --- | --- | --- | --- |",), ("| k1 | 3 | 311110 | 111111 |",), ("## Not analysed",), ("- k2",)))
+def scorecard_report(spark, sf_dir):
+    cols = "question_key string, R int, P int, D int, I int, C int, E int, skills array<string>, errors array<string>"
+    gold = spark.createDataFrame([("k1", 1, 1, 1, 1, 1, 1, ["a", "b"], []), ("k2", 0, 0, 0, 0, 0, 0, ["a"], [])], cols)
+    return lines(spark, reports.scorecard_report(spark.createDataFrame([("k1", 3, 1, 1, 1, 1, 0, ["b", "c"], [])], cols), gold))
+
+
+@query(table("line", (f"# Attempt — s2 · {A}:2",), ("**Verdict: not marked (no reference answer)** — answered ''9''".replace("''", "'"),), ("> Needs a person: unreadable: line 2",), ("## Transcription",), ("## Route",), ("- strategy: none",), ("## Skills",), ("- ✗ not shown: na.eq.quad",), ("## Errors",), ("- slip: copied badly",), ("## Unclear",), ("- line 2",), ("Reading confidence 0.40",)))
+def attempt_report(spark, sf_dir):
+    return lines(spark, reports.attempt_report(X.attempts(spark).where("student_id = 's2'")))
+
+
+@query(table("line", ("# Analysis of F4-faults.pdf",), ("Run `an-1` · m",), ("## 1",), ("Skills: na.eq.solve, na.eq.quad",), ("- Graph `R2 P1 D0 I1 C0 E2` · proposed",), ("- Factor `R1 P1 D0 I0 C0 E0` (primary) · proposed",), ("> low `LEVEL_OVERRATED` m",), ("## 2",), ("Skills: na.eq.quad",), ("- Graph `R2 P1 D0 I1 C0 E2` · proposed",), ("> high `SKILL_MISSING` m",), ("## 3",), ("Skills: none",), ("> critical `NO_STRATEGY` m",)))
+def analysis_report_of_paper(spark, sf_dir):
+    return lines(spark, reports.analysis_markdown(X.analyses(spark, X.RUN_1)))
+
+
+@query(table("line", ("# Extraction analysis",), ("| Papers | 5 |",), ("| Questions | 34 |",), ("| Issues | 37 |",), ("| `DEPENDENCY_UNMARKED` | 3 |",), ("| a | 3 | 23 | 7.7 | 21 |",), ("| d | 0 | 0 | 0.0 | 3 |",)))
+def statistics_report(spark, sf_dir):
+    """Lines of the report over all papers that single out its parts."""
+    _, q, issues, papers = issued(spark)
+    text = lines(spark, reports.analysis_report(q, issues, stats.papers(papers)))
+    return text.where("line in ('# Extraction analysis', '| Papers | 5 |', '| Questions | 34 |', '| Issues | 37 |', '| `DEPENDENCY_UNMARKED` | 3 |', '| a | 3 | 23 | 7.7 | 21 |', '| d | 0 | 0 | 0.0 | 3 |')")
+
+
+@query(table("line", ("# Batch",), ("| status | files | questions |",), ("| --- | --- | --- |",), ("| failed | 2 | 23 |",), ("| ok | 3 | 11 |",), ("| file | status | questions | issues |",), ("| --- | --- | --- | --- |",), ("| F4-M1.pdf | ok | 2 | 6 |",), ("| F4-faults.pdf | failed | 23 | 21 |",), ("| F6 clean (1).pdf | ok | 3 | 0 |",), ("| S5-2526_2nd-exam.pdf | ok | 6 | 7 |",), ("| empty.pdf | failed | 0 | 3 |",)))
+def batch_report(spark, sf_dir):
+    return lines(spark, reports.batch_report(ingest.outcomes(issued(spark)[0])))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyquill.functions import texts as T
-from tallyquill.operators import compare, models, rules, solving, stats
+from tallyquill.operators import compare, models, pictures, rules, solving, stats
 from tallyquill.operators.contains import contained_items
 from tallyquill.plans.registry import query, read
 from tallyquill.sources.shared import fresh_dir
@@ -232,17 +232,24 @@ def props_json_projection(spark, sf_dir):
 def attempt_verdicts(spark, sf_dir):
     """Three-valued verdicts of each student: correct, wrong, and the rest unjudged; sums skip nulls."""
     correct = F.when(F.col("event_type") == "purchase", True).when(F.col("event_type") == "error", False)
-    e = read(spark, sf_dir, "events").withColumn("ok", correct)
-    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("attempts"), F.count_if("ok").alias("correct"), F.count_if(~F.col("ok")).alias("wrong"), F.sum(F.when(F.col("ok"), F.round(F.col("value") * 100))).cast("long").alias("cents"))
+    cents = F.sum(F.when(F.col("is_correct"), F.round(F.col("value") * 100))).cast("long").alias("cents")
+    return stats.verdict_counts(read(spark, sf_dir, "events").withColumn("is_correct", correct), "user_id", "is_correct", cents)
+
+
+@query("SELECT event_type AS model, count(*) AS calls, CAST(sum(CASE WHEN event_id % 3 > 0 THEN event_id END) AS BIGINT) AS input_tokens, CAST(sum(user_id) AS BIGINT) AS output_tokens FROM events GROUP BY event_type")
+def token_sums(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    return stats.token_sums(e.select(F.col("event_type").alias("model"), F.when(F.col("event_id") % 3 > 0, F.col("event_id")).alias("input_tokens"), F.col("user_id").alias("output_tokens")))
 
 
 @query("""SELECT o_orderkey, len(list_filter(i, lambda x: x.kind = 'diagram')) AS diagrams, len(i) AS images, coalesce(array_to_string(list_transform(i, lambda x: x.kind || x.l_linenumber), ','), '') AS names FROM orders LEFT JOIN
 (SELECT l_orderkey, list({'kind': CASE WHEN l_linestatus = 'O' THEN 'diagram' ELSE 'table' END, 'l_linenumber': l_linenumber} ORDER BY CASE WHEN l_linestatus = 'O' THEN 'diagram' ELSE 'table' END, l_linenumber) AS i FROM lineitem GROUP BY 1) x ON l_orderkey = o_orderkey""".replace("len(list_filter(i,", "len(list_filter(coalesce(i, []),").replace("len(i)", "len(coalesce(i, []))"))
 def images_nested_collect(spark, sf_dir):
     kind = F.when(F.col("l_linestatus") == "O", "diagram").otherwise("table")
-    images = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(kind.alias("kind"), "l_linenumber"))).alias("i"))
-    j = read(spark, sf_dir, "orders").join(images, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("i", F.coalesce("i", F.expr("cast(array() as array<struct<kind:string,l_linenumber:int>>)")))
-    return j.select("o_orderkey", F.size(F.filter("i", lambda x: x["kind"] == "diagram")).cast("long").alias("diagrams"), F.size("i").cast("long").alias("images"), F.array_join(F.transform("i", lambda x: F.concat(x["kind"], x["l_linenumber"])), ",").alias("names"))
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", F.lit("q").alias("source_question_id"), kind.alias("kind"), F.col("l_linenumber").alias("index"))
+    images = pictures.images_by_question(rows, "l_orderkey").withColumnRenamed("images", "i")
+    j = read(spark, sf_dir, "orders").join(images, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("i", F.coalesce("i", F.expr("cast(array() as array<struct<kind:string,index:int>>)")))
+    return j.select("o_orderkey", F.size(F.filter("i", lambda x: x["kind"] == "diagram")).cast("long").alias("diagrams"), F.size("i").cast("long").alias("images"), F.array_join(F.transform("i", lambda x: F.concat(x["kind"], x["index"])), ",").alias("names"))
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey % 900 AS INT) AS x, CAST(l_suppkey % 900 AS INT) AS y, CAST(l_quantity AS INT) AS w FROM lineitem),

@@ -63,8 +63,7 @@ def document_sha_key(spark, sf_dir):
 @query("SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) = 1 THEN 'done' ELSE 'duplicate' END AS status FROM documents")
 def duplicate_content(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha"))
-    first = d.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    return d.join(first, "sha").select("doc_id", F.when(F.col("doc_id") == F.col("first"), "done").otherwise("duplicate").alias("status"))
+    return stats.content_status(d, "sha", "doc_id").select("doc_id", "status")
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN substr(k, 1, 12) END AS paper, CASE WHEN doc_id % 3 <> 0 THEN substr(k, 14) END AS question
@@ -225,7 +224,7 @@ def issues_union_long(spark, sf_dir):
 
 @query(ISSUES_SQL + " SELECT severity, count(*) AS n FROM i GROUP BY severity")
 def severity_histogram(spark, sf_dir):
-    return text_issues(spark, sf_dir).groupBy("severity").agg(F.count(F.lit(1)).alias("n")).orderBy(rules.severity_rank(F.col("severity")))
+    return stats.severity_histogram(text_issues(spark, sf_dir))
 
 
 @query(ISSUES_SQL + " SELECT doc, source_question_id, count(*) AS n FROM i GROUP BY doc, source_question_id ORDER BY n DESC, CAST(source_question_id AS BIGINT) LIMIT 15")

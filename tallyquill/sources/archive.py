@@ -26,13 +26,85 @@ ARCHIVE = (
 )
 
 
+def read_json(spark: SparkSession, path: str, schema: str, fits: Column) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a folder of JSON files: unknown keys are ignored; files that do not fit the schema or the
+    condition are reported by path and not fatal."""
+    raw = spark.read.schema(f"{schema}, __corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "__corrupt").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
+    raw = raw.withColumn("path", F.col("_metadata.file_path")).withColumn("modified", F.col("_metadata.file_modification_time"))
+    good = F.col("__corrupt").isNull() & F.coalesce(fits, F.lit(False))
+    return raw.where(good).drop("__corrupt"), raw.where(~good).select("path")
+
+
 def read_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) of a folder of JSON results: unknown keys are ignored; files that do not fit the schema
-    are reported by path and not fatal."""
-    raw = spark.read.schema(f"{ARCHIVE}, __corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "__corrupt").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
-    raw = raw.withColumn("path", F.col("_metadata.file_path"))
-    fits = F.col("__corrupt").isNull() & F.col("source.sha256").isNotNull() & F.col("document").isNotNull()
-    return raw.where(fits).drop("__corrupt"), raw.where(~fits).select("path")
+    """(good, bad) results of a folder."""
+    return read_json(spark, path, ARCHIVE, F.col("source.sha256").isNotNull() & F.col("document").isNotNull())
+
+
+def reported(bad: DataFrame, why: str = "not an extraction") -> DataFrame:
+    """A line for each file left out, as the tool that reads them words it."""
+    return bad.select(F.format_string("  skipped  %s  %s", F.element_at(F.split("path", "/"), -1), F.lit(why)).alias("line"))
+
+
+def find_extraction_for(schemes: DataFrame, archived: DataFrame) -> DataFrame:
+    """(scheme, path): the newest archived file of each scheme's paper, whose name is the paper's safe stem and
+    twelve hex digits. schemes: name; archived: path, modified."""
+    name = F.element_at(F.split("path", "/"), -1)
+    named = archived.where(name.rlike(r"-[0-9a-f]{12}\.json$")).select("path", "modified", F.regexp_replace(name, r"-[0-9a-f]{12}\.json$", "").alias("stem"))
+    newest = named.groupBy("stem").agg(F.max_by("path", F.struct("modified", "path")).alias("path"))
+    asked = schemes.withColumn("stem", N.safe_stem(F.concat(N.scheme_stem(F.col("name")), F.lit(".pdf")))).where("stem is not null")
+    return asked.join(newest, "stem").select(F.col("name").alias("scheme"), "path")
+
+
+def locate(archived: DataFrame, key: str | None = None, paper: str | None = None, qid: str | None = None) -> DataFrame:
+    """(path, qid) of a question key, or of a paper's stem prefix and a question id: the first file by path."""
+    name = F.element_at(F.split("path", "/"), -1)
+    if key is not None:
+        if ":" not in key:
+            raise ValueError(f"{key!r} is not a question key")
+        sha, qid = key.split(":", 1)
+        found = archived.where(name.endswith(f"-{sha}.json"))
+    elif paper and qid:
+        found = archived.where(name.startswith(paper))
+    else:
+        raise ValueError("give a question key, or a paper and a question id")
+    return found.orderBy("path").limit(1).select("path", F.lit(qid).alias("qid"))
+
+
+def matches(qid: Column, wanted: Column) -> Column:
+    """'17' matches 17, 17(a) and 17(b)(i); '17(a)' that part and its own parts."""
+    return (qid == wanted) | qid.startswith(F.concat(wanted, F.lit("(")))
+
+
+MIME = {"pdf": "application/pdf", "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "webp": "image/webp"}
+
+
+def with_mime(files: DataFrame) -> DataFrame:
+    """Scanned pages with their MIME type; files of other kinds are an error."""
+    types = F.create_map(*(F.lit(x) for pair in MIME.items() for x in pair))
+    suffix = F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1))
+    return files.withColumn("mime", F.coalesce(F.try_element_at(types, suffix), F.raise_error(F.concat(F.lit("not a page scan: "), "name"))))
+
+
+def resolve_pdf(files: DataFrame, wanted: str | None = None) -> DataFrame:
+    """The PDF that a command means: the named one of an inbox (path, name, folder), or the only one."""
+    found = files if wanted is None else files.where(F.col("name") == wanted)
+    n = found.limit(2).count()
+    if n != 1:
+        raise ValueError("no such PDF in the inbox" if n == 0 else "several PDFs in the inbox; name one")
+    return found
+
+
+def checked_files(files: DataFrame) -> DataFrame:
+    """Files to read, or the error that stops one: (path, error), null for a good file."""
+    name, size, head = F.col("path"), F.col("length"), F.col("head")
+    return files.select("path", F.when(~F.lower(name).endswith(".pdf"), "not a PDF").when(size == 0, "empty file").when(~head.startswith("%PDF"), "not a PDF").alias("error"))
+
+
+def diagram_images(images: DataFrame, files: DataFrame, ids: DataFrame) -> DataFrame:
+    """(source_question_id, content) of the diagrams of some questions whose file exists. images: id, kind,
+    image_path; files: path, content."""
+    wanted = images.where("kind = 'diagram'").join(ids, "source_question_id", "left_semi")
+    return wanted.join(files, F.col("image_path") == F.col("path")).select("source_question_id", "content")
 
 
 def questions_of(results: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@ readers derive what is current (operators.stats.with_current)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyquill.functions import names as N
+from tallyquill.sources.rows import PAPER_COLUMNS, document_rows, question_rows, run_rows
 
 
 def archive_rows(results: DataFrame) -> DataFrame:
@@ -45,8 +47,6 @@ def without_run(tables: dict[str, DataFrame], run_id: str) -> dict[str, DataFram
 def route(documents: DataFrame, blocking: Column) -> DataFrame:
     """Where each input file goes: failed or processed, below its own folder; a name already taken at its
     destination gets -2, -3, ... in order of path."""
-    from pyspark.sql import Window
-
     to = documents.withColumn("folder", F.when(blocking, "failed").otherwise("processed"))
     nth = F.row_number().over(Window.partitionBy("folder", "name").orderBy("path"))
     suffix = F.when(nth > 1, F.concat(F.lit("-"), nth.cast("string"))).otherwise("")
@@ -56,3 +56,82 @@ def route(documents: DataFrame, blocking: Column) -> DataFrame:
 def upsert_vocabulary(stored: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """New rows win by key; rows no longer listed stay."""
     return new.unionByName(stored.join(new.select(key), key, "left_anti"))
+
+
+# ---- runs, analyses and attempts
+
+def save_results(results: DataFrame, base: str) -> None:
+    """Documents, questions and runs of results, appended once for each run. The run's row is written last:
+    a run without it is half written and stays unseen, and a second attempt completes it."""
+    documents = document_rows(results).join(results.select(F.col("source.sha256").alias("sha256"), F.col("run.run_id").alias("run_id"), F.col("run.extracted_at").alias("extracted_at")), "sha256")
+    append_new(documents, f"{base}/documents", "run_id")
+    append_new(question_rows(results), f"{base}/questions", "extraction_run_id")
+    append_new(run_rows(results), f"{base}/runs", "run_id")
+
+
+def stored_documents(documents: DataFrame) -> DataFrame:
+    """Each document as its runs leave it: level and module as last known, the paper's columns as last read
+    from a paper, the rest as last written."""
+    order = F.struct("extracted_at", "run_id")
+    paper = F.struct(*PAPER_COLUMNS)
+    any_paper = F.coalesce(*(F.col(c).cast("string") for c in PAPER_COLUMNS)).isNotNull()
+    last = [F.max_by(c, order).alias(c) for c in ("file_name", "page_count", "byte_size")]
+    known = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in ("level", "module")]
+    return documents.groupBy("sha256").agg(*last, F.max_by(paper, F.when(any_paper, order)).alias("paper"), *known).select("sha256", "file_name", "page_count", "byte_size", "paper.*", "level", "module")
+
+
+def current_questions(runs: DataFrame, questions: DataFrame) -> DataFrame:
+    """Questions of each document's last run that does not block."""
+    good = runs.where("not blocking").groupBy("sha256").agg(F.max_by("run_id", F.struct("extracted_at", "run_id")).alias("extraction_run_id"))
+    return questions.join(good.select("extraction_run_id"), "extraction_run_id", "left_semi")
+
+
+def push_analyses(rows: DataFrame, path: str, push: int) -> None:
+    """Append the rows of one push, numbered in order; readers see current_analyses of them."""
+    rows.withColumn("push", F.lit(push).cast("long")).write.mode("append").parquet(path)
+
+
+def current_analyses(stored: DataFrame) -> DataFrame:
+    """Of each run the rows of its last push, with is_current for the last one pushed under a question key."""
+    run, key = Window.partitionBy("analysis_run_id"), Window.partitionBy("question_key")
+    last = stored.withColumn("of_run", F.max("push").over(run)).where("push = of_run").drop("of_run")
+    return last.withColumn("is_current", F.col("push") == F.max("push").over(key))
+
+
+def push_attempts(rows: DataFrame, base: str) -> None:
+    """Students not known yet, then the attempts."""
+    append_new(rows.select("student_id").distinct(), f"{base}/students", "student_id")
+    rows.write.mode("append").partitionBy("student_id").parquet(f"{base}/attempts")
+
+
+def export_analyses(results: DataFrame, base: str) -> None:
+    """As write_archive: the latest analysis of each paper, and all of them by run."""
+    rows = results.withColumns({"paper": N.paper_key(F.col("sha256")), "history": F.concat_ws("/", N.safe_stem(F.col("file_name")), F.col("run.run_id"))})
+    rows.write.mode("append").partitionBy("paper").json(f"{base}/history")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("paper").json(f"{base}/latest")
+
+
+def export_attempts(attempts: DataFrame, base: str) -> None:
+    """A folder for each student."""
+    attempts.write.mode("append").partitionBy("student_id").json(base)
+
+
+def output_names(results: DataFrame) -> DataFrame:
+    """Names of a result's files: its JSON, its report beside it, its history entry and its pictures' folder."""
+    stem = F.concat_ws("-", N.safe_stem(F.col("source.file_name")), N.paper_key(F.col("source.sha256")))
+    return results.select(F.concat(stem, F.lit(".json")).alias("json"), F.concat(stem, F.lit(".md")).alias("report"), F.concat(F.lit("history/"), stem, F.lit("/"), F.col("run.run_id"), F.lit(".json")).alias("history"), stem.alias("pictures"))
+
+
+# ---- schemas
+
+def aligned(rows: DataFrame, schema: StructType) -> DataFrame:
+    """rows of an older schema under the present one: missing columns null, types cast, others left out."""
+    have = {c.lower() for c in rows.columns}
+    return rows.select(*((F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
+
+
+def schema_problems(rows: DataFrame, schema: StructType, name: str) -> list[str]:
+    """What a stored table lacks of the registered schema."""
+    have = {f.name: f.dataType for f in rows.schema}
+    lost = [f"{name}: column {f.name} is missing" for f in schema if f.name not in have]
+    return lost + [f"{name}: column {f.name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}" for f in schema if f.name in have and have[f.name] != f.dataType]
