@@ -4,7 +4,7 @@
    class, stood for by its smallest id, whatever its size.
 2. A bounded sample shows which shingles are common (those of many distinct sets: they are left out of the
    signatures, which changes what is compared and never what is found) and which signatures are hot.
-3. Signatures: a second pass gives (first half of the set's digest, signature) rows; rows with the same
+3. Signatures: a second pass gives (56 bits of the set's digest, signature) rows; rows with the same
    signature form a group, unless all are of one set; groups of the same sets are kept once. Rows of a
    hot signature, of which there are boundedly many, are dealt by salt at every step.
 4. Checks: in each group the member that shares most signatures is compared with all others, which
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyquill.llm.common import HOT_KEYS, join_hot, text_or_empty, written
@@ -38,7 +38,8 @@ from tallyquill.llm.shingles import set_digests, shingle_sets, slices
 
 STAR_ROUNDS = 1
 BLOCK, BLOCKS = 256, 16  # members of a group compared with as many others at a time, and blocks of either side in a task
-HOT, SALTS = 40, 64  # sets of the sample that make a signature hot (at most SAMPLE * 200 / HOT are), tasks its rows go to
+HOT, SALTS = 40, 16  # sets of the sample that make a signature hot (at most SAMPLE * 200 / HOT are), tasks its rows go to
+SET_BITS, LOW = 56, (1 << 12) - 1  # of a digest that tell sets of one group apart; last bits of a signature
 SAMPLE, LEAST_COMMON, MOST_COMMON = 8_000, 8, 200_000  # documents looked at for common shingles, sets that make one common, shingles kept
 BUCKETS = 256
 
@@ -90,7 +91,8 @@ def common_shingles(some: DataFrame, width: int, least: int = LEAST_COMMON, most
 
 
 def _signed(width: int, percent: int, common: np.ndarray):
-    """(first half of the digest, signatures) of each set, sets within a task once."""
+    """(key, signatures) of each set, sets within a task once. A key is SET_BITS of the set's digest; a
+    signature has 48 bits, the last twelve of them never all 0 (hot ones are renamed to such)."""
 
     def run(batches):
         seen = set()
@@ -104,30 +106,38 @@ def _signed(width: int, percent: int, common: np.ndarray):
                     fresh[i] = True
             owner, sig = signatures(starts, h, percent, common)
             mine = fresh[owner]
-            owner, sig = owner[mine], sig[mine]
+            owner, sig = owner[mine], sig[mine] >> np.uint64(16)
+            sig[sig & np.uint64(LOW) == 0] |= np.uint64(1)
             order = np.argsort(owner, kind="stable")
             offsets = np.searchsorted(owner[order], np.arange(len(texts) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(s1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig[order].view(np.int64)))], names=["s1", "sigs"])
+            yield pa.RecordBatch.from_arrays([pa.array(s1 & (1 << SET_BITS) - 1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig[order].view(np.int64)))], names=["key", "sigs"])
 
     return run
 
 
 def _groups(rows: DataFrame, some: DataFrame, width: int, percent: int) -> DataFrame:
-    """(g, hot, s1, weight): the sets of every group of two and more, with what the group says for each."""
+    """(g, hot, key, weight): the sets of every group of two and more, with the number of signatures that
+    the group stands for."""
     common = common_shingles(some, width)
 
     def signed(of: DataFrame) -> DataFrame:
-        return of.mapInArrow(_signed(width, percent, common), "s1 long, sigs array<long>").select("s1", F.explode("sigs").alias("sig"))
+        return of.mapInArrow(_signed(width, percent, common), "key long, sigs array<long>").select("key", F.explode("sigs").alias("sig"))
 
-    hot = signed(some).groupBy("sig").agg(F.countDistinct("s1").alias("k")).where(F.col("k") >= HOT)
-    hot = written(hot.select("sig", F.lit(True).alias("hot")), "hot")  # bounded by the sample, so broadcast
-    all_of = signed(rows).join(F.broadcast(hot), "sig", "left").select("s1", "sig", F.when(F.col("hot"), F.pmod("s1", F.lit(SALTS)).cast("int")).alias("salt"))
-    group = Window.partitionBy("sig", "salt")
-    # a group is named by its least and greatest set and two sums over all: copies in several tasks do not cancel
-    sums = [F.sum(F.shiftrightunsigned(F.xxhash64("s1", F.lit(seed)), 33)).over(group).alias(f"g{seed}") for seed in (1, 2)]
-    shared = all_of.select("s1", "sig", F.col("salt").isNotNull().alias("hot"), F.count(F.lit(1)).over(group).alias("k"), F.min("s1").over(group).alias("lo"), F.max("s1").over(group).alias("hi"), *sums).where("hot or lo <> hi")
-    name = F.when(F.col("hot"), F.xxhash64("sig")).otherwise(F.xxhash64("lo", "hi", "g1", "g2"))
-    return shared.groupBy(name.alias("g"), "hot", "s1").agg(F.sum(F.col("k").cast("double")).alias("weight"))
+    def renamed(salt: Column) -> Column:
+        """A hot signature's name for one of its salts: 36 bits of a hash, then twelve of 0."""
+        return F.shiftleft(F.shiftrightunsigned(F.xxhash64("sig", salt), 28), 12)
+
+    hot = written(signed(some).groupBy("sig").agg(F.countDistinct("key").alias("k")).where(F.col("k") >= HOT).select("sig"), "hot")  # bounded by the sample, so broadcast
+    names = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select(renamed(F.col("salt")).alias("name"), F.col("sig").alias("of"))
+    dealt = signed(rows).join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "sig", "left")
+    dealt = dealt.select("key", F.when(F.col("is_hot"), renamed(F.pmod("key", F.lit(SALTS)).cast("int"))).otherwise(F.col("sig")).alias("sig"))
+    group = Window.partitionBy("sig")
+    # a group is named by its least and greatest set and a sum over all: copies in several tasks do not cancel
+    seen = dealt.select("key", "sig", F.min("key").over(group).alias("lo"), F.max("key").over(group).alias("hi"), F.sum(F.shiftrightunsigned("key", SET_BITS - 31)).over(group).alias("total"))
+    is_hot = F.col("sig").bitwiseAND(F.lit(LOW).cast("long")) == 0
+    shared = seen.where(is_hot | (F.col("lo") != F.col("hi"))).join(F.broadcast(names), F.col("sig") == F.col("name"), "left")
+    g = F.when(F.col("of").isNotNull(), F.xxhash64("of")).otherwise(F.xxhash64("lo", "hi", "total"))
+    return shared.groupBy(g.alias("g"), F.col("of").isNotNull().alias("hot"), "key").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def _of_group(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -238,9 +248,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     known = rows.where("doc_id is not null")
     members = _groups(known, written(sampled(known, n_rows, SAMPLE), "sample"), width, percent)
-    # groups of digests' first halves; should sets share one, all of them are members
-    members = written(members.join(reps.select("s1", "rep", "n"), "s1").groupBy("g", "rep", "n").agg(F.max("hot").alias("hot"), F.sum("weight").alias("weight")), "members")
-    central = members.groupBy("rep", "n").agg(F.sum("weight").alias("central"))
+    # should sets share a key, all of them are members
+    keyed = reps.select(F.col("s1").bitwiseAND(F.lit((1 << SET_BITS) - 1)).alias("key"), "rep", "n")
+    members = written(members.join(keyed, "key").groupBy("g", "rep", "n").agg(F.max("hot").alias("hot"), F.sum("weight").alias("weight")), "members")
+    # who shares most signatures with most others: large groups count for more
+    sizes = members.groupBy("g").agg(F.max("hot").alias("hot"), F.count(F.lit(1)).alias("k"))
+    central = _of_group(members, sizes).groupBy("rep", "n").agg(F.sum(F.col("weight") * F.col("k").cast("double")).alias("central"))
     members = written(members.drop("weight").join(central, ["rep", "n"]), "groups")
     # the joins of texts and counts are sort-merge joins at every size: what they move grows with the input
     texts = written(rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").distinct(), "texts")
@@ -266,7 +279,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     def in_blocks(labelled: DataFrame) -> DataFrame:
         """Pairs (a, b) of members of one group that may link: groups of any size are compared without a row
-        for each pair, BLOCKS blocks with as many others in a task."""
+        for each pair, BLOCKS blocks with as many others in a task. Groups with the same members left are one."""
+        names = labelled.groupBy("g").agg(F.max("hot").alias("hot"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.sum(F.shiftrightunsigned(F.xxhash64("rep", "n"), 33)).alias("total"))
+        named = _of_group(labelled, names).withColumn("g", F.xxhash64("lo", "hi", "total"))
+        labelled = written(named.groupBy("g", "rep", "n", "label").agg(F.max("hot").alias("hot")), "left")
         parts = labelled.groupBy("g").agg(F.max("hot").alias("hot"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
         dealt = _of_group(labelled, parts).join(hists.withColumnRenamed("id", "rep").hint("merge"), ["rep", "n"]).withColumn("block", F.pmod(F.xxhash64("rep", "g"), F.col("k")).cast("int"))
         blocks = dealt.groupBy("g", "k", "block").agg(F.collect_list(F.struct("rep", "n", "label", "hist")).alias("m"))
