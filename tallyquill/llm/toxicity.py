@@ -113,12 +113,12 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Toxic and clean documents of each node of (text, label) rows, summed within a batch."""
+    """Toxic and clean documents of each node of (text, label) rows, summed over about a megabyte of text."""
     for batch in batches:
-        nodes_of, up_of, labels = [], [], []
         for lo, hi in slices([len(t.as_py()) for t in batch.column(0)]):
             part = batch.slice(lo, hi - lo)
             starts, nodes = token_nodes(part.column(0).to_pylist())
+            nodes_of, up_of, labels = [], [], []
             for i, label in enumerate(part.column(1).to_pylist()):
                 mine = nodes[starts[i] : starts[i + 1]]
                 up = np.zeros_like(mine)
@@ -129,14 +129,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 nodes_of.append(flat)
                 up_of.append(up.ravel()[first])
                 labels.append(np.full(len(flat), label))
-        if not nodes_of:
-            continue
-        node, first, inverse = np.unique(np.concatenate(nodes_of), return_index=True, return_inverse=True)
-        label = np.concatenate(labels)
-        toxic = np.bincount(inverse, label, len(node)).astype(np.int64)
-        total = np.bincount(inverse, minlength=len(node)).astype(np.int64)
-        columns = [node.view(np.int64), np.concatenate(up_of)[first].view(np.int64), toxic, total - toxic]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "up", "toxic", "clean"])
+            node, first, inverse = np.unique(np.concatenate(nodes_of), return_index=True, return_inverse=True)
+            toxic = np.bincount(inverse, np.concatenate(labels), len(node)).astype(np.int64)
+            total = np.bincount(inverse, minlength=len(node)).astype(np.int64)
+            columns = [node.view(np.int64), np.concatenate(up_of)[first].view(np.int64), toxic, total - toxic]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "up", "toxic", "clean"])
 
 
 def _log_odds(rows: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
