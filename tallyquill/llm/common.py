@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,13 @@ def join_hot(rows: DataFrame, small: DataFrame, hot: DataFrame, keys: list[str],
     return j.where(found.isNotNull()).select(*(F.col(f"l.{c}") for c in rows.columns), *(found[c].alias(c) for c in new))
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nobody holds any more: Spark removes them when the driver
+    collects garbage, which it may not do for long. Call it between the large steps of a job."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove_written(spark: SparkSession) -> None:
     """Remove the tables that this application has written: after its results are stored, not before."""
     jvm = spark._jvm
