@@ -37,6 +37,7 @@ SURE, CAUTION = 2.5, 1.0  # standard errors a score must reach, and is lessened
 DRIFT = 0.1
 SIGNIFICANT = 0.05
 MOD, REST, THRESHOLD = 4, 2, 0.3
+SLICE = 1 << 18  # characters looked at together, whole texts; what bounds a worker's memory
 
 _plain = np.array([chr(c).isalnum() or c >= 128 for c in range(256)])
 
@@ -113,9 +114,9 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Toxic and clean documents of each node of (text, label) rows, summed over about a megabyte of text."""
+    """Toxic and clean documents of each node of (text, label) rows, summed over a slice of texts."""
     for batch in batches:
-        for lo, hi in slices([len(t.as_py()) for t in batch.column(0)]):
+        for lo, hi in slices([len(t.as_py()) for t in batch.column(0)], SLICE):
             part = batch.slice(lo, hi - lo)
             starts, nodes = token_nodes(part.column(0).to_pylist())
             nodes_of, up_of, labels = [], [], []
@@ -170,7 +171,7 @@ def _log_odds(rows: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices([len(t.as_py()) for t in batch.column(1)]):
+            for lo, hi in slices([len(t.as_py()) for t in batch.column(1)], SLICE):
                 part = batch.slice(lo, hi - lo)
                 starts, nodes = token_nodes(part.column(1).to_pylist())
                 scores = model.token_scores(nodes)
@@ -217,7 +218,7 @@ def _extreme_values(model: Model, rest: DataFrame) -> None:
 
     def best(batches):
         for batch in batches:
-            for lo, hi in slices([len(t.as_py()) for t in batch.column(0)]):
+            for lo, hi in slices([len(t.as_py()) for t in batch.column(0)], SLICE):
                 starts, nodes = token_nodes(batch.column(0).slice(lo, hi - lo).to_pylist())
                 s = model.token_scores(nodes)
                 top = [max((x for _, _, x in maximal_segments(s[a:b])), default=0.0) for a, b in zip(starts[:-1], starts[1:], strict=True)]
@@ -256,7 +257,7 @@ def with_scores(docs: DataFrame, model: Model, score_col: str, text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(place)]
-            for lo, hi in slices([len(t) for t in texts]):
+            for lo, hi in slices([len(t) for t in texts], SLICE):
                 starts, nodes = token_nodes(texts[lo:hi])
                 scores = model.token_scores(nodes)
                 f = np.array([model.features(scores[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]).reshape(-1, 3)
