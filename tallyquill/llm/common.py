@@ -13,14 +13,15 @@ from tallyquill.sources.shared import shared_dir
 HOT_KEYS = 1000  # a key is hot if it holds more than this part of all rows, so there are fewer hot keys
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, path_too: bool = False) -> DataFrame | tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, and a lost
     executor costs no more than its own tasks. The folder carries the application's id; ``remove_written``
-    removes it when the job's results are stored."""
+    removes it when the job's results are stored, ``removed`` a single table before that."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    return (back, path) if path_too else back
 
 
 def join_hot(rows: DataFrame, small: DataFrame, hot: DataFrame, keys: list[str], spread: str) -> DataFrame:
@@ -47,11 +48,15 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def remove_written(spark: SparkSession) -> None:
     """Remove the tables that this application has written: after its results are stored, not before."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    removed(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
 def unused(name: str, taken: list[str]) -> str:

@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyquill.llm.ann_graph import nearest
+from tallyquill.llm.ball_kmeans import cluster_rows, cluster_sql
 from tallyquill.llm.bpe_chunks import code_documents
 from tallyquill.llm.common import read
+from tallyquill.llm.divergence import divergence_sql, source_divergence
 from tallyquill.llm.exact_dedup import exact_dedup
 from tallyquill.llm.html_blocks import extract_main_text
 from tallyquill.llm.langid import identify_languages
+from tallyquill.llm.license_scan import license_rows, license_sql
 from tallyquill.llm.ngram_join import near_duplicates
 from tallyquill.llm.packing import pack_documents
 from tallyquill.llm.quality_cnn import quality_rows
@@ -92,6 +95,21 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of license phrases and notices in every document."""
+    return license_rows(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten exact rounds with eight centroids."""
+    return cluster_rows(read(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie from each other, and each source's terms."""
+    return source_divergence(read(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
@@ -103,5 +121,8 @@ QUERIES = {
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_best_fit": op10_best_fit,
+    "op11_license_scan": op11_license_scan,
+    "op12_ball_kmeans": op12_ball_kmeans,
+    "op13_source_divergence": op13_source_divergence,
 }
-ORACLE = {"op9_exact_dedup": OP9_SQL}
+ORACLE = {"op9_exact_dedup": OP9_SQL, "op11_license_scan": license_sql(), "op12_ball_kmeans": cluster_sql(), "op13_source_divergence": divergence_sql()}
