@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from bisect import bisect_left
 from functools import lru_cache
 
 #: Tags that stay inside a block; all others end one. Fixed by HTML and MathML.
@@ -33,6 +34,7 @@ BLANK = re.compile(r"[\s/]*+")
 END = re.compile(r"[\s/]*+>")
 PLAIN = re.compile(r"[^\s>]*+")
 WORDS = re.compile(r"[a-z]+|[0-9]+")
+SCRIPT = re.compile(r"<!---?>|<!--|-->|</script(?=[\s/>])[^>]*+>|<script(?=[\s/>])", re.I)
 KEPT = {"class": "c", "id": "i", "role": "r", "itemprop": "i"}
 PATH = 512  # places of a hashed path
 
@@ -83,11 +85,15 @@ class _Page:
     def __init__(self, text: str):
         self.text, self.at = text, 0
         self.gone: set[str] = set()  # what was looked for and does not stand in the rest
+        self.found: dict[str, int] = {}  # where it was found last
+        self.pairs: dict[str, tuple[dict[int, int], list[int]]] = {}
 
     def find(self, s: str, at: int) -> int:
         if s in self.gone:
             return -1
-        p = self.text.find(s, at)
+        p = self.found.get(s, -1)
+        if p < at:
+            p = self.found[s] = self.text.find(s, at)
         if p < 0:
             self.gone.add(s)
         return p
@@ -96,6 +102,45 @@ class _Page:
         p = self.find(s, at)
         self.at = p + len(s) if p >= 0 else len(self.text)
 
+    def skip_comment(self, at: int) -> None:
+        """Over the comment whose text starts here: it ends at --> or --!>."""
+        ends = [(p, len(s)) for s in ("-->", "--!>") for p in [self.find(s, at)] if p >= 0]
+        self.at = sum(min(ends)) if ends else len(self.text)
+
+    def script_end(self) -> int:
+        """Where the script's end tag ends, -1 if there is none. Within <!-- a script in the script has its own end tag."""
+        state = "data"
+        for m in SCRIPT.finditer(self.text, self.at):
+            what = m[0].lower()
+            if what.startswith("<!--"):
+                state = "escaped" if what == "<!--" and state == "data" else state
+            elif what == "-->":
+                state = "data"
+            elif what.startswith("</"):
+                if state != "double":
+                    return m.end()
+                state = "escaped"
+            elif state == "escaped":
+                state = "double"
+        return -1
+
+    def matching_end(self, tag: str, start: int) -> int:
+        """Where the end tag ends that belongs to the element opened at start, elements of its kind within it
+        having their own; of one that is never closed the next end tag; -1 without any."""
+        if tag not in self.pairs:
+            ends, closes, open_at = {}, [], []
+            for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*+>", self.text, re.I):
+                if m[1]:
+                    closes.append(m.end())
+                    if open_at:
+                        ends[open_at.pop()] = m.end()
+                elif not m[0].endswith("/>"):
+                    open_at.append(m.start())
+            self.pairs[tag] = ends, closes
+        ends, closes = self.pairs[tag]
+        k = bisect_left(closes, self.at)
+        return ends.get(start, closes[k] if k < len(closes) else -1)
+
     def end_tag(self, tag: str) -> int:
         """Where the element's end tag ends, -1 if there is none."""
         if tag in self.gone:
@@ -183,7 +228,7 @@ def leaves(page: str) -> list[Leaf]:
         m = NAME.match(page, start + 1 + closing)
         if m is None:
             if page.startswith("<!--", start):
-                src.skip_to("-->", start + 2 if page.startswith(("<!-->", "<!--->"), start) else start + 4)
+                src.skip_comment(start + 2 if page.startswith(("<!-->", "<!--->"), start) else start + 4)
             elif page[start + 1 : start + 2] in ("!", "?", "/") and start + 1 < n:
                 src.skip_to(">", start + 1)
             else:
@@ -203,7 +248,7 @@ def leaves(page: str) -> list[Leaf]:
         if not closing and (tag in RAW or tag in SKIPPED):
             if itself and tag in SKIPPED:
                 continue
-            end = src.end_tag(tag)
+            end = src.script_end() if tag == "script" else src.matching_end(tag, start) if tag in SKIPPED else src.end_tag(tag)
             if end >= 0:
                 src.at = end
             elif tag in RAW and not itself:
@@ -212,6 +257,9 @@ def leaves(page: str) -> list[Leaf]:
         if tag in RAW or tag in SKIPPED or tag in UNSEEN:
             continue
         flush()
+        if tag == "plaintext" and not closing:  # no tag ends it
+            parts.append(page[src.at :])
+            break
         if closing:
             place = last(tag)
             if place >= 0:
