@@ -7,7 +7,8 @@ bytes of its ids, while the store has room; a text is then one join of byte stri
 Encoding proper: the tokenizer file's normalizer (NFC, lower case) and split pattern, then byte-pair
 merging in rank order. A word's last byte carries the word end, which is put as a byte that UTF-8 never
 uses: (byte, end) pairs have the lowest ranks, so they merge before all others. Texts that hold a special
-token's string go to the tokenizers library itself.
+token's string go to the tokenizers library itself, and so do stretches with a letter or number of a
+Unicode newer than the library's: the pattern would take it for a part of a word.
 """
 
 from __future__ import annotations
@@ -27,6 +28,14 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def newer() -> frozenset[str]:
+    """Letters and numbers to the split pattern's engine that Unicode 15 does not assign."""
+    import regex
+
+    unassigned = "".join(c for c in map(chr, range(128, 0x110000)) if unicodedata.category(c) == "Cn")
+    return frozenset(regex.findall(r"[\p{L}\p{N}]", unassigned))
+
+
 class WordBpe(dict):
     """Stretch -> bytes of its ids as unsigned 32-bit little-endian."""
 
@@ -48,6 +57,7 @@ class WordBpe(dict):
             ranks[bytes(byte_of[c] for c in (token[:-4] if ended else token)) + END * ended] = i
         self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.newer = newer()
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -55,6 +65,8 @@ class WordBpe(dict):
     def __missing__(self, stretch: str) -> bytes:
         if stretch.isascii() and stretch.isalpha():
             ids = self.merge(stretch.lower().encode() + END)
+        elif not self.newer.isdisjoint(stretch):
+            ids = self.library.encode(stretch, add_special_tokens=False).ids
         else:
             ids = []
             for w in self.words(lowered(unicodedata.normalize("NFC", stretch))):

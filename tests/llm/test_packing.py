@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 from tallyquill.llm.packing import CAPACITY, best_fit_decreasing, pack_documents
 from tallyquill.llm.queries import WORD_BPE, op10_best_fit
+from tallyquill.llm.word_bpe import word_bpe
 
 
 def check(rows, texts):
@@ -43,6 +44,15 @@ def test_awkward_and_empty(spark, awkward):
     assert pack_documents(awkward.limit(0), WORD_BPE).count() == 0
 
 
+def test_ids_of_every_code_point():
+    library, ours = Tokenizer.from_file(WORD_BPE), word_bpe(WORD_BPE)
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(texts), 50_000):
+        part = texts[at : at + 50_000]
+        want = [pack(f"<{len(e.ids)}I", *e.ids) for e in library.encode_batch(part, add_special_tokens=False)]
+        assert [t for t, w in zip(part, want, strict=True) if ours.encode(t) != w] == []
+
+
 def test_tightest_bin_against_a_scan():
     rnd = random.Random(3)
     for _ in range(30):
