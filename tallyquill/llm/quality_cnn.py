@@ -130,10 +130,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _affordable(rows: DataFrame, most: int) -> DataFrame:
-    """Rows in order of a hash while their chunks are at most ``most`` together: whole texts, or none of one."""
+    """Rows in order of a hash while their chunks are at most ``most`` together: whole texts, or none of one.
+    Texts of more than a twentieth of that are left out of the sum, so at least twenty texts remain, if there are."""
     n = F.greatest(F.ceil((F.octet_length("text") - CHUNK) / STEP), F.lit(0)) + 1
     place = Window.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id")  # over a bounded sample's ids and sizes
-    sizes = rows.groupBy("doc_id").agg(F.sum(n).alias("n")).withColumn("upto", F.sum("n").over(place))
+    sizes = rows.groupBy("doc_id").agg(F.sum(n).alias("n")).where(F.col("n") <= max(1, most // 20)).withColumn("upto", F.sum("n").over(place))
     return rows.join(F.broadcast(sizes.where(F.col("upto") <= most).select("doc_id")), "doc_id")
 
 

@@ -1,7 +1,7 @@
 import numpy as np
 
 from tallyquill.llm.labelled import Logistic, auc
-from tallyquill.llm.quality_cnn import CHUNK, FILTERS, PAD, STEP, STRIDE, WIDTH, Network, chunks, fit, score_quality
+from tallyquill.llm.quality_cnn import CHUNK, FILTERS, PAD, STEP, STRIDE, WIDTH, Network, _affordable, chunks, fit, score_quality
 from tallyquill.llm.queries import op6_quality_cnn
 
 
@@ -88,3 +88,12 @@ def test_the_network_is_fitted_on_whole_texts(spark):
     labels = spark.createDataFrame([(i, y, 0) for i, _, y in rows], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r.score for r in score_quality(docs, fit(docs, labels)).collect()}
     assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in rows]) > 0.95
+
+
+def test_a_long_text_does_not_empty_the_sample(spark):
+    """Whichever places the long texts have in the order, the short ones are drawn up to the bound."""
+    short = [(i, "plain words", 0) for i in range(40)]
+    for long_ids in ([-1], [3], [*range(100, 110)]):
+        docs = spark.createDataFrame(short + [(i, "x" * (STEP * 200), 1) for i in long_ids], "doc_id long, text string, label int")
+        assert _affordable(docs, 100).where("label = 0").count() == 40 - (3 in long_ids)
+    assert _affordable(docs, 20).count() == 20
