@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyquill.functions import fixed as X
 from tallyquill.functions import names as N
+from tallyquill.functions.alignment import shown
 
 
 def last_per(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -83,27 +83,14 @@ def agreement(diff: DataFrame) -> DataFrame:
 
 def describe_text_changes(pairs: DataFrame, context: int = X.CONTEXT_CHARS) -> DataFrame:
     """pairs (id, before, after) plus detail: what moved, removals as [-old-], additions as {+new+}, with
-    some characters around. A sequence alignment has no counterpart among SQL functions."""
+    some characters around. A sequence alignment has no counterpart among SQL functions; it runs in Arrow batches."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            yield rows.assign(detail=[moved(a or "", b or "", context) for a, b in zip(rows["before"], rows["after"], strict=True)])
-
-    return pairs.mapInPandas(run, f"id {dict(pairs.dtypes)['id']}, before string, after string, detail string")
-
-
-def moved(before: str, after: str, context: int) -> str:
-    out, shown = [], 0
-    for kind, a, b, c, d in difflib.SequenceMatcher(None, before, after, autojunk=False).get_opcodes():
-        if kind == "equal":
-            continue
-        start = max(shown, a - context)
-        out.append(("…" if a - context > shown else "") + before[start:a])
-        out.append(f"[-{before[a:b]}-]" if b > a else "")
-        out.append(f"{{+{after[c:d]}+}}" if d > c else "")
-        shown = b + context
-        out.append(before[b:shown] + ("…" if shown < len(before) else ""))
-    return "".join(out)
+            detail = [shown(a or "", b or "", context) for a, b in zip(rows.column("before").to_pylist(), rows.column("after").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("id", "before", "after")), pa.array(detail, pa.string())], names=["id", "before", "after", "detail"])
+
+    return pairs.select("id", "before", "after").mapInArrow(run, f"id {dict(pairs.dtypes)['id']}, before string, after string, detail string")
 
 
 def diff_sets(a: Column, b: Column) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tallyquill.functions import fixed as X
 from tallyquill.functions import names as N
-from tallyquill.sources.shared import shared_dir
+from tallyquill.operators.cycles import components_on_cycles, cycle_paths, inner_edges
+from tallyquill.sources.shared import cut
 
 STAR_SALTS = 32  # tasks that the errors of every skill are paired in
 
@@ -38,14 +39,6 @@ def errors_of_skills(skills: DataFrame, errors: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df checkpointed to the session's folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
-
-
 def closure(edges: DataFrame) -> DataFrame:
     """(start, reached, depth) over edges (node, next): everything reachable, at its least depth, a start
     itself only through a cycle. A frontier is joined with the edges until it brings nothing new."""
@@ -56,7 +49,7 @@ def closure(edges: DataFrame) -> DataFrame:
         frontier = cut(step.join(found, ["start", "reached"], "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
-        found = found.unionByName(frontier)
+        found = cut(found.unionByName(frontier))
     return found
 
 
@@ -68,8 +61,10 @@ def prerequisites(skills: DataFrame) -> DataFrame:
 
 
 def cycles(edges: DataFrame) -> DataFrame:
-    """Nodes that reach themselves, with the length of their shortest cycle."""
-    return closure(edges).where("start = reached").select(F.col("start").alias("node"), F.col("depth").alias("length"))
+    """Nodes that reach themselves, with the length of their shortest cycle. Only edges within a strongly
+    connected component are followed: the rest of the graph lies on no cycle."""
+    inside = cut(inner_edges(edges, components_on_cycles(edges)))
+    return closure(inside).where("start = reached").select(F.col("start").alias("node"), F.col("depth").alias("length"))
 
 
 def fitting_errors(skills: DataFrame, errors: DataFrame) -> DataFrame:
@@ -139,7 +134,7 @@ def audit(skills: DataFrame, errors: DataFrame, objectives: DataFrame | None = N
         when(refs, ~F.col("ref").rlike(X.GUIDE_REF), "skill %s has guide_ref '%s', not <part>-<n.m>", sid, F.col("ref")),
         when(need.join(known, "pre", "left_anti"), F.lit(True), "skill %s needs %s, which does not exist", sid, F.col("pre")),
         when(need, F.col("pre") == sid, "skill %s lists itself as a prerequisite", sid),
-        when(cycles(need.select(F.col("skill_id").alias("node"), F.col("pre").alias("next"))), F.col("length") > 0, "prerequisite cycle through %s", F.col("node")),
+        when(cycle_paths(need.join(known, "pre", "left_semi").select(F.col("skill_id").alias("node"), F.col("pre").alias("next"))), F.col("length") > 0, "prerequisite cycle: %s", F.col("path")),
         when(errors.groupBy("error_id").count(), F.col("count") > 1, "error %s appears more than once", eid),
         when(errors, ~eid.rlike(X.ERROR_ID), "error id '%s' is not err.<topic>.<slug>", eid),
         when(errors, F.size("skills") == 0, "error %s belongs to no skill", eid),

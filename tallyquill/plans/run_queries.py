@@ -271,6 +271,16 @@ def text_diff(spark, sf_dir):
     return compare.describe_text_changes(b)
 
 
+@query("""SELECT doc_id AS id, CASE WHEN n > 0 THEN CASE WHEN p > 10 THEN '…' ELSE '' END || substring(text, p - 9, CASE WHEN p < 10 THEN p ELSE 10 END) || '{+‡‡+}' || substring(text, p + 1, 10) || CASE WHEN p + 10 < n THEN '…' ELSE '' END ELSE '{+‡‡+}' END AS detail
+FROM (SELECT *, n - n // 3 AS p FROM (SELECT doc_id, text, length(coalesce(text, '')) AS n FROM documents)) WHERE n = 0 OR p >= 10""")
+def inserted_text_diff(spark, sf_dir):
+    """Documents of which a second reading holds two marks more, at two thirds of the text."""
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("before"))
+    at = F.length("before") - F.floor(F.length("before") / 3).cast("int")
+    d = d.withColumn("after", F.concat(F.substring(F.col("before"), F.lit(1), at), F.lit("‡‡"), F.substring(F.col("before"), at + 1, F.length("before"))))
+    return compare.describe_text_changes(d.where((F.length("before") == 0) | (at >= 10))).select("id", "detail")
+
+
 @query("SELECT item_id AS id, CAST(CASE WHEN item_id % 4 <> 0 THEN item_id % 3 END AS INT) AS level, CASE WHEN item_id % 4 = 0 THEN 'no recorded answer' END AS error FROM benchmark")
 def recorded_model_stage(spark, sf_dir):
     """Prompts answered from a recording; those never recorded give a row with an error."""
@@ -282,11 +292,12 @@ def recorded_model_stage(spark, sf_dir):
 
 @query("SELECT event_id, event_type FROM events")
 def incremental_file_source(spark, sf_dir):
-    """All events arrive at the inbox, every second one three times; each event is in the table once."""
+    """All events arrive at the inbox, every second one three times; each event is in the table once. The stream is
+    started anew from its checkpoint for each delivery and takes it in several batches."""
     base, twice = fresh_dir(spark, "inbox"), "event_id % 2 = 0"
     e = read(spark, sf_dir, "events").select("event_id", "event_type")
     schema = "event_id long, event_type string"
     for k, part in enumerate((e.where(twice), e, e.where(twice))):
-        part.write.mode("append").json(f"{base}/inbox/{k}")
-        ingest(spark, f"{base}/inbox", f"{base}/table", f"{base}/checkpoint", schema, "key", lambda b: keyed(b, "event_id", "key"))
+        part.repartition(4).write.mode("append").json(f"{base}/inbox/{k}")
+        ingest(spark, f"{base}/inbox", f"{base}/table", f"{base}/checkpoint", schema, "key", lambda b: keyed(b, "event_id", "key"), files_per_batch=2)
     return spark.read.parquet(f"{base}/table").select("event_id", "event_type")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyquill.operators import taxonomy
+from tallyquill.operators import cycles, taxonomy
 from tallyquill.plans.registry import query, read
 
 #: Error patterns of the fixture: id and entries.
@@ -52,6 +52,35 @@ def prerequisite_cycles(spark, sf_dir):
     return taxonomy.cycles(edges(spark, sf_dir))
 
 
+#: Suppliers as skills that rest on one or two others, with cycles of several lengths.
+RESTS_SQL = """e AS (SELECT s_suppkey AS node, (s_suppkey * 3 + s_nationkey) % (SELECT count(*) FROM supplier) AS next FROM supplier UNION SELECT s_suppkey, s_suppkey // 2 FROM supplier WHERE s_suppkey % 4 = 0),
+reach AS (SELECT node AS a, next AS b FROM e UNION SELECT a, next FROM reach JOIN e ON b = node),
+comp AS (SELECT x.a AS node, min(y.a) AS component FROM reach x JOIN reach y ON x.b = y.a AND y.b = x.a AND x.a = y.b WHERE EXISTS (SELECT 1 FROM reach z WHERE z.a = x.a AND z.b = x.a) GROUP BY x.a)"""
+
+
+def rests(spark, sf_dir):
+    s = read(spark, sf_dir, "supplier")
+    n, k = s.count(), F.col("s_suppkey")
+    one = s.select(k.alias("node"), ((k * 3 + F.col("s_nationkey")) % n).alias("next"))
+    return one.unionByName(s.where(k % 4 == 0).select(k.alias("node"), F.floor(k / 2).alias("next")))
+
+
+@query(f"""WITH RECURSIVE {RESTS_SQL}, i AS (SELECT e.node, e.next, a.component FROM e JOIN comp a ON a.node = e.node JOIN comp b ON b.node = e.next AND a.component = b.component),
+d AS (SELECT DISTINCT component, component AS node, 0 AS depth FROM comp UNION SELECT d.component, i.node, depth + 1 FROM d JOIN i ON i.component = d.component AND i.next = d.node WHERE depth < 60),
+m AS (SELECT component, node, min(depth) AS dist FROM d GROUP BY ALL), l AS (SELECT component, min(dist) + 1 AS length FROM m JOIN i USING (component) WHERE i.node = component AND i.next = m.node GROUP BY component),
+p AS (SELECT component, component AS here, length AS togo, CAST(component AS VARCHAR) AS path, length FROM l
+  UNION ALL SELECT component, here, togo - 1, path || ' -> ' || here, length FROM (SELECT p.component, p.togo, p.path, p.length, min(i.next) AS here FROM p JOIN i ON i.component = p.component AND i.node = p.here JOIN m ON m.component = p.component AND m.node = i.next AND m.dist = p.togo - 1 WHERE togo > 0 GROUP BY ALL))
+SELECT component, CAST(length AS INT) AS length, path FROM p WHERE togo = 0""")
+def cycle_paths(spark, sf_dir):
+    """One shortest cycle of each strongly connected component."""
+    return cycles.cycle_paths(rests(spark, sf_dir))
+
+
+@query(f"WITH RECURSIVE {RESTS_SQL} SELECT node, component FROM comp")
+def cycle_components(spark, sf_dir):
+    return cycles.components_on_cycles(rests(spark, sf_dir))
+
+
 @query("SELECT c_custkey AS ref FROM customer WHERE c_nationkey % 5 <> 0 AND c_custkey NOT IN (SELECT user_id FROM events)")
 def uncovered_antijoin(spark, sf_dir):
     """Customers as objectives, users of events as what skills refer to."""

@@ -148,7 +148,19 @@ class Store:
 
     def commit(self, batch: Tables, merge: Merge) -> Snapshot:
         """Merge a batch into the tables. merge(old, batch) gets the old rows of the touched parts (tables never
-        written are absent) and returns what these parts are to hold; nothing, if the batch changes nothing."""
+        written are absent) and returns what these parts are to hold; nothing, if the batch changes nothing. The
+        batch is written down once before, so that all attempts and tables see the same rows of it."""
+        stage = f"staging/{uuid.uuid4().hex}"
+        try:
+            return self._commit({name: self._staged(rows, f"{self.base}/{stage}/{name}") for name, rows in batch.items()}, merge)
+        finally:
+            self.files.remove(stage)
+
+    def _staged(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _commit(self, batch: Tables, merge: Merge) -> Snapshot:
         for _ in range(ATTEMPTS):
             before = self.latest()
             touched = sorted({r[0] for name, rows in batch.items() for r in rows.select(self.part(F.col(self.tables[name].deal))).distinct().collect()})  # at most as many as parts

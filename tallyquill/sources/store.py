@@ -1,14 +1,15 @@
-"""Sinks: archives, versioned tables and routing. Nothing is updated in place: runs are appended, and
-readers derive what is current (operators.stats.with_current)."""
+"""Sinks: archives as JSON, results in a snapshot store, and routing. Versions beyond that are in ``versions``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyquill.functions import names as N
 from tallyquill.sources.rows import PAPER_COLUMNS, document_rows, question_rows, run_rows
+from tallyquill.sources.snapshots import Layout, Snapshot, Store, joined
 
 
 def archive_rows(results: DataFrame) -> DataFrame:
@@ -19,24 +20,32 @@ def archive_rows(results: DataFrame) -> DataFrame:
     return results.withColumn("document", F.col("document").withField("questions", keyed)).withColumns({"paper": N.paper_key(sha), "latest": F.concat_ws("-", stem, N.paper_key(sha)), "history": F.concat_ws("/", stem, F.col("run.run_id"))})
 
 
-def write_archive(results: DataFrame, base: str) -> None:
-    """base/latest, a partition a paper and overwritten by newer runs of it, and base/history, appended."""
-    rows = archive_rows(results)
-    rows.write.mode("append").partitionBy("paper").json(f"{base}/history")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("paper").json(f"{base}/latest")
+BUCKETS = 64  # folders of an archive, whatever the number of its papers or students
+
+
+def in_buckets(rows: DataFrame, key: str) -> DataFrame:
+    """rows with the bucket of their key, a task for each bucket, so that a write makes at most a file in each."""
+    return rows.withColumn("bucket", F.pmod(F.hash(key), F.lit(BUCKETS)).cast("int")).repartition("bucket")
 
 
-def append_new(rows: DataFrame, path: str, key: str) -> DataFrame:
-    """Append the rows whose key the table lacks: writing a run twice changes nothing. Returns them."""
-    spark = rows.sparkSession
+def replace_latest(rows: DataFrame, key: str, path: str) -> None:
+    """Put each key's new row in place of its old one: buckets of other keys are left as they lie."""
+    spark, new = rows.sparkSession, in_buckets(rows, key)
+    touched = [r[0] for r in new.select("bucket").distinct().collect()]
     try:
-        known = spark.read.parquet(path).select(key).distinct()
-        rows = rows.join(known, key, "left_anti")
-    except Exception as e:  # the first write: there is no table yet
-        if "PATH_NOT_FOUND" not in str(e):
+        old = spark.read.schema(new.schema).json(path).where(F.col("bucket").isin(touched)).join(rows.select(key), key, "left_anti")
+        new = new.unionByName(old).repartition("bucket")
+    except AnalysisException as e:  # the first write: there is nothing yet
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-    rows.write.mode("append").parquet(path)
-    return rows
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").json(path)
+
+
+def write_archive(results: DataFrame, base: str) -> None:
+    """As JSON lines: base/latest, a row a paper, replaced by newer runs of it, and base/history, appended."""
+    rows = archive_rows(results)
+    in_buckets(rows, "paper").write.mode("append").partitionBy("bucket").json(f"{base}/history")
+    replace_latest(rows, "paper", f"{base}/latest")
 
 
 def without_run(tables: dict[str, DataFrame], run_id: str) -> dict[str, DataFrame]:
@@ -60,13 +69,26 @@ def upsert_vocabulary(stored: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 # ---- runs, analyses and attempts
 
-def save_results(results: DataFrame, base: str) -> None:
-    """Documents, questions and runs of results, appended once for each run. The run's row is written last:
-    a run without it is half written and stays unseen, and a second attempt completes it."""
+def results_store(spark: SparkSession, base: str, **sizes: int) -> Store:
+    run, asked = Layout("run_id", ("run_id",)), Layout("extraction_run_id", ("extraction_run_id",))
+    return Store(spark, base, {"documents": run, "questions": asked, "runs": run}, **sizes)
+
+
+def save_results(store: Store, results: DataFrame) -> Snapshot:
+    """Documents, questions and runs of results in one commit, once for each run: readers see all three or none."""
     documents = document_rows(results).join(results.select(F.col("source.sha256").alias("sha256"), F.col("run.run_id").alias("run_id"), F.col("run.extracted_at").alias("extracted_at")), "sha256")
-    append_new(documents, f"{base}/documents", "run_id")
-    append_new(question_rows(results), f"{base}/questions", "extraction_run_id")
-    append_new(run_rows(results), f"{base}/runs", "run_id")
+
+    def merge(old: dict, batch: dict) -> dict:
+        def fresh(name: str) -> DataFrame:
+            run = store.tables[name].deal
+            known = old["runs"].select(F.col("run_id").alias(run)) if "runs" in old else None
+            return batch[name] if known is None else batch[name].join(known, run, "left_anti")
+
+        if fresh("runs").isEmpty():
+            return {}
+        return {name: joined(old.get(name), fresh(name)) for name in batch}
+
+    return store.commit({"documents": documents, "questions": question_rows(results), "runs": run_rows(results)}, merge)
 
 
 def stored_documents(documents: DataFrame) -> DataFrame:
@@ -98,22 +120,15 @@ def current_analyses(stored: DataFrame) -> DataFrame:
     return last.withColumn("is_current", F.col("push") == F.max("push").over(key))
 
 
-def push_attempts(rows: DataFrame, base: str) -> None:
-    """Students not known yet, then the attempts."""
-    append_new(rows.select("student_id").distinct(), f"{base}/students", "student_id")
-    rows.write.mode("append").partitionBy("student_id").parquet(f"{base}/attempts")
-
-
 def export_analyses(results: DataFrame, base: str) -> None:
     """As write_archive: the latest analysis of each paper, and all of them by run."""
     rows = results.withColumns({"paper": N.paper_key(F.col("sha256")), "history": F.concat_ws("/", N.safe_stem(F.col("file_name")), F.col("run.run_id"))})
-    rows.write.mode("append").partitionBy("paper").json(f"{base}/history")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("paper").json(f"{base}/latest")
+    in_buckets(rows, "paper").write.mode("append").partitionBy("bucket").json(f"{base}/history")
+    replace_latest(rows, "paper", f"{base}/latest")
 
 
 def export_attempts(attempts: DataFrame, base: str) -> None:
-    """A folder for each student."""
-    attempts.write.mode("append").partitionBy("student_id").json(base)
+    in_buckets(attempts, "student_id").write.mode("append").partitionBy("bucket").json(base)
 
 
 def output_names(results: DataFrame) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyquill.functions import names as N
-from tallyquill.operators import compare, ingest, models, reports, solving, stats, taxonomy
-from tallyquill.plans import fixtures as X
-from tallyquill.plans.fixture_queries import put, table, text_of
-from tallyquill.plans.registry import query
+from tallyquill.operators import compare, ingest, models, solving, stats, taxonomy
 from tallyquill.sources import archive, rows, store
 from tallyquill.sources.shared import fresh_dir
+from tests.cases import fixtures as X
+from tests.cases.fixture_cases import put, table, text_of
+from tests.cases.registry import query
 
 A, B, C = "a" * 12, "b" * 12, "c" * 12
 
@@ -41,7 +41,7 @@ BAD_ERRORS = [("err.a.b", "A", "a", [], ""), ("bad", "", "b", ["na.none.x", "na.
     "error err.a.b appears more than once", "error id 'bad' is not err.<topic>.<slug>", "error err.a.b belongs to no skill", "error bad refers to na.none.x, which does not exist", "error bad is missing an English or Chinese name",
     "skill na.a.x appears more than once", "skill id 'Q' is not <strand>.<unit>.<slug>", "skill na.a.y says strand 'ms' but its id says otherwise", "skill Q has unknown strand 'zz'", "skill na.a.x has form 'F9', not F1-F6", "skill na.a.z has a foundation flag that is not F, N or blank",
     "skill na.a.y is in the Guide but has no foundation flag", "skill m1.a.q has a foundation flag where the split does not apply", "skill na.a.y is missing an English or Chinese name", "skill na.a.z has guide_ref 'odd', not <part>-<n.m>", "skill na.a.x needs na.no.such, which does not exist",
-    "skill na.a.x lists itself as a prerequisite", "prerequisite cycle through na.a.x", "prerequisite cycle through na.a.y", "prerequisite cycle through na.a.z", "skill m1.a.q refers to Guide objective M1-9.9, which is not in the objectives",
+    "skill na.a.x lists itself as a prerequisite", "prerequisite cycle: na.a.x -> na.a.x", "prerequisite cycle: na.a.y -> na.a.z -> na.a.y", "skill m1.a.q refers to Guide objective M1-9.9, which is not in the objectives",
     "skill na.a.y is flagged blank but its Guide objectives say non-foundation"))))
 def vocabulary_audit(spark, sf_dir):
     return taxonomy.audit(X.skills(spark, BAD_SKILLS), X.errors(spark, BAD_ERRORS), X.objectives(spark))
@@ -307,57 +307,3 @@ def feature_report(spark, sf_dir):
 @query(table("issue_code, n", ("DEPENDENCY_UNMARKED", 3), ("CONTROL_CHARACTER", 2), ("LATEX_NOT_DELIMITED", 2), ("REPEATED_TEXT_IN_QUESTION", 2), ("STEM_CONTAMINATION", 2)))
 def issue_totals(spark, sf_dir):
     return stats.issue_totals(issued(spark)[2]).where("n > 1").select("issue_code", F.col("n").cast("int").alias("n"))
-
-
-def lines(spark, text: str):
-    return spark.createDataFrame([(k, line) for k, line in enumerate(text.splitlines()) if line], "n int, line string").select("line")
-
-
-@query(table("line", ("# F6 clean (1).pdf",), ("|  |  |",), ("| --- | --- |",), ("| PDF | F6 clean (1).pdf |",), ("| Pages | 3 |",), ("| Level | F6 (from filename) |",), ("| Module | unknown |",), ("| Paper | unknown |",), ("| Marking scheme | none |",), ("| Questions | 3 |",), ("| SHA256 | `" + "f" * 64 + "` |",), ("| Size | 100 bytes |",), ("| Extracted | 2026-01-01 |",), ("| Model | m |",), ("| Run | `run-1-f` |",), ("| Versions | 1 / 2 |",), ("| Prompt | `abc` |",), ("| Tokens | 10 in / 0 out |",), ("| Diagrams | 1 (1 cropped, 0 full page) |",), ("| Tables captured | 2 (1 cropped, 1 full page) |",),
-    ("**Issues:** none",), ("---",), ("## 1",), ("*pages 1–2 · 1 mark*",), ("\\(x\\)",), ("---",), ("## 2(a)",), ("*page 1 · 4 marks for 2 · diagram*",), ("Solve it.",), ("![2(a)](d.png)",), ("*cropped · 5×6 · page 1*",), ("---",), ("## 2(b)",), ("*page 1 · 1 mark · depends on 2(a)*",), ("| a | b |",), ("|---|---|",), ("| 1 | 2 |",), ("**Table 1 as printed:**",), ("![2(b) table 1](t1.png)",), ("*cropped · 5×6 · page 1*",), ("**Table 2 as printed:**",), ("![2(b) table 2](t2.png)",), ("*full page · 5×6 · page 2*",), ("**Answer:** 3",), ("---",), ("## Validation issues",), ("None.",)))
-def extraction_report(spark, sf_dir):
-    return lines(spark, reports.extraction_report(X.papers(spark).where("substring(source.sha256, 1, 1) = 'f'")))
-
-
-@query(table("line", ("Runs an-1 -> an-2: 3 questions, 3 changed, 0 identical",), ("  levels moved in 1 questions (1 letters of 18): R 1  P 0  D 0  I 0  C 0  E 0",), ("  skills changed in 1, primary strategy changed in 1",), ("Q1: R 1->3",), ("    + skill na.poly.factor",), ("    - skill na.eq.quad",), ("    - error err.sign.lost",), ("Q2:",), ("    primary strategy changed",), ("Q4: only in after",)))
-def analysis_diff_report(spark, sf_dir):
-    from tallyquill.plans.fixture_queries import flat_analyses
-
-    return lines(spark, reports.analysis_diff_report(compare.diff_analyses(flat_analyses(spark, X.RUN_1), flat_analyses(spark, X.RUN_2)), "an-1", "an-2"))
-
-
-@query(table("line", ("Comparing  a",), ("      with  b",), ("Identical : 1",), ("Changed   : 1",), ("Only in A : 1  3",), ("Only in B : 1  4",), ("Agreement : 50%",), ("2: text",)))
-def run_diff_report(spark, sf_dir):
-    cols = "qid string, text string, marks int"
-    d = compare.compare_runs(spark.createDataFrame([("1", "x", 1), ("2", "y", None), ("3", "z", 1)], cols), spark.createDataFrame([("1", "x", 1), ("2", "Y", None), ("4", "z", 1)], cols), ["qid"], ["text", "marks"])
-    return lines(spark, reports.run_diff_report(d, "a", "b", "qid"))
-
-
-@query(table("line", ("# RPDICE agreement with the golden set",), ("Compared 1 questions; 1 gold questions had no analysis",), ("| Dimension | exact | within 1 | mean |diff| | bias |",), ("| --- | --- | --- | --- | --- |",), ("| R | 0% | 0% | 2.00 | +2.00 |",), *((f"| {d} | 100% | 100% | 0.00 | +0.00 |",) for d in "PDIC"), ("| E | 0% | 100% | 1.00 | -1.00 |",), ("Skill overlap (Jaccard): 33%",), ("Error overlap (Jaccard): 100%",), ("## Largest disagreements",), ("| question | total |diff| | analyzer RPDICE | gold RPDICE |",), ("| --- | --- | --- | --- |",), ("| k1 | 3 | 311110 | 111111 |",), ("## Not analysed",), ("- k2",)))
-def scorecard_report(spark, sf_dir):
-    cols = "question_key string, R int, P int, D int, I int, C int, E int, skills array<string>, errors array<string>"
-    gold = spark.createDataFrame([("k1", 1, 1, 1, 1, 1, 1, ["a", "b"], []), ("k2", 0, 0, 0, 0, 0, 0, ["a"], [])], cols)
-    return lines(spark, reports.scorecard_report(spark.createDataFrame([("k1", 3, 1, 1, 1, 1, 0, ["b", "c"], [])], cols), gold))
-
-
-@query(table("line", (f"# Attempt — s2 · {A}:2",), ("**Verdict: not marked (no reference answer)** — answered ''9''".replace("''", "'"),), ("> Needs a person: unreadable: line 2",), ("## Transcription",), ("## Route",), ("- strategy: none",), ("## Skills",), ("- ✗ not shown: na.eq.quad",), ("## Errors",), ("- slip: copied badly",), ("## Unclear",), ("- line 2",), ("Reading confidence 0.40",)))
-def attempt_report(spark, sf_dir):
-    return lines(spark, reports.attempt_report(X.attempts(spark).where("student_id = 's2'")))
-
-
-@query(table("line", ("# Analysis of F4-faults.pdf",), ("Run `an-1` · m",), ("## 1",), ("Skills: na.eq.solve, na.eq.quad",), ("- Graph `R2 P1 D0 I1 C0 E2` · proposed",), ("- Factor `R1 P1 D0 I0 C0 E0` (primary) · proposed",), ("> low `LEVEL_OVERRATED` m",), ("## 2",), ("Skills: na.eq.quad",), ("- Graph `R2 P1 D0 I1 C0 E2` · proposed",), ("> high `SKILL_MISSING` m",), ("## 3",), ("Skills: none",), ("> critical `NO_STRATEGY` m",)))
-def analysis_report_of_paper(spark, sf_dir):
-    return lines(spark, reports.analysis_markdown(X.analyses(spark, X.RUN_1)))
-
-
-@query(table("line", ("# Extraction analysis",), ("| Papers | 5 |",), ("| Questions | 34 |",), ("| Issues | 37 |",), ("| `DEPENDENCY_UNMARKED` | 3 |",), ("| a | 3 | 23 | 7.7 | 21 |",), ("| d | 0 | 0 | 0.0 | 3 |",)))
-def statistics_report(spark, sf_dir):
-    """Lines of the report over all papers that single out its parts."""
-    _, q, issues, papers = issued(spark)
-    text = lines(spark, reports.analysis_report(q, issues, stats.papers(papers)))
-    return text.where("line in ('# Extraction analysis', '| Papers | 5 |', '| Questions | 34 |', '| Issues | 37 |', '| `DEPENDENCY_UNMARKED` | 3 |', '| a | 3 | 23 | 7.7 | 21 |', '| d | 0 | 0 | 0.0 | 3 |')")
-
-
-@query(table("line", ("# Batch",), ("| status | files | questions |",), ("| --- | --- | --- |",), ("| failed | 2 | 23 |",), ("| ok | 3 | 11 |",), ("| file | status | questions | issues |",), ("| --- | --- | --- | --- |",), ("| F4-M1.pdf | ok | 2 | 6 |",), ("| F4-faults.pdf | failed | 23 | 21 |",), ("| F6 clean (1).pdf | ok | 3 | 0 |",), ("| S5-2526_2nd-exam.pdf | ok | 6 | 7 |",), ("| empty.pdf | failed | 0 | 3 |",)))
-def batch_report(spark, sf_dir):
-    return lines(spark, reports.batch_report(ingest.outcomes(issued(spark)[0])))

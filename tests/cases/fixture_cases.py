@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from tallyquill.functions import names as N
 from tallyquill.functions import texts as T
 from tallyquill.operators import compare, gold, ingest, pictures, repairs, rules, solving, stats, taxonomy
-from tallyquill.plans import fixtures as X
-from tallyquill.plans.registry import query
-from tallyquill.sources import archive, rows, store
+from tallyquill.sources import archive, rows, store, versions
 from tallyquill.sources.shared import fresh_dir
+from tests.cases import fixtures as X
+from tests.cases.registry import query
 
 
 def literal(v) -> str:
@@ -168,22 +168,22 @@ def push_analysis(spark, sf_dir):
 @query(table("student_id, attempts", ("s1", 2), ("s2", 2)))
 def push_attempt(spark, sf_dir):
     """Students once, attempts as often as they come."""
-    base = fresh_dir(spark, "attempts")
-    for _ in range(2):
-        store.push_attempts(rows.attempt_rows(X.attempts(spark)), base)
-    students, attempts = spark.read.parquet(f"{base}/students"), spark.read.parquet(f"{base}/attempts")
+    kept = versions.attempt_store(spark, fresh_dir(spark, "attempts"))
+    for k in range(2):
+        versions.push_attempts(kept, rows.attempt_rows(X.attempts(spark)).withColumn("attempt_id", F.concat_ws(":", "student_id", "question_key", F.lit(k))))
+    students, attempts = (kept.latest().table(t) for t in ("students", "attempts"))
     return students.join(attempts, "student_id").groupBy("student_id").agg(F.count(F.lit(1)).cast("int").alias("attempts"))
 
 
 @query(table("part, n", ("documents", 10), ("questions", 68), ("runs", 10), ("current", 11), ("stored", 5)))
 def store_round_trip(spark, sf_dir):
     """Five papers saved twice, then saved as second runs: a run once, the newest good run of each current."""
-    base = fresh_dir(spark, "store")
+    kept = store.results_store(spark, fresh_dir(spark, "store"))
     again = [r | dict(run=r["run"] | dict(run_id=r["run"]["run_id"].replace("run-1", "run-2"), extracted_at="2026-03-01")) for r in X.PAPERS]
     keyed = N.paper_key(F.col("source.sha256"))
     for results in (X.PAPERS, X.PAPERS, again):
-        store.save_results(ingest.with_issues(X.papers(spark, results).withColumn("doc", keyed)), base)
-    d, q, r = (spark.read.parquet(f"{base}/{t}") for t in ("documents", "questions", "runs"))
+        store.save_results(kept, ingest.with_issues(X.papers(spark, results).withColumn("doc", keyed)))
+    d, q, r = (kept.latest().table(t) for t in ("documents", "questions", "runs"))
     parts = {"documents": d, "questions": q, "runs": r, "current": store.current_questions(r, q), "stored": store.stored_documents(d)}
     out = None
     for name, df in parts.items():

@@ -160,7 +160,7 @@ def test_vocabulary_audit(spark):
     errors = spark.createDataFrame([("err.a.b", "e", "e", ["*"]), ("bad", "e", "", ["na.zz.z"])], "error_id string, name_en string, name_zh string, skills array<string>")
     objectives = spark.createDataFrame([("CP-1.1", "non-foundation"), ("CP-9.9", "foundation")], "ref string, status string")
     got = [r.problem for r in taxonomy.audit(skills, errors, objectives).collect()]
-    for part in ("na.a.y has form 'F9'", "says strand 'na'", "needs na.q.q", "cycle through na.a.x", "cycle through na.a.y", "ms.b.z has no guide_ref", "ms.b.z is missing", "error id 'bad'", "refers to na.zz.z", "objective CP-1.2", "na.a.x is flagged foundation", "na.a.y is in the Guide"):
+    for part in ("na.a.y has form 'F9'", "says strand 'na'", "needs na.q.q", "prerequisite cycle: na.a.x -> na.a.y -> na.a.x", "ms.b.z has no guide_ref", "ms.b.z is missing", "error id 'bad'", "refers to na.zz.z", "objective CP-1.2", "na.a.x is flagged foundation", "na.a.y is in the Guide"):
         assert any(part in g for g in got), part
     assert [r.ref for r in taxonomy.uncovered_objectives(objectives, skills).collect()] == ["CP-9.9"]
     fixed = taxonomy.repair_skill_ids(spark.createDataFrame([(["ms.a.x", "na.a.x", "q"],)], "atomic_skills array<string>"), skills)
@@ -183,11 +183,7 @@ def test_store(spark, load, tmp_path):
     latest, _ = archive.read_archive(spark, f"{tmp_path}/out/latest")
     rows = store.archive_rows(good).first()
     assert [q.question_key for q in rows.document.questions] == ["a" * 12 + ":1", None] and rows.latest == "F4-p-" + "a" * 12
-    runs = spark.createDataFrame([("r1", 1), ("r2", 2)], "run_id string, v int")
-    store.append_new(runs, f"{tmp_path}/runs", "run_id")
     assert latest.count() == 1
-    store.append_new(runs, f"{tmp_path}/runs", "run_id")
-    assert spark.read.parquet(f"{tmp_path}/runs").count() == 2
     files = spark.createDataFrame([("i/a/x.pdf", "x.pdf", False), ("i/b/x.pdf", "x.pdf", False), ("i/c/x.pdf", "x.pdf", True)], "path string, name string, bad boolean")
     assert sorted(r.destination for r in store.route(files, F.col("bad")).collect()) == ["failed/x.pdf", "processed/x-2.pdf", "processed/x.pdf"]
 
@@ -218,10 +214,12 @@ def test_models(spark):
 
 
 def test_reports(spark):
-    df = spark.createDataFrame([("a.pdf", "ok", 3), ("b.pdf", "failed", 0)], "file string, status string, questions int")
-    text = reports.batch_report(df)
-    assert "| failed | 1 | 0 |" in text and "| a.pdf | ok | 3 |" in text
-    assert [reports.duration(s) for s in (38, 1872)] == ["38s", "31m12s"]
+    df = spark.createDataFrame([("b", "a.pdf", "ok", 3), ("b", "x|y\n.pdf", "failed", None), ("c", "d.pdf", "ok", 1)], "batch string, file string, status string, questions int")
+    got = {r.batch: r.report for r in reports.batch_reports(df).collect()}
+    assert got["b"] == "# Batch\n| Status | Files | Questions |\n| --- | --- | --- |\n| failed | 1 |  |\n| ok | 1 | 3 |\n\n## Files\n| File | Status | Questions |\n| --- | --- | --- |\n| a.pdf | ok | 3 |\n| x y .pdf | failed |  |"
+    assert set(got) == {"b", "c"}
+    seconds = spark.createDataFrame([(38.0,), (1872.0,)], "s double")
+    assert [r[0] for r in seconds.select(reports.duration(F.col("s"))).collect()] == ["38s", "31m12s"]
 
 
 def test_verdicts(spark):

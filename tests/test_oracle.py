@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from tallyquill.plans.catalogue import ORACLE, QUERIES
+from tests.cases import analysis_cases, fixture_cases, registry  # noqa: F401  cases register themselves
 
 SCALES = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,10 +37,19 @@ def rows(columns, data):
 @pytest.mark.parametrize("sf", SCALES, ids=lambda sf: sf.rsplit("/", 1)[1])
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name, sf):
-    df = QUERIES[name](spark, sf)
+    compare(spark, duck, QUERIES[name], ORACLE.get(name), sf)
+
+
+@pytest.mark.parametrize("name", sorted(registry.CASES))
+def test_case(spark, duck, name):
+    compare(spark, duck, registry.CASES[name], registry.ORACLE.get(name), SCALES[0])
+
+
+def compare(spark, duck, query, sql, sf):
+    df = query(spark, sf)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
-    if name in ORACLE:
-        cur = duck[sf].execute(ORACLE[name])
+    if sql is not None:
+        cur = duck[sf].execute(sql)
         columns = [d[0] for d in cur.description]
         want = rows(columns, cur.fetchall())
         assert sorted(df.columns) == sorted(columns)
