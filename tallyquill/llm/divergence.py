@@ -148,7 +148,7 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int =
     rows = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty("text").alias("text"))
     shard = F.pmod(F.xxhash64("lang", "term"), F.lit(shards)).cast("int").alias("shard")
     counts = rows.mapInArrow(_counts, COUNTS).select(shard, "lang", "source", "term", "n", "docs")
-    kept = written(counts.repartition(shards, "shard").mapInArrow(_kept(least_docs), "shard int, lang string, source string, term string, n long"), "kept-terms")
+    kept = written(counts.repartitionById(shards, "shard").mapInArrow(_kept(least_docs), "shard int, lang string, source string, term string, n long"), "kept-terms")
 
     sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     vocabulary = kept.groupBy("lang", "term").agg(F.lit(1).alias("one")).groupBy("lang").agg(F.count("one").alias("terms"))
@@ -157,7 +157,7 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int =
 
     at = kept.select("shard", "lang").distinct()
     copies = groups.join(at, "lang").select("shard", "lang", "source", F.lit(None).cast("string").alias("term"), "n", "terms")
-    dealt = kept.withColumn("terms", F.lit(0).cast("long")).unionByName(copies).repartition(shards, "shard")
+    dealt = kept.withColumn("terms", F.lit(0).cast("long")).unionByName(copies).repartitionById(shards, "shard")
     partial = written(dealt.mapInArrow(_partial(top), "lang string, source string, part string, item string, value long"), "partial")
 
     one = partial.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
