@@ -13,7 +13,7 @@ from tallyquill.sources.shared import fresh_dir
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey"
 
 
-@query(f"""WITH q AS (SELECT l_orderkey AS doc, count(*) AS n, string_agg('| ' || l_partkey || ' | ' || CAST(l_quantity AS INT) || ' | ' || CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END || ' |', chr(10) ORDER BY {LINE_ORDER}) AS lines FROM lineitem GROUP BY 1),
+@query(f"""WITH q AS (SELECT l_orderkey AS doc, count(*) AS n, string_agg(line, chr(10) ORDER BY {LINE_ORDER}, line) AS lines FROM (SELECT *, '| ' || l_partkey || ' | ' || CAST(l_quantity AS INT) || ' | ' || CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END || ' |' AS line FROM lineitem) GROUP BY 1),
 i AS (SELECT l_orderkey AS doc, string_agg('| ' || s || ' | ' || c || ' | ' || l_partkey || ' |  |', chr(10) ORDER BY r, c, CAST(l_partkey AS VARCHAR)) AS lines FROM
  (SELECT *, CASE WHEN l_quantity > 45 THEN 'high' ELSE 'low' END AS s, CASE WHEN l_quantity > 45 THEN 1 ELSE 3 END AS r, CASE WHEN l_quantity > 45 THEN 'MARKS_INVALID' ELSE 'MARKS_MISSING' END AS c FROM lineitem WHERE l_quantity > 45 OR l_quantity < 3) GROUP BY 1)
 SELECT o_orderkey AS doc, '# paper ' || o_orderkey || chr(10) || '- level: ' || o_orderstatus || chr(10) || '- questions: ' || coalesce(n, 0)
