@@ -36,6 +36,27 @@ def check_payload(questions: DataFrame, analyses: DataFrame) -> DataFrame:
     return lost.unionByName(strange).unionByName(again)
 
 
+def with_vocabulary(a: DataFrame, skills: DataFrame, errors: DataFrame, fits: DataFrame) -> DataFrame:
+    """a (all_skills, possible_errors) with what the vocabularies say of each row's own ids: known (skill to unit
+    and strand), error_ids and fits ('skill|error'). Ids are looked up by key, once for each distinct list."""
+
+    def told(columns: list[str], found: DataFrame, value: Column, name: str) -> DataFrame:
+        keys = [F.col(c).alias(f"__{c}") for c in columns]
+        return found.groupBy(*keys).agg(value.alias(name))
+
+    def back(rows: DataFrame, columns: list[str], found: DataFrame) -> DataFrame:
+        return rows.join(found, reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__{c}") for c in columns]), "left").drop(*(f"__{c}" for c in columns))
+
+    one = skills.groupBy("skill_id").agg(F.max(F.struct("unit", "strand")).alias("about"))
+    s, e = a.select("all_skills").distinct().withColumn("skill_id", F.explode("all_skills")), a.select("possible_errors").distinct().withColumn("error_id", F.explode("possible_errors"))
+    both = a.select("all_skills", "possible_errors").distinct().withColumn("skill_id", F.explode("all_skills")).withColumn("error_id", F.explode("possible_errors"))  # of one question
+    out = back(a, ["all_skills"], told(["all_skills"], s.join(one, "skill_id"), F.map_from_entries(F.collect_set(F.struct("skill_id", "about"))), "known"))
+    out = back(out, ["possible_errors"], told(["possible_errors"], e.join(errors.select("error_id").distinct(), "error_id"), F.collect_set("error_id"), "error_ids"))
+    out = back(out, ["all_skills", "possible_errors"], told(["all_skills", "possible_errors"], both.join(fits.select("skill_id", "error_id").distinct(), ["skill_id", "error_id"]), F.collect_set(F.concat_ws("|", "skill_id", "error_id")), "fits"))
+    none = F.expr("cast(array() as array<string>)")
+    return out.withColumns({"known": F.coalesce("known", F.expr("cast(map() as map<string,struct<unit:string,strand:string>>)")), "error_ids": F.coalesce("error_ids", none), "fits": F.coalesce("fits", none)})
+
+
 def validate_analyses(analyses: DataFrame, skills: DataFrame, errors: DataFrame, fits: DataFrame, module: str | None = None) -> DataFrame:
     """Issues of analyses (one row a question, question_text included) against the vocabularies.
 
@@ -43,11 +64,8 @@ def validate_analyses(analyses: DataFrame, skills: DataFrame, errors: DataFrame,
     A question without strategies gets that issue alone.
     """
     wanted = [*X.COMPULSORY_STRANDS, *(s for s, m in X.MODULE_STRANDS.items() if m == module)]
-    known = skills.agg(F.map_from_entries(F.collect_list(F.struct("skill_id", F.struct("unit", "strand")))).alias("known"))
-    patterns = errors.agg(F.collect_set("error_id").alias("error_ids"))
-    fitting = fits.agg(F.collect_set(F.concat_ws("|", "skill_id", "error_id")).alias("fits"))
-    a = analyses.crossJoin(F.broadcast(known)).crossJoin(F.broadcast(patterns)).crossJoin(F.broadcast(fitting))  # one row each: vocabularies of a fixed size
-    a = a.withColumn("main", primary(F.col("strategies"))).withColumn("all_skills", F.array_distinct(F.concat("atomic_skills", F.flatten(F.transform("strategies", lambda s: s["skills"])))))
+    a = analyses.withColumn("main", primary(F.col("strategies"))).withColumn("all_skills", F.array_distinct(F.concat("atomic_skills", F.flatten(F.transform("strategies", lambda s: s["skills"])))))
+    a = with_vocabulary(a, skills, errors, fits)
     qid = F.col("source_question_id")
     has = F.size("strategies") > 0
     listed = F.filter("atomic_skills", lambda s: F.map_contains_key("known", s))

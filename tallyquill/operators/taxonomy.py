@@ -89,11 +89,14 @@ def unique_suffix(wrong: DataFrame, skills: DataFrame) -> DataFrame:
 
 
 def repair_skill_ids(analyses: DataFrame, skills: DataFrame, column: str = "atomic_skills") -> DataFrame:
-    """Wrong ids replaced by their unique match, repeats dropped, the first kept."""
-    wrong = analyses.select(F.explode(column).alias("wrong"))
-    fix = unique_suffix(wrong, skills).agg(F.map_from_entries(F.collect_list(F.struct("wrong", "skill_id"))).alias("__fix"))
-    out = analyses.crossJoin(F.broadcast(fix))  # one row, no longer than the vocabulary
-    return out.withColumn(column, F.array_distinct(F.transform(column, lambda s: F.coalesce(F.try_element_at("__fix", s), s)))).drop("__fix")
+    """Wrong ids replaced by their unique match, repeats dropped, the first kept. Each distinct list is mended once,
+    its ids joined with the fixes by key, and joined back to the rows that hold it."""
+    lists = analyses.select(F.col(column).alias("__list")).distinct()
+    each = lists.select("__list", F.posexplode("__list").alias("__at", "wrong"))
+    fixed = each.join(unique_suffix(each.select("wrong"), skills), "wrong", "left")
+    fixed = fixed.groupBy("__list").agg(F.array_sort(F.collect_list(F.struct("__at", F.coalesce("skill_id", "wrong").alias("id")))).alias("__new"))
+    out = analyses.join(fixed, F.col(column) == F.col("__list"), "left")
+    return out.withColumn(column, F.when(F.col("__new").isNull(), F.col(column)).otherwise(F.array_distinct(F.transform("__new", lambda x: x["id"])))).drop("__list", "__new")
 
 
 def skills_for_module(skills: DataFrame, module: str | None) -> DataFrame:

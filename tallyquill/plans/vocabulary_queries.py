@@ -100,3 +100,15 @@ def unique_suffix_match(spark, sf_dir):
     known = part.select(F.concat_ws(".", F.lower("p_type"), F.lower(F.translate("p_brand", "#", "-")), F.concat(F.lit("s"), F.col("p_partkey") % 499)).alias("skill_id")).distinct()
     wrong = known.select(F.concat(F.lit("zz."), F.expr("substring_index(skill_id, '.', -2)")).alias("wrong"))
     return taxonomy.unique_suffix(wrong, known)
+
+
+@query(f"""WITH k AS {TAILED_SQL}, t AS (SELECT substr(skill_id, instr(skill_id, '.')) AS tail, count(*) AS n FROM k GROUP BY 1),
+p AS (SELECT p_partkey, lower(p_type) || '.' || lower(replace(p_brand, '#', '-')) || '.s' || (p_partkey % 499) AS skill_id FROM part)
+SELECT p_partkey, CASE WHEN n = 1 THEN skill_id ELSE skill_id || ',zz' || tail END AS skills FROM p JOIN t ON tail = substr(skill_id, instr(skill_id, '.'))""")
+def repaired_part_ids(spark, sf_dir):
+    """Each part's skill, listed twice and once under a wrong strand, which is mended where unit and slug are one skill's."""
+    skill = F.concat_ws(".", F.lower("p_type"), F.lower(F.translate("p_brand", "#", "-")), F.concat(F.lit("s"), F.col("p_partkey") % 499))
+    rows = read(spark, sf_dir, "part").select("p_partkey", skill.alias("skill_id"))
+    wrong = F.concat(F.lit("zz."), F.expr("substring_index(skill_id, '.', -2)"))
+    listed = rows.select("p_partkey", F.array("skill_id", wrong, "skill_id").alias("atomic_skills"))
+    return taxonomy.repair_skill_ids(listed, rows.select("skill_id").distinct()).select("p_partkey", F.array_join("atomic_skills", ",").alias("skills"))
