@@ -9,9 +9,9 @@ from pyspark.sql.types import StructType
 
 from tallyquill.functions import fixed as X
 from tallyquill.functions import names as N
-from tallyquill.operators import rules
+from tallyquill.operators import ingest, repairs, rules
 from tallyquill.plans.registry import query, read
-from tallyquill.sources.archive import QUESTION, REGION
+from tallyquill.sources.archive import ARCHIVE, QUESTION, REGION
 
 KIND_SQL = "(conv_id * 7 + turn * 5) % 26"
 LINE = "chr(10)"
@@ -20,10 +20,10 @@ FIELDS = {
     "source_question_id": f"CASE WHEN conv_id % 9 = 4 THEN '3(' || chr(CAST(97 + turn AS INT)) || ')' WHEN {KIND_SQL} = 0 THEN ' ' WHEN {KIND_SQL} = 1 THEN '1' ELSE CAST(turn + 1 AS STRING) END",
     "page_start": f"CAST(CASE {KIND_SQL} WHEN 12 THEN 0 WHEN 13 THEN 3 ELSE turn % 3 + 1 END AS INT)",
     "page_end": f"CAST(CASE {KIND_SQL} WHEN 13 THEN 2 WHEN 14 THEN 50 ELSE turn % 3 + 1 END AS INT)",
-    "question_text": f"""CASE WHEN conv_id % 9 = 4 THEN 'Read it all。 What is said in turn 0 of it？What is said in turn ' || turn || ' of it？' WHEN {KIND_SQL} = 2 THEN ' ' ELSE text || CASE {KIND_SQL}
+    "question_text": f"""CASE WHEN conv_id % 9 = 4 THEN 'Read it all。 What is said in turn 0 of it？What is said in turn ' || turn || ' of it？' || CASE turn WHEN 2 THEN 'It follows by part (b)。' WHEN 3 THEN 'Hence say more。' ELSE '' END WHEN {KIND_SQL} = 2 THEN ' ' ELSE text || CASE {KIND_SQL}
  WHEN 3 THEN ' ' || chr(92) || 'alpha x_{{10}} ' || chr(92) || '(' || chr(92) || 'beta' || chr(92) || ')' WHEN 4 THEN chr(12) || 'rac' || chr(8) || 'eta' || chr(12)
  WHEN 5 THEN {LINE} || 'A. x' || {LINE} || 'B. y' || {LINE} || 'C. z' WHEN 6 THEN {LINE} || '| a | b |' || {LINE} || '| c | d |' WHEN 7 THEN {LINE} || '| a | b |' || {LINE} || '| --- | --- |' || {LINE} || '| c | d | e |'
- WHEN 8 THEN {LINE} || 'It is said again。It is said again。' WHEN 9 THEN ' with x2 and y3 of Q1' WHEN 10 THEN ' Hence find it' WHEN 11 THEN ' using part (b) - - - – – –' WHEN 24 THEN ' − − −' ELSE '' END END""",
+ WHEN 8 THEN {LINE} || 'It is said again。It is said again。' WHEN 9 THEN ' with x2 and y3 of Q1' WHEN 10 THEN ' Hence find it' WHEN 11 THEN ' using part (b) - - - – – –' WHEN 24 THEN ' − − −' WHEN 25 THEN {LINE} || '  ' || chr(92) || 'frac{{1}}{{2}}' || {LINE} || '= y' ELSE '' END END""",
     "question_type": f"CASE WHEN {KIND_SQL} IN (19, 20) THEN 'multiple_choice' ELSE 'short_answer' END",
     "marks": f"CAST(CASE WHEN conv_id % 4 = 0 OR {KIND_SQL} IN (16, 17) THEN NULL WHEN {KIND_SQL} = 15 THEN -1 ELSE 2 END AS DOUBLE)",
     "group_marks": f"CAST(CASE WHEN {KIND_SQL} = 17 THEN 3 END AS DOUBLE)",
@@ -122,9 +122,26 @@ RULE_SQL = "\nUNION ALL ".join([
     "SELECT doc, 'ANSWER_NOT_IN_MARKING_SCHEME', 'low', 'Question 1 has no answer even after attaching its marking scheme.', '1' FROM d WHERE conv_id % 8 = 0",
     "SELECT doc, 'MARKING_SCHEME_UNUSED', 'medium', 'Nothing in the marking scheme matched a question number in this paper.', NULL FROM d WHERE conv_id % 8 = 0",
 ])
-ISSUES_SQL = rf"""WITH c AS (SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS doc, {DOC_SQL['page_count']} AS page_count, {', '.join(f'{s} AS {n}' for n, s in FIELDS.items())},
+RAW_SQL = rf"""WITH raw AS (SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS doc, {DOC_SQL['page_count']} AS page_count, {', '.join(f'{s} AS {n}' for n, s in FIELDS.items())},
   CASE {KIND_SQL} {' '.join(f"WHEN {k} THEN [{FIELDS['source_question_id'] if t == 'own' else repr(t)}]" for k, t in DEPENDS.items())} ELSE [] END AS depends_on, {HAS_PICTURE} AS picture, CASE {KIND_SQL} WHEN 20 THEN 2 ELSE 0 END AS n_options
-  FROM conversations WHERE NOT ({LOST_QUESTIONS})),
+  FROM conversations WHERE NOT ({LOST_QUESTIONS}))"""
+BARE = r"""regexp_matches(x, '\S') AND NOT regexp_matches(x, '[\x{3000}-\x{9fff}\x{ff00}-\x{ffef}]|\\\(|\\\)|\$') AND regexp_matches(x, '\\[a-zA-Z]{2,}|[\^_]\{[^}\n]{1,30}\}')"""
+REPAIRED_SQL = RAW_SQL + rf""",
+stray AS (SELECT doc FROM raw WHERE starts_with(question_text, 'Read it all。 What is said in turn 0 of it？') GROUP BY doc HAVING count(*) >= 2 AND bool_or(turn = 0)),
+one AS (SELECT *, doc IN (FROM stray) AS was_stray, CASE WHEN doc IN (FROM stray) THEN replace(question_text, ' What is said in turn 0 of it？What', 'What') ELSE question_text END AS t1 FROM raw),
+two AS (SELECT *, string_split(replace(replace(t1, chr(8), chr(92) || 'b'), chr(12), chr(92) || 'f'), chr(10)) AS l2 FROM one),
+three AS (SELECT *, array_to_string(list_transform(l2, lambda x: CASE WHEN {BARE} THEN regexp_extract(x, '^(\s*)', 1) || '\( ' || regexp_replace(x, '^\s+|\s+$', '', 'g') || ' \)' ELSE x END), chr(10)) AS t3, len(list_filter(l2, lambda x: {BARE})) AS wrapped,
+  nullif(regexp_extract(source_question_id, '^(.+?)\s*\([^()]*\)\s*$', 1), '') AS parent, list(source_question_id) OVER (PARTITION BY doc) AS ids FROM two),
+four AS (SELECT *, list_filter(list_transform(regexp_extract_all(t3, '{REFERENCE_SQL}', 1), lambda x: split_part(source_question_id, '(', 1) || '(' || x || ')'), lambda x: x <> source_question_id AND list_contains(ids, x)) AS named,
+  CASE WHEN parent IS NOT NULL AND regexp_matches(t3, '(^|[^A-Za-z])Hence([^A-Za-z]|$)|由此') THEN lag(source_question_id) OVER (PARTITION BY doc, parent ORDER BY turn) END AS earlier FROM three),
+five AS (SELECT *, CASE WHEN len(depends_on) > 0 THEN NULL WHEN len(named) > 0 THEN named WHEN earlier IS NOT NULL THEN [earlier] END AS filled FROM four),
+fixed AS (SELECT * EXCLUDE (question_text, depends_on, parent), t3 AS question_text, coalesce(filled, depends_on) AS depends_on, list_filter([
+  CASE WHEN was_stray THEN 'Repaired: removed ''What is said in turn 0 of it'' from the stem shared by question 3; it is 3(a)''s own question.' END,
+  CASE WHEN contains(t1, chr(8)) THEN 'Repaired: restored ' || (length(t1) - length(replace(t1, chr(8), ''))) || ' unescaped backslash(es) before ''b''.' END,
+  CASE WHEN contains(t1, chr(12)) THEN 'Repaired: restored ' || (length(t1) - length(replace(t1, chr(12), ''))) || ' unescaped backslash(es) before ''f''.' END,
+  CASE WHEN wrapped > 0 THEN 'Repaired: wrapped ' || wrapped || ' displayed formula(s) in \( \).' END,
+  CASE WHEN filled IS NOT NULL THEN 'depends_on filled from the text (' || CASE WHEN len(named) > 0 THEN 'named in the text' ELSE '''Hence'' / ''由此'' refers to the part before' END || '): ' || array_to_string(filled, ', ') END], lambda x: x IS NOT NULL) AS notes FROM five)"""
+FOUND_SQL = rf"""
 lines AS (SELECT doc, turn, unnest(string_split(question_text, chr(10))) AS line, generate_subscripts(string_split(question_text, chr(10)), 1) AS i FROM c),
 piped AS (SELECT *, i - row_number() OVER (PARTITION BY doc, turn ORDER BY i) AS g, length(line) - length(replace(line, '|', '')) AS pipes FROM lines WHERE contains(line, '|')),
 blocks AS (SELECT doc, turn, g, count(DISTINCT pipes) = 1 AS steady, bool_or(regexp_matches(line, '^\|( *-+ *\|)+$')) AS sep, max(pipes) - min(pipes) AS uneven FROM piped GROUP BY ALL HAVING count(*) >= 2),
@@ -141,6 +158,8 @@ asked AS (SELECT doc, source_question_id, unnest(depends_on) AS target FROM q),
 d AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS doc, count(*) FILTER (WHERE NOT ({LOST_QUESTIONS})) AS n, {', '.join(f'{s} AS {n}' for n, s in DOC_SQL.items())}, CASE conv_id % 5 WHEN 0 THEN 'F4' WHEN 1 THEN 'F5' WHEN 2 THEN 'F6' END AS name_level,
   CASE conv_id % 3 WHEN 0 THEN 'F5' WHEN 2 THEN 'F4' END AS paper_level, CASE WHEN conv_id % 5 = 1 THEN 'M1' END AS name_module, CASE conv_id % 7 WHEN 0 THEN 'M2' WHEN 1 THEN 'M1' END AS paper_module FROM conversations GROUP BY conv_id),
 issues AS ({RULE_SQL})"""
+ISSUES_SQL = RAW_SQL + ", c AS (FROM raw)," + FOUND_SQL
+INGESTED_SQL = REPAIRED_SQL + ", c AS (SELECT conv_id, turn, doc, page_count, " + ", ".join(FIELDS) + ", depends_on, picture, n_options FROM fixed)," + FOUND_SQL
 
 
 @query(ISSUES_SQL + " SELECT * FROM issues")
@@ -153,3 +172,43 @@ def validated_papers(spark, sf_dir):
 def blocked_papers(spark, sf_dir):
     """Papers with issues, and whether one of them blocks."""
     return rules.blocking(rules.validate_extraction(papers(spark, sf_dir)))
+
+
+@query(REPAIRED_SQL + " SELECT doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY turn) - 1 AS INT) AS position, source_question_id, question_text, array_to_string(depends_on, ',') AS depends_on, array_to_string(notes, ' | ') AS notes FROM fixed")
+def repaired_papers(spark, sf_dir):
+    """All repairs over all papers: texts, dependencies and the notes of what was changed."""
+    q = papers(spark, sf_dir).select("doc", F.posexplode("questions").alias("position", "q")).select("doc", "position", "q.*")
+    done = repairs.repaired(q.withColumn("extraction_notes", F.expr("cast(array() as array<string>)")))
+    return done.select("doc", "position", "source_question_id", "question_text", F.array_join("depends_on", ",").alias("depends_on"), F.array_join("extraction_notes", " | ").alias("notes"))
+
+
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers as the results of an extraction, before the chain."""
+    kinds = StructType.fromDDL(ARCHIVE)
+    p, none = papers(spark, sf_dir), F.expr("cast(array() as array<string>)")
+    noted = F.transform("questions", lambda q: q.withField("extraction_notes", none))
+    source = {"file_name": F.col("file_name"), "sha256": F.sha2("doc", 256), "page_count": F.col("page_count")}
+    scheme = {n: F.col("marking_scheme")[n] for n in ("matched", "unmatched_scheme_ids", "questions_without_answer")}
+
+    def struct(fields: dict, kind: StructType):
+        return F.struct(*(fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind))
+
+    document = {n: F.col(n) for n in p.columns if n not in ("doc", "marking_scheme")} | {"questions": noted}
+    document["marking_scheme"] = F.when(F.col("marking_scheme").isNotNull(), struct(scheme, kinds["document"].dataType["marking_scheme"].dataType))
+    made = {"source": struct(source, kinds["source"].dataType), "document": struct(document, kinds["document"].dataType), "run": F.lit(None).cast(kinds["run"].dataType)}
+    return p.select(*(made.get(f.name, F.expr(f"cast(array() as {f.dataType.simpleString()})")).alias(f.name) for f in kinds))
+
+
+@query(INGESTED_SQL + " SELECT substr(sha256(doc), 1, 12) AS paper, issue_code, severity, message, source_question_id FROM issues")
+def ingested_papers(spark, sf_dir):
+    """What is left to report after the chain has repaired all papers."""
+    done = ingest.ingested(results(spark, sf_dir))
+    return done.select(N.paper_key(F.col("source.sha256")).alias("paper"), F.explode("issues").alias("i")).select("paper", "i.*")
+
+
+@query(INGESTED_SQL + """, n AS (SELECT doc, count(*) AS issues, bool_or(severity = 'critical') AS blocking FROM issues GROUP BY doc)
+SELECT CASE WHEN blocking THEN 'failed' ELSE 'ok' END AS status, count(*) AS papers, CAST(sum(d.n) AS BIGINT) AS questions, CAST(sum(coalesce(issues, 0)) AS BIGINT) AS issues FROM d LEFT JOIN n USING (doc) GROUP BY ALL""")
+def ingest_outcomes(spark, sf_dir):
+    """Papers, questions and issues of the chain by status."""
+    done = ingest.outcomes(ingest.ingested(results(spark, sf_dir)))
+    return done.groupBy("status").agg(F.count(F.lit(1)).alias("papers"), F.sum("questions").alias("questions"), F.sum("issues").alias("issues"))
