@@ -10,6 +10,7 @@ from tallyquill.functions import names as N
 from tallyquill.operators import compare, repairs, rules
 from tallyquill.sources.archive import QUESTION, questions_of
 from tallyquill.sources.rows import is_blocking
+from tallyquill.sources.shared import stored
 
 ANSWER_COLUMNS = ("answer", "worked_solution", "marks")
 
@@ -57,7 +58,7 @@ def ingested(results: DataFrame, scheme: DataFrame | None = None, scheme_files:
     scheme: doc, ordinal and the fields of its entries; scheme_files: doc, file_name, sha256, page_count.
     """
     q = questions_of(results)
-    fixed = repairs.repaired(q)
+    fixed = stored(repairs.repaired(q), "repaired")
     lines = repair_lines(q, fixed)
     out = results
     if scheme is not None:
@@ -67,7 +68,7 @@ def ingested(results: DataFrame, scheme: DataFrame | None = None, scheme_files:
         reports = attach_reports(fixed, scheme, scheme_files)
         out = out.withColumn("doc", _doc()).join(reports, "doc", "left").withColumn("document", F.when(F.col("scheme").isNotNull(), F.col("document").withField("marking_scheme", F.col("scheme"))).otherwise(F.col("document"))).drop("doc", "scheme")
     out = _nested(out, fixed).join(lines, "doc", "left").withColumn("repairs", F.coalesce("lines", "repairs")).drop("lines")
-    return with_issues(out)
+    return with_issues(stored(out, "papers"))
 
 
 def with_issues(results: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyquill.functions import fixed as X
 from tallyquill.functions import names as N
 from tallyquill.functions import texts as T
+from tallyquill.sources.shared import stored
 
 ISSUE = "doc string, issue_code string, severity string, message string, source_question_id string, ordinal int"
 
@@ -161,11 +162,12 @@ def minus_rule(questions: DataFrame) -> DataFrame:
 def validate_extraction(documents: DataFrame) -> DataFrame:
     """All issues of documents with nested questions (column ``questions``), severest first per document.
 
-    documents: doc, file_name, page_count, level, level_text, module_text, marking_scheme, questions.
+    documents: doc, file_name, page_count, level, level_text, module_text, marking_scheme, questions. They are
+    stored first, since every rule reads them: what they are made of runs once.
     """
     from tallyquill.operators.repairs import stem_contamination
 
-    docs = documents.withColumn("n_questions", F.size("questions"))
+    docs = stored(documents, "validated").withColumn("n_questions", F.size("questions"))
     questions = docs.select("doc", "page_count", F.posexplode("questions").alias("position", "q")).select("doc", "page_count", "position", "q.*")
     stems = stem_contamination(questions)
     stems = stems.select("doc", F.explode("question_ids").alias("source_question_id"), "parent", "removed", "owner")
