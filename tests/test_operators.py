@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyquill.functions.alignment import shown
 from tallyquill.operators import compare, models, repairs, reports, rules, solving, stats, taxonomy
 from tallyquill.sources import archive, store
 
@@ -94,8 +95,8 @@ def test_stem_repair_and_dependencies(spark, load):
 
 
 def test_text_moves():
-    assert compare.moved("abcdefghijklmnop", "abcdefgXhijklmnop", 3) == "…efg{+X+}hij…"
-    assert compare.moved("same", "same", 3) == "" and compare.moved("old", "new", 2) == "[-old-]{+new+}"
+    assert shown("abcdefghijklmnop", "abcdefgXhijklmnop", 3) == "…efg{+X+}hij…"
+    assert shown("same", "same", 3) == "" and shown("old", "new", 2) == "[-old-]{+new+}"
 
 
 def test_gold_scores(spark):
