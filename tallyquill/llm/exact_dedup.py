@@ -5,14 +5,15 @@ for equal texts: within each map task (Spark's partial aggregate: "local"), with
 and over the winners of the salts. A group of copies of any size thus reaches a reducer as at most one
 row per map task and salt, and the last combine as at most ``salts`` rows.
 
-The rows learn their group by a join on the SHA-256 alone, small columns only: groups that hold more than
-a thousandth of all rows, of which there are fewer than a thousand, are broadcast, so that no task gets all
-rows of a large group. Should two texts ever share a digest the query stops with an error rather than joining them.
+The rows are numbered once, in a written table of small columns, and learn their group by a join on the
+SHA-256 alone: groups that hold more than a thousandth of all rows, of which there are fewer than a thousand,
+are broadcast, and their rows dealt by number, so that no task gets all rows of a large group, repeated or null
+ids among them. Which row of an id stays is a maximum over numbers, combined where the rows are. Should two texts ever share a digest the query stops with an error rather than joining them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyquill.llm.common import HOT_KEYS, join_hot, text_or_empty, written
@@ -30,19 +31,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("t"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("t", 256)))
+    ids = written(rows.select("doc_id", "digest", F.monotonically_increasing_id().alias("row")), "ids")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts))
     salted = rows.groupBy("digest", "t", salt.alias("salt")).agg(F.max("doc_id").alias("keep"), F.count(F.lit(1)).alias("n"))
     classes = salted.groupBy("digest", "t").agg(F.max("keep").alias("keep"), F.sum("n").alias("n"))
     groups = classes.groupBy("digest").agg(F.max("keep").alias("keep_id"), F.sum("n").alias("group_size"), F.count(F.lit(1)).alias("texts"))
     groups = groups.select("digest", "keep_id", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256"))).cast("long").alias("group_size"))
-    repeats = Window.partitionBy("doc_id", "digest").orderBy(F.lit(0))
-    ids = rows.select("doc_id", "digest").withColumn("nth", F.row_number().over(repeats))
-    groups = written(groups, "groups")
-    hot = groups.where(F.col("group_size") * HOT_KEYS > docs.count())
-    return join_hot(ids, groups, hot, ["digest"], "doc_id").select(
+    stays = ids.groupBy("digest").agg(F.max(F.struct("doc_id", "row"))["row"].alias("keep_row"))
+    groups = written(groups.join(stays, "digest"), "groups")
+    hot = groups.where(F.col("group_size") * HOT_KEYS > ids.count())
+    return join_hot(ids, groups, hot, ["digest"], "row").select(
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
+        (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )

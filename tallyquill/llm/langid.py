@@ -103,13 +103,12 @@ def fuse(pages: DataFrame, langs: list[str]) -> DataFrame:
     k = len(langs)
     e = F.transform("ll", lambda x: F.exp(x))
     rows = pages.withColumn("e", e).withColumn("q", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, b: a + b))).drop("e")
-
-    seen = rows
+    seen, rows = rows, rows.withColumn("row", F.monotonically_increasing_id())
 
     def with_sums(df: DataFrame, key: str, n: int) -> DataFrame:
         """df with the sums over the pages of its key; a host or code of a large share of the pages meets in no task."""
         s = seen.groupBy(key).agg(F.array(*(F.sum(F.col("q")[i]) for i in range(k))).alias(f"s_{key}"), F.count(F.lit(1)).alias("n"))
-        return join_hot(df, s.drop("n"), s.where(F.col("n") * HOT_KEYS > n).drop("n"), [key], "url")
+        return join_hot(df, s.drop("n"), s.where(F.col("n") * HOT_KEYS > n).drop("n"), [key], "row")
 
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.array(*(F.coalesce(F.sum(F.col("q")[i]), F.lit(0.0)) for i in range(k))).alias("s"), F.countDistinct("decl").alias("d"), F.countDistinct("suffix").alias("x"), F.countDistinct("code").alias("c")).first()
     all_pages = F.array(*(F.lit(float(x)) for x in total.s))

@@ -75,3 +75,13 @@ def test_more_languages_than_a_few_dozen(spark):
     texts = [f"{x}{x}um {x}o{x} qu{x}l {x}is{x}" * 3 for x in names]
     langs, table = fit_text(spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(zip(texts, names, strict=True))], "doc_id long, text string, lang string"))
     assert langs == names and [langs[table[trigrams(t)].mean(0).argmax()] for t in texts] == names
+
+
+def test_pages_without_address_are_dealt(spark):
+    """A third of all pages have no url and so one nameless host: no task joins all of them with its sums."""
+    from tests.llm.test_exact_dedup import largest_share
+
+    rows = spark.range(6_000, numPartitions=4).selectExpr("id AS page_id", "if(id % 3 = 0, '', concat('http://h', id, '.example/x')) AS url", "'' AS decl", "array(-1.0 - id % 2, -2.0D) AS ll")
+    rows = rows.selectExpr("page_id", "url", "decl", "cast(ll AS array<double>) AS ll").select("*", *(c.alias(n) for n, c in address(F.col("url")).items()))
+    got = fuse(rows, ["a", "b"])
+    assert got.count() == 6_000 and largest_share(spark, got) < 0.5
