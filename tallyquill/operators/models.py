@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyquill.sources.shared import stored
+
 RETRYABLE = frozenset({408, 429, 500, 502, 503, 504})
 ATTEMPTS, LEAST_WAIT, MOST_WAIT = 4, 2.0, 30.0
 
@@ -54,26 +57,53 @@ def with_retry(call: Callable[[], str], sleep: Callable[[float], None] = time.sl
     raise AssertionError
 
 
-def call_model(prompts: DataFrame, make_client: Callable[[], ModelClient]) -> DataFrame:
-    """prompts (id, prompt) -> id, answer, error. A failed call is a row with its error, not a failed task:
-    write the result before using it, so that a retried task does not pay for its calls again."""
+def call_model(prompts: DataFrame, make_client: Callable[[], ModelClient], at_once: int = 1) -> DataFrame:
+    """prompts (id, prompt) -> id, answer, error; each task has at most ``at_once`` calls open. A failed call is a
+    row with its error, not a failed task: write the result before using it, so that a retried task does not pay
+    for its calls again, or use ``call_once``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
-        for rows in batches:
-            answers, errors = [], []
-            for prompt in rows["prompt"]:
-                try:
-                    answers.append(with_retry(lambda p=prompt: client.generate(p)))
-                    errors.append(None)
-                except ModelError as e:
-                    answers.append(None)
-                    errors.append(str(e))
-            yield pd.DataFrame({"id": rows["id"], "answer": pd.Series(answers, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+        def ask(prompt: str) -> tuple[str | None, str | None]:
+            try:
+                return with_retry(lambda: client.generate(prompt)), None
+            except ModelError as e:
+                return None, str(e)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for rows in batches:
+                told = list(pool.map(ask, rows["prompt"]))
+                yield pd.DataFrame({"id": rows["id"], "answer": pd.Series([a for a, _ in told], dtype=object), "error": pd.Series([e for _, e in told], dtype=object)})
 
     return prompts.select("id", "prompt").mapInPandas(run, f"id {dict(prompts.dtypes)['id']}, answer string, error string")
 
 
+LEDGER = "k string, answer string, error string"
+
+
+def ledger_rows(spark: SparkSession, ledger: str) -> DataFrame:
+    """(k, answer, error) of a ledger: a row for each call that was recorded, k the prompt's SHA-256."""
+    return spark.read.schema(LEDGER).parquet(ledger)
+
+
+def call_once(prompts: DataFrame, ledger: str, make_client: Callable[[], ModelClient], batches: int = 8, at_once: int = 4) -> DataFrame:
+    """As call_model, through a ledger in the folder ``ledger``: prompts that have an answer there are not called,
+    equal prompts are called once. The rest goes in batches by the prompt's hash, each recorded before the next
+    begins, so that a run that broke off and starts again pays only for the batch it was in. Failed calls are
+    recorded too and called again by the next run. One run at a time may use a ledger."""
+    spark = prompts.sparkSession
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)
+    wanted = stored(prompts.select(F.sha2("prompt", 256).alias("id"), "prompt").dropDuplicates(["id"]), "prompts")
+    for batch in range(batches):
+        answered = ledger_rows(spark, ledger).where("answer is not null").select(F.col("k").alias("id"))
+        still = wanted.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == batch).join(answered, "id", "left_anti")
+        call_model(still, make_client, at_once).select(F.col("id").alias("k"), "answer", "error").write.mode("append").parquet(ledger)
+    known = ledger_rows(spark, ledger).groupBy("k").agg(F.max("answer").alias("answer"), F.max("error").alias("error"))
+    told = prompts.select("id", F.sha2("prompt", 256).alias("k")).join(known, "k", "left")
+    return told.select("id", "answer", F.when(F.col("answer").isNull(), F.col("error")).alias("error"))
+
+
 def replayed(prompts: DataFrame, recordings: DataFrame) -> DataFrame:
     """As call_model with a RecordedClient, from a table of recordings (k, a) of any size: k is a prompt's
     SHA-256, a its answer. A join, so that nothing is collected; of several answers of a prompt the greatest counts."""

@@ -290,6 +290,25 @@ def recorded_model_stage(spark, sf_dir):
     return out.select("id", F.col("payload.level").alias("level"), "error")
 
 
+class Lengths:
+    """A client that answers with a prompt's length."""
+
+    def generate(self, prompt: str) -> str:
+        return f'{{"n": {len(prompt)}}}'
+
+
+@query("SELECT item_id AS id, length('Rate it: ' || text) AS n, 1 AS calls FROM benchmark")
+def ledgered_model_stage(spark, sf_dir):
+    """Even items asked for first, then all of them through the same ledger: no prompt is called twice."""
+    b = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.concat(F.lit("Rate it: "), "text").alias("prompt"))
+    ledger = fresh_dir(spark, "ledger")
+    models.call_once(b.where("id % 2 = 0"), ledger, Lengths, batches=2)
+    told = models.parsed(models.call_once(b, ledger, Lengths, batches=2), "n long")
+    calls = models.ledger_rows(spark, ledger).groupBy("k").agg(F.count(F.lit(1)).alias("calls"))
+    keyed_prompts = b.select("id", F.sha2("prompt", 256).alias("k")).join(calls, "k")
+    return told.join(keyed_prompts, "id").select("id", F.col("payload.n").alias("n"), "calls")
+
+
 @query("SELECT event_id, event_type FROM events")
 def incremental_file_source(spark, sf_dir):
     """All events arrive at the inbox, every second one three times; each event is in the table once. The stream is
