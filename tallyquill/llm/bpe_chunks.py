@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyquill.llm.common import text_or_empty
+from tallyquill.llm.held import held
 from tallyquill.llm.word_bpe import _byte_of
 
 MEAN_CHUNK = 1024  # bytes between cuts
@@ -199,13 +200,8 @@ def _previous(data: bytes, at: int) -> int:
         at = p
 
 
-_kept: dict[str, ChunkBpe] = {}
-
-
 def chunk_bpe(path: str) -> ChunkBpe:
-    if path not in _kept:
-        _kept[path] = ChunkBpe(path)
-    return _kept[path]
+    return held(ChunkBpe, path)
 
 
 CODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyquill.llm.common import HOT_KEYS, join_hot, release, text_or_empty, written
 from tallyquill.llm.components import components
+from tallyquill.llm.held import let_go
 from tallyquill.llm.partenum import signatures
 from tallyquill.llm.shingles import set_digests, shingle_sets, slices
 
@@ -46,6 +47,7 @@ BUCKETS = 256
 
 def _parts(batches: Iterator[pa.RecordBatch]):
     """(ids, texts) of about a megabyte each; the columns are id and text."""
+    let_go()
     for batch in batches:
         sizes = batch.column(1).to_pandas().str.len().tolist() if batch.num_rows else []
         for a, b in slices(sizes):

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyquill.llm.common import text_or_empty
+from tallyquill.llm.held import let_go
 from tallyquill.llm.labelled import Logistic, held_out, labelled_sample
 from tallyquill.llm.shingles import _BASE, _BYTE, _INVERSE, _power, mix, slices
 
@@ -115,6 +116,7 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Toxic and clean documents of each node of (text, label) rows, summed over a slice of texts."""
+    let_go()
     for batch in batches:
         for lo, hi in slices([len(t.as_py()) for t in batch.column(0)], SLICE):
             part = batch.slice(lo, hi - lo)
@@ -170,6 +172,7 @@ def _log_odds(rows: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
 
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for lo, hi in slices([len(t.as_py()) for t in batch.column(1)], SLICE):
                 part = batch.slice(lo, hi - lo)
@@ -217,6 +220,7 @@ def _extreme_values(model: Model, rest: DataFrame) -> None:
     """Gumbel's lambda and K from the best segments of the clean documents, by moments."""
 
     def best(batches):
+        let_go()
         for batch in batches:
             for lo, hi in slices([len(t.as_py()) for t in batch.column(0)], SLICE):
                 starts, nodes = token_nodes(batch.column(0).slice(lo, hi - lo).to_pylist())
@@ -255,6 +259,7 @@ def with_scores(docs: DataFrame, model: Model, score_col: str, text_col: str = "
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(place)]
             for lo, hi in slices([len(t) for t in texts], SLICE):

@@ -17,6 +17,8 @@ import json
 import struct
 import unicodedata
 
+from tallyquill.llm.held import held
+
 END = b"\xff"
 ROOM = 500_000  # stretches kept per worker, about 100 MB
 
@@ -88,11 +90,6 @@ def lowered(s: str) -> str:
     return s.lower() if s.isascii() or "Σ" not in s else "".join(c.lower() for c in s)
 
 
-_kept: dict[str, WordBpe] = {}
-
-
 def word_bpe(path: str) -> WordBpe:
     """This worker's encoder for the file, made once."""
-    if path not in _kept:
-        _kept[path] = WordBpe(path)
-    return _kept[path]
+    return held(WordBpe, path)
