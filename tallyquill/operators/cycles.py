@@ -1,58 +1,83 @@
 """Cycles of a graph of edges (node, next): which nodes lie on one, and how one of them runs.
 
 Strongly connected components, without the closure. A round
-1. contracts chains: a node with one edge in and one out is jumped over, by pointers that double their reach, so
-   a chain of any length is one edge after a logarithmic number of steps, and a bare ring shows as what never ends;
+1. contracts: a node with one edge out is taken for the node that this edge leads to, by pointers that double
+   their reach, so a chain or a tree of any depth is one node after a logarithmic number of steps, and a bare ring
+   shows as what never ends; then likewise a node with one edge in, for where it comes from;
 2. trims nodes without an edge in or out, which lie on no cycle;
-3. colours the rest: the greatest node that reaches each node goes forward, and what of a colour leads back
-   to the node that gave it is that node's component; edges between components go.
-Rounds go on while edges are left. Nothing is collected but whether a table is empty and how many rows it has.
+3. colours what is left, once contraction no longer makes much less of it: the greatest node that reaches each node
+   goes forward, and what of a colour leads back to the node that gave it is that node's component; edges between
+   components go.
+Rounds go on while edges are left. Then contracted nodes are let back in, last ones first: of a tree, those on the
+way from an edge of a component into the tree to its root, if the root is of that component.
+Nothing is collected but whether a table is empty and how many rows it has. Steps are stored, since short tables
+are then known to be short and their joins need no shuffle.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyquill.sources.shared import cut
+from tallyquill.sources.shared import stored
 
+SHRUNK = 0.5  # share of the edges that a round must leave at most for the next to contract again at once
 
-def _contracted(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(edges between the nodes that are no inner nodes of a chain; inner nodes as (node, head, tail); nodes of
-    bare rings as (node, component))."""
-    outs = edges.groupBy("node").agg(F.count(F.lit(1)).alias("n_out"), F.min("next").alias("to"))
-    ins = edges.groupBy("next").agg(F.count(F.lit(1)).alias("n_in"), F.min("node").alias("fro")).withColumnRenamed("next", "node")
-    inner = cut(outs.join(ins, "node").where("n_in = 1 and n_out = 1").select("node", "to", "fro"))
-    n = inner.count()
+
+def cut(df: DataFrame) -> DataFrame:
+    return stored(df, "cycles")
+
+
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("next").alias("node"), F.col("node").alias("next"))
+
+
+def _contracted(edges: DataFrame) -> tuple[DataFrame, tuple[DataFrame, list[DataFrame]] | None, DataFrame]:
+    """(edges between nodes that have not just one edge out; what ``_let_in`` needs; nodes of bare rings as
+    (node, component)). No self-loops in edges, but maybe in the result."""
+    inner = edges.groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.min("next").alias("end")).where("k = 1").select("node", "end")
+    known = inner.select(F.col("node").alias("end"), F.lit(False).alias("no"))
+    at = cut(inner.join(known, "end", "left").select("node", "end", F.col("node").alias("least"), F.coalesce("no", F.lit(True)).alias("out")))
+    # where the pointer from each inner node leads, and the least node from it to there
+    n, live = at.agg(F.count(F.lit(1)), F.count_if(~F.col("out"))).first()
     if not n:
-        return edges, inner.select("node", F.col("fro").alias("head"), F.col("to").alias("tail")), inner.select("node", F.col("node").alias("component"))
-
-    # where the pointers from each inner node lead outside, and the least node seen: forwards and backwards at once
-    at = inner.select("node", F.explode(F.array(F.struct(F.lit(True).alias("ahead"), F.col("to").alias("end")), F.struct(F.lit(False).alias("ahead"), F.col("fro").alias("end")))).alias("e"), F.col("node").alias("least"), F.lit(False).alias("out")).select("node", "e.*", "least", "out")
-    for _ in range(math.ceil(math.log2(n)) + 1):
-        step = at.select("ahead", F.col("node").alias("end"), F.col("end").alias("end2"), F.col("least").alias("least2"), F.col("out").alias("out2"))
-        j = at.where("not out").join(step, ["ahead", "end"], "left")
-        j = j.select("node", "ahead", F.coalesce("end2", "end").alias("end"), F.least("least", "least2").alias("least"), F.coalesce("out2", F.lit(True)).alias("out"))
-        at = cut(j.unionByName(at.where("out")))
-    rings = at.where("ahead and not out").select("node", F.col("least").alias("component"))
-    tails, heads = (at.where(f"{way} and out").select("node", F.col("end").alias(name)) for way, name in (("ahead", "tail"), ("not ahead", "head")))
-    spans = tails.join(heads, "node").select("node", "head", "tail")
-    ids = inner.select("node")
-    plain = edges.join(ids, "node", "left_anti").join(ids.withColumnRenamed("node", "next"), "next", "left_anti").select("node", "next")
-    return cut(plain.unionByName(spans.select(F.col("head").alias("node"), F.col("tail").alias("next"))).distinct()), cut(spans), cut(rings)
-
-
-def _trimmed(edges: DataFrame) -> DataFrame:
+        return edges, None, at.select("node", F.col("least").alias("component"))
+    ways, before = [at], None
+    while live and (live != before or 2 ** (len(ways) - 1) < live):  # as many as before: none of these ends
+        step = at.select(F.col("node").alias("end"), F.col("end").alias("end2"), F.col("least").alias("least2"), F.col("out").alias("out2"))
+        at = cut(at.join(step, "end", "left").select("node", F.coalesce("end2", "end").alias("end"), F.least("least", "least2").alias("least"), F.coalesce("out2", F.lit(True)).alias("out")))
+        ways.append(at)
+        live, before = at.where("not out").count(), live
+    endless = at.where("not out")
+    rings = endless.join(endless.select(F.col("end").alias("node")).distinct(), "node", "left_semi").select("node", F.col("least").alias("component"))
+    roots = at.select(F.col("node").alias("next"), F.col("end").alias("root"), "out")
+    rest = edges.join(at.select("node"), "node", "left_anti").join(roots, "next", "left").where("root is null or out")
+    rest = cut(rest.select("node", F.when(F.col("root").isNotNull(), F.col("next")).alias("into"), F.coalesce("root", "next").alias("next")))
+    return rest.select("node", "next").distinct(), (rest.where("into is not null"), ways), rings
+
+
+def _let_in(on: DataFrame, layer: tuple[DataFrame, list[DataFrame]]) -> DataFrame:
+    """on with the contracted nodes that lie on cycles."""
+    entries, ways = layer
+    same = on.select(F.col("node").alias("next"), F.col("component").alias("other"))
+    more = entries.join(on, "node").join(same, "next").where("component = other").select(F.col("into").alias("node"), "component").distinct()
+    for way in ways:  # 1, 2, 4, ... nodes ahead
+        ahead = way.where("not out").select("node", "end")
+        more = more.join(ahead, "node", "left").select(F.explode(F.array_compact(F.array("node", "end"))).alias("node"), "component").distinct()
+    return cut(named(on.unionByName(more)))
+
+
+def _trimmed(edges: DataFrame) -> tuple[DataFrame, int]:
+    """(edges between nodes with edges in and out, how many)."""
     n = edges.count()
     while n:
         edges = cut(edges.join(edges.select(F.col("next").alias("node")).distinct(), "node", "left_semi").join(edges.select(F.col("node").alias("next")).distinct(), "next", "left_semi").select("node", "next"))
         n, before = edges.count(), n
         if n == before:
             break
-    return edges
+    return edges, n
 
 
 def _coloured(edges: DataFrame) -> DataFrame:
@@ -81,26 +106,26 @@ def components_on_cycles(edges: DataFrame) -> DataFrame:
     """(node, component) of every node that lies on a cycle; the component's name is its least node. Edges with a
     null end are no edges; repeated ones count once; a node with an edge to itself is a component, if alone."""
     edges = cut(edges.select("node", "next").where("node is not null and next is not null").distinct())
-    loops = edges.where("node = next").select("node", F.col("node").alias("component"))
-    left, layers, parts = edges.where("node <> next"), [], [loops]
-    while True:
-        left, spans, rings = _contracted(left)
-        layers.append(spans)
-        parts += [rings, left.where("node = next").select("node", F.col("node").alias("component"))]  # a chain that comes back to its head
-        left = _trimmed(left.where("node <> next"))
-        if left.isEmpty():
-            break
+    left, layers, parts = edges.where("node <> next"), [], [edges.where("node = next").select("node", F.col("node").alias("component"))]
+    n = left.count()
+    while n:
+        before = n
+        for _ in ("out", "in"):
+            left, layer, rings = _contracted(left)
+            layers += [layer] if layer else []
+            parts += [rings, left.where("node = next").select("node", F.col("node").alias("component"))]  # a tree that comes back to its root
+            left = _turned(left.where("node <> next"))
+        left, n = _trimmed(left)
+        if n <= SHRUNK * before:
+            continue
         done = _coloured(left)
         parts.append(done)
         a, b = done, done.select(F.col("node").alias("next"), F.col("component").alias("other"))
         left = cut(left.join(a, "node", "left").join(b, "next", "left").where("component is null and other is null").select("node", "next"))
-        if left.isEmpty():
-            break
+        n = left.count()
     on = cut(named(reduce(DataFrame.unionByName, parts)))
-    for spans in reversed(layers):
-        head = on.select(F.col("node").alias("head"), "component")
-        tail = on.select(F.col("node").alias("tail"), F.col("component").alias("other"))
-        on = cut(named(on.unionByName(spans.join(head, "head").join(tail, "tail").where("component = other").select("node", "component"))))
+    for layer in reversed(layers):
+        on = _let_in(on, layer)
     least = on.groupBy("component").agg(F.min("node").alias("least"))
     return on.join(least, "component").select("node", F.col("least").alias("component"))
 

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tallyquill.operators import taxonomy
+from tallyquill.operators import cycles, taxonomy
 from tallyquill.operators.cycles import components_on_cycles, cycle_paths
 
 
@@ -79,3 +79,17 @@ def test_a_long_chain_takes_few_rounds(spark):
 def test_lengths_stay_what_they_were(spark):
     df = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c"), ("c", "b"), ("c", "d"), ("d", "e"), ("x", "x")], "node string, next string")
     assert sorted(map(tuple, taxonomy.cycles(df).collect())) == [("a", 2), ("b", 2), ("c", 2), ("x", 1)]
+
+
+def test_trees_and_short_ways_take_few_steps(spark, monkeypatch):
+    """A graph of many trees about one large component: steps go by what contraction leaves, not by the depth of the
+    trees and the way around."""
+    steps = []
+    kept = cycles.cut
+    monkeypatch.setattr(cycles, "cut", lambda df: steps.append(1) or kept(df))
+    n = 600
+    edges = {(k, (3 * k + k * k % 25) % n) for k in range(n)} | {(k, k // 2) for k in range(0, n, 4)}
+    comp, _ = by_hand(edges)
+    df = spark.createDataFrame(sorted(edges), "node long, next long")
+    assert {r.node: r.component for r in components_on_cycles(df).collect()} == comp
+    assert len(steps) <= 55
