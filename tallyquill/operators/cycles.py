@@ -142,17 +142,16 @@ def cycle_paths(edges: DataFrame, arrow: str = " -> ") -> DataFrame:
     inside = cut(inner_edges(edges, components_on_cycles(edges)))
     # from the least node backwards, a level at a time: each node's path to it, by the least next node
     frontier = inside.select("component").distinct().select("component", F.col("component").alias("node"), F.col("component").cast("string").alias("path"))
-    levels: list[DataFrame] = []
-    left, seen = frontier.count(), None
+    left, at, k = frontier.count(), None, 0
     while left:
-        step = inside.join(frontier.withColumnRenamed("node", "next"), ["component", "next"])
-        step = step.groupBy("component", "node").agg(F.min_by("path", "next").alias("path")).select("component", "node", F.concat(F.col("node").cast("string"), F.lit(arrow), "path").alias("path"))
-        if seen is not None:
-            step = step.join(seen, ["component", "node"], "left_anti")
-        step = cut(step)
-        closed = step.where("node = component")
-        levels.append(closed.select("component", F.lit(len(levels) + 1).alias("length"), "path"))
-        frontier = step.where("node <> component").join(closed.select("component"), "component", "left_anti")
-        seen = step.select("component", "node") if seen is None else cut(seen.unionByName(step.select("component", "node")))
-        left -= closed.count()
-    return reduce(DataFrame.unionByName, levels) if levels else frontier.select("component", F.lit(0).alias("length"), "path")
+        k += 1
+        step = inside.join(frontier.select("component", F.col("node").alias("next"), "path"), ["component", "next"])
+        step = step.groupBy("component", "node").agg(F.min_by("path", "next").alias("path")).select("component", "node", F.concat(F.col("node").cast("string"), F.lit(arrow), "path").alias("path"), F.lit(k).alias("length"))
+        if at is not None:  # nodes seen keep no path
+            seen = at.select("component", "node", F.when(F.col("node") == F.col("component"), F.col("path")).alias("path"), "length")
+            step = seen.unionByName(step.join(at.select("component", "node"), ["component", "node"], "left_anti"))
+        at = cut(step)
+        closed = at.where("node = component").select("component", "length", "path")
+        frontier = at.where((F.col("length") == k) & (F.col("node") != F.col("component"))).join(closed.select("component"), "component", "left_anti")
+        left -= at.where((F.col("length") == k) & (F.col("node") == F.col("component"))).count()
+    return closed if at is not None else frontier.select("component", F.lit(0).alias("length"), "path")

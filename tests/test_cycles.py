@@ -89,7 +89,10 @@ def test_trees_and_short_ways_take_few_steps(spark, monkeypatch):
     monkeypatch.setattr(cycles, "cut", lambda df: steps.append(1) or kept(df))
     n = 600
     edges = {(k, (3 * k + k * k % 25) % n) for k in range(n)} | {(k, k // 2) for k in range(0, n, 4)}
-    comp, _ = by_hand(edges)
+    comp, paths = by_hand(edges)
     df = spark.createDataFrame(sorted(edges), "node long, next long")
     assert {r.node: r.component for r in components_on_cycles(df).collect()} == comp
     assert len(steps) <= 55
+    steps.clear()
+    assert {r.component: r.path for r in cycle_paths(df).collect()} == paths
+    assert len(steps) <= 55 + 1 + max(p.count(" -> ") for p in paths.values())
