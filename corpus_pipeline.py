@@ -11,13 +11,11 @@ dedup; rows with a null doc_id can be no near duplicates and stay. An empty tabl
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyquill.llm import toxicity
-from tallyquill.llm.common import read, shared_dir, text_or_empty, unused
+from tallyquill.llm.common import read, text_or_empty, unused, written
 from tallyquill.llm.exact_dedup import exact_dedup
 from tallyquill.llm.ngram_join import near_duplicates
 from tallyquill.llm.packing import pack_documents
@@ -87,10 +85,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    base = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs.write.parquet(f"{base}/{k}")
-            docs = spark.read.parquet(f"{base}/{k}")
+            docs = written(docs, f"pipeline-{k}")
     return docs

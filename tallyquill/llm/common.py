@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,15 +12,33 @@ from pyspark.sql import functions as F
 from tallyquill.sources.shared import shared_dir
 
 HOT_KEYS = 1000  # a key is hot if it holds more than this part of all rows, so there are fewer hot keys
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run within remove their shuffle files when they end. Otherwise these stay until the driver
+    happens to collect garbage, beside those of the steps that follow."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
 def written(df: DataFrame, name: str, path_too: bool = False) -> DataFrame | tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, and a lost
-    executor costs no more than its own tasks. The folder carries the application's id; ``remove_written``
-    removes it when the job's results are stored, ``removed`` a single table before that."""
+    executor costs no more than its own tasks. Nothing reads the write's shuffles again, so they go when it ends.
+    The folder carries the application's id; ``remove_written`` removes it when the job's results are stored,
+    ``removed`` a single table before that."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     return (back, path) if path_too else back
 
@@ -41,13 +60,6 @@ def join_hot(rows: DataFrame, small: DataFrame, hot: DataFrame, keys: list[str],
     return j.where(found.isNotNull()).select(*(F.col(f"l.{c}") for c in rows.columns), *(found[c].alias(c) for c in new))
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of plans that nobody holds any more: Spark removes them when the driver
-    collects garbage, which it may not do for long. Call it between the large steps of a job."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def removed(spark: SparkSession, path: str) -> None:
     """Remove a written table that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyquill.llm.common import HOT_KEYS, join_hot, release, text_or_empty, written
+from tallyquill.llm.common import HOT_KEYS, join_hot, shuffles_removed, text_or_empty, written
 from tallyquill.llm.components import components
 from tallyquill.llm.held import let_go
 from tallyquill.llm.partenum import signatures
@@ -89,7 +89,9 @@ def sampled(rows: DataFrame, n: int, sample: int) -> DataFrame:
 def common_shingles(some: DataFrame, width: int, least: int = LEAST_COMMON, most: int = MOST_COMMON) -> np.ndarray:
     """Hashes of the shingles held by at least ``least`` sets of a sample of documents, ascending."""
     found = some.mapInArrow(_shingles(width), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= least)
-    return np.sort(np.array([r.h for r in found.orderBy(F.desc("k"), "h").limit(most).collect()], np.int64).view(np.uint64))
+    with shuffles_removed(some.sparkSession):
+        kept = found.orderBy(F.desc("k"), "h").limit(most).collect()
+    return np.sort(np.array([r.h for r in kept], np.int64).view(np.uint64))
 
 
 def _signed(width: int, percent: int, common: np.ndarray):
@@ -253,15 +255,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     # should sets share a key, all of them are members
     keyed = reps.select(F.col("s1").bitwiseAND(F.lit((1 << SET_BITS) - 1)).alias("key"), "rep", "n")
     members = written(members.join(keyed, "key").groupBy("g", "rep", "n").agg(F.max("hot").alias("hot"), F.sum("weight").alias("weight")), "members")
-    release(rows.sparkSession)  # the signatures' shuffle, the largest of all
     # who shares most signatures with most others: large groups count for more
     sizes = members.groupBy("g").agg(F.max("hot").alias("hot"), F.count(F.lit(1)).alias("k"))
     central = _of_group(members, sizes).groupBy("rep", "n").agg(F.sum(F.col("weight") * F.col("k").cast("double")).alias("central"))
     members = written(members.drop("weight").join(central, ["rep", "n"]), "groups")
     # the joins of texts and counts are sort-merge joins at every size: what they move grows with the input
     texts = written(rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").distinct(), "texts")
-
-    release(rows.sparkSession)
     hists = written(texts.mapInArrow(_histograms(width), "id long, n long, hist binary").distinct(), "histograms")
 
     def possible(pairs: DataFrame) -> DataFrame:
